@@ -15,7 +15,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 @dataclass(frozen=True)
@@ -34,36 +33,24 @@ class SkewPolicy:
     def max_keys(self) -> int:
         return int(1 / self.share)
 
-    def threshold(self, n_rows: int) -> int:
-        return max(int(n_rows * self.share), self.min_rows)
 
+def heavy_keys(df: DataFrame, key: str, policy: SkewPolicy) -> list:
+    """The heavy keys of a table, at most ``policy.max_keys``, as Python values.
 
-def key_weights(df: DataFrame, key: str, policy: SkewPolicy) -> DataFrame:
-    """One row: number of rows and the heaviest keys with their estimated counts.
-
-    A mergeable frequent-items sketch per task, so nothing is shuffled by key.
-    The sketch decides only how rows travel, never which rows are in a result.
-    It tracks ten times the keys that can be heavy: its error stays well below
-    ``share``, so no heavy key is missed.
+    Small tables have none and cost a count, which parquet answers from its
+    footers. For others each task keeps a mergeable frequent-items sketch of
+    the key column; nothing is shuffled by key. The sketch decides only how
+    rows travel, never which rows are in a result. It tracks ten times the keys
+    that can be heavy, so its error stays well below ``share`` and no heavy key
+    is missed.
     """
+    n_rows = df.count()
+    limit = max(int(n_rows * policy.share), policy.min_rows)
+    if n_rows <= limit:
+        return []
     tracked = policy.max_keys * 10
-    return df.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.expr(f"approx_top_k({key}, {policy.max_keys}, {tracked})").alias("top"),
-    ).select(
-        "n_rows",
-        F.transform(
-            "top",
-            lambda t: F.struct(t["item"].cast("string").alias("key"), t["count"].alias("n")),
-        ).alias("top"),
-    )
-
-
-def heavy_keys(key_type: T.DataType, n_rows: int, top, policy: SkewPolicy) -> list:
-    """Keys above the policy's threshold, as Python values of the key's type."""
-    limit = policy.threshold(n_rows)
-    heavy = [t["key"] for t in top if t["key"] is not None and t["n"] > limit]
-    return [int(k) for k in heavy] if isinstance(key_type, T.IntegralType) else heavy
+    top = df.agg(F.expr(f"approx_top_k({key}, {policy.max_keys}, {tracked})").alias("top"))
+    return [t["item"] for t in top.first()["top"] if t["item"] is not None and t["count"] > limit]
 
 
 def join_one_per_key(

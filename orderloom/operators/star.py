@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.functions import net_sales
-from orderloom.operators.skew import SkewPolicy, heavy_keys, join_one_per_key, key_weights
+from orderloom.operators.skew import SkewPolicy, heavy_keys, join_one_per_key
 
 c = F.col
 
@@ -58,7 +58,7 @@ TOTAL_TYPE = "decimal(38,2)"
 
 @dataclass(frozen=True)
 class KeyProfile:
-    """What a plan must know about the keys of one table."""
+    """What plans must know about the keys of a dimension."""
 
     repeated: int = 0
     repeated_bytes: int = 0
@@ -83,57 +83,40 @@ class SalesStar:
         return cls(**{n: tables[n] for n in names}, policy=policy or SkewPolicy())
 
     @cached_property
-    def profile(self) -> dict[str, KeyProfile]:
-        """Key statistics of all tables, from one job, taken on first use.
+    def dimensions(self) -> dict[str, KeyProfile]:
+        """Repeated keys of the dimensions: one job for all, one row each comes back.
 
-        Dimensions: how many keys occur more than once, and their size as a
-        list. Lines and orders: the order ids that hold very many rows. Six
-        rows of at most ``policy.max_keys`` keys come back.
+        The heavy ones among them are looked up only where there are repeats.
         """
         checks = [
             _repeated_keys(getattr(self, name), key).agg(
-                F.lit(name).alias("table_name"),
+                F.lit(name).alias("name"),
                 F.count(F.lit(1)).alias("repeated"),
-                F.sum(F.octet_length(c(key).cast("string")) + F.lit(16)).alias("repeated_bytes"),
-                F.lit(None).cast("bigint").alias("n_rows"),
-                F.lit(None).cast("array<struct<key:string,n:bigint>>").alias("top"),
+                F.sum(F.octet_length(c(key).cast("string")) + F.lit(16)).alias("bytes"),
             )
             for name, key in DIMENSIONS.items()
         ]
-        checks += [
-            key_weights(df, key, self.policy).select(
-                F.lit(name).alias("table_name"),
-                F.lit(0).cast("bigint").alias("repeated"),
-                F.lit(0).cast("bigint").alias("repeated_bytes"),
-                "n_rows",
-                "top",
+        return {
+            row["name"]: KeyProfile(
+                row["repeated"],
+                row["bytes"] or 0,
+                tuple(self._heavy(row["name"], DIMENSIONS[row["name"]]) if row["repeated"] else ()),
             )
-            for name, df, key in self._big_sides()
-        ]
-        found = {r["table_name"]: r for r in reduce(DataFrame.unionAll, checks).collect()}
-        profile = {}
-        for name, key in DIMENSIONS.items():
-            heavy = self._heavy_dimension_keys(name, key) if found[name]["repeated"] else []
-            profile[name] = KeyProfile(
-                found[name]["repeated"], found[name]["repeated_bytes"] or 0, tuple(heavy)
-            )
-        for name, df, key in self._big_sides():
-            heavy = heavy_keys(
-                df.schema[key].dataType, found[name]["n_rows"], found[name]["top"] or [], self.policy
-            )
-            profile[name] = KeyProfile(heavy=tuple(heavy))
-        return profile
+            for row in reduce(DataFrame.unionAll, checks).collect()
+        }
 
-    def _big_sides(self):
-        return [
-            ("order_details", self.order_details, "order_id"),
-            ("orders", self.orders, "order_id"),
-        ]
+    @cached_property
+    def heavy_in_orders(self) -> list:
+        """Order ids that very many order headers share."""
+        return self._heavy("orders", "order_id")
+
+    @cached_property
+    def heavy_in_lines(self) -> list:
+        """Order ids with very many lines."""
+        return self._heavy("order_details", "order_id")
 
-    def _heavy_dimension_keys(self, name: str, key: str) -> list:
-        dim = getattr(self, name)
-        row = key_weights(dim, key, self.policy).first()
-        return heavy_keys(dim.schema[key].dataType, row["n_rows"], row["top"] or [], self.policy)
+    def _heavy(self, table: str, key: str) -> list:
+        return heavy_keys(getattr(self, table), key, self.policy)
 
 
 def base_sales(star: SalesStar) -> DataFrame:
@@ -182,7 +165,7 @@ def order_totals(star: SalesStar) -> DataFrame:
         F.sum(weighted_sales(star, ("products",))).alias("net_sales")
     )
     return join_one_per_key(
-        _headers_with_copies(star), totals, "order_id", star.profile["orders"].heavy
+        _headers_with_copies(star), totals, "order_id", star.heavy_in_orders
     )
 
 
@@ -196,7 +179,7 @@ def product_totals(star: SalesStar) -> DataFrame:
         F.sum(reduce(mul, _copies(star, ORDER_DIMENSIONS), F.lit(1))).alias("order_rows")
     )
     joined = join_one_per_key(
-        _priced_lines(star), rows_per_order, "order_id", star.profile["order_details"].heavy
+        _priced_lines(star), rows_per_order, "order_id", star.heavy_in_lines
     )
     return joined.groupBy("product_id").agg(
         F.sum(c("quantity") * c("order_rows")).alias("quantity"),
@@ -219,7 +202,7 @@ def with_attributes(star: SalesStar, totals: DataFrame, dimension: str) -> DataF
         dimension_attributes(star, dimension),
         totals,
         key,
-        star.profile[dimension].heavy,
+        star.dimensions[dimension].heavy,
         keep_all_of="one",
     )
 
@@ -247,7 +230,7 @@ def _with_copies(star: SalesStar, facts: DataFrame, dimension: str) -> DataFrame
     repeated keys is broadcast if its measured size allows, else it is joined
     as it is and Spark chooses.
     """
-    profile = star.profile[dimension]
+    profile = star.dimensions[dimension]
     if not profile.repeated:
         return facts
     key, copies = DIMENSIONS[dimension], f"{dimension}_copies"
@@ -265,4 +248,4 @@ def _repeated_keys(dim: DataFrame, key: str) -> DataFrame:
 
 
 def _copies(star: SalesStar, dimensions: Iterable[str]) -> list[Column]:
-    return [c(f"{name}_copies") for name in dimensions if star.profile[name].repeated]
+    return [c(f"{name}_copies") for name in dimensions if star.dimensions[name].repeated]

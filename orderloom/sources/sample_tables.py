@@ -23,11 +23,38 @@ c = F.col
 CUSTOMERS_PER_EMPLOYEE = 15
 DAYS_TO_DELIVER = 60
 
+# Declared, so that planning a query reads no file.
+_SCHEMAS = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": (
+        "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+    ),
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": (
+        "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+        "p_retailprice double"
+    ),
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+        "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+        "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+    "events": (
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
+        "props string"
+    ),
+}
+
 Read = Callable[[str], DataFrame]
 
 
 def driver_table(spark: SparkSession, sf_dir: str) -> Read:
-    return lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """Reader of the given tables by name."""
+    return lambda name: spark.read.schema(_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def retail_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
