@@ -175,11 +175,8 @@ def product_totals(star: SalesStar) -> DataFrame:
     One row per product. The orders side is reduced to the number of joined
     rows each of its ids stands for, so the line side meets one row per id.
     """
-    rows_per_order = _headers_with_copies(star).groupBy("order_id").agg(
-        F.sum(reduce(mul, _copies(star, ORDER_DIMENSIONS), F.lit(1))).alias("order_rows")
-    )
     joined = join_one_per_key(
-        _priced_lines(star), rows_per_order, "order_id", star.heavy_in_lines
+        _priced_lines(star), _rows_per_order(star), "order_id", star.heavy_in_lines
     )
     return joined.groupBy("product_id").agg(
         F.sum(c("quantity") * c("order_rows")).alias("quantity"),
@@ -187,6 +184,18 @@ def product_totals(star: SalesStar) -> DataFrame:
     )
 
 
+def base_sales_count(star: SalesStar) -> DataFrame:
+    """``n_rows`` of ``base_sales`` as one row, without joining it.
+
+    Lines per order id times joined rows per order id, one row of each per id.
+    """
+    lines = _with_copies(star, star.order_details.select("order_id", "product_id"), "products")
+    lines_per_order = lines.groupBy("order_id").agg(_joined_rows(star, ("products",), "n_lines"))
+    matched = join_one_per_key(_rows_per_order(star), lines_per_order, "order_id", [])
+    n_rows = F.sum(c("n_lines") * c("order_rows"))
+    return matched.agg(F.coalesce(n_rows, F.lit(0)).alias("n_rows"))
+
+
 def weighted_sales(star: SalesStar, dimensions: Iterable[str]) -> Column:
     """Net sales times the dimension rows that are joined to them."""
     factors = _copies(star, dimensions)
@@ -223,6 +232,15 @@ def _headers_with_copies(star: SalesStar) -> DataFrame:
     return headers
 
 
+def _rows_per_order(star: SalesStar) -> DataFrame:
+    headers = _headers_with_copies(star)
+    return headers.groupBy("order_id").agg(_joined_rows(star, ORDER_DIMENSIONS, "order_rows"))
+
+
+def _joined_rows(star: SalesStar, dimensions: Iterable[str], name: str) -> Column:
+    return F.sum(reduce(mul, _copies(star, dimensions), F.lit(1))).alias(name)
+
+
 def _with_copies(star: SalesStar, facts: DataFrame, dimension: str) -> DataFrame:
     """``<dimension>_copies``: dimension rows that a left join would add per fact.
 

@@ -7,8 +7,9 @@ returns the row count of everything it wrote. A layer that stays empty fails it.
 from __future__ import annotations
 
 import logging
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,6 +22,7 @@ from orderloom.plans.silver import SILVER_PLANS
 from orderloom.schemas import TABLES
 from orderloom.scratch import new_scratch, written
 from orderloom.sinks.layers import write_layer
+from orderloom.sinks.parallel import in_parallel
 from orderloom.sinks.tables import publish_all
 from orderloom.sources.layers import read_catalog, read_layer
 from orderloom.sources.relational import TableReader
@@ -87,11 +89,11 @@ def build_gold(
 def write_totals(spark: SparkSession, star: SalesStar) -> Totals:
     plan = Totals(star)
     folder = new_scratch(spark, "sales-totals")
-    return Totals(
-        star,
-        written(spark, plan.by_order, f"{folder}/by_order"),
-        written(spark, plan.by_product, f"{folder}/by_product"),
+    totals = {"by_order": plan.by_order, "by_product": plan.by_product}
+    files = in_parallel(
+        {name: partial(written, spark, df, f"{folder}/{name}") for name, df in totals.items()}
     )
+    return Totals(star, files["by_order"], files["by_product"])
 
 
 def run_full_load(
@@ -112,11 +114,17 @@ def run_full_load(
     return counts
 
 
-def run_incremental(spark: SparkSession, events: DataFrame, lake: Lakehouse) -> int:
+def run_incremental(
+    spark: SparkSession,
+    events: DataFrame,
+    lake: Lakehouse,
+    batch_limits: Mapping[str, str] | None = None,
+) -> int:
     """Ingest what has arrived, refine it, publish it; rows in the published table.
 
     Each step drains its input and returns, so the next one always runs; a
     failed run is repeated with the same checkpoints and repeats no row.
+    ``batch_limits`` bound the micro-batches of the refinement.
     """
     start_ingest(
         events, lake.stream("bronze"), lake.checkpoint("ingest"), key_type=lake.key_type
@@ -127,6 +135,7 @@ def run_incremental(spark: SparkSession, events: DataFrame, lake: Lakehouse) ->
         lake.stream("silver"),
         lake.checkpoint("refine"),
         key_type=lake.key_type,
+        batch_limits=batch_limits,
     ).awaitTermination()
     catalog.ensure_database(spark, lake.database)
     n_rows = publish_orders(spark, lake.stream("silver"), lake.stream_table, lake.key_type)

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import partial
 
 from pyspark.sql import DataFrame
 
 from orderloom.operators.audit import counted
+from orderloom.sinks.parallel import in_parallel
 from orderloom.sources.layers import layer_path
 
 
@@ -16,7 +18,9 @@ def write_layer(tables: Mapping[str, DataFrame], root: str) -> dict[str, int]:
     The tables must not be read from ``root``: a directory cannot be replaced
     while it is read.
     """
-    return {t: replace_parquet(df, layer_path(root, t)) for t, df in tables.items()}
+    return in_parallel(
+        {t: partial(replace_parquet, df, layer_path(root, t)) for t, df in tables.items()}
+    )
 
 
 def replace_parquet(df: DataFrame, path: str) -> int:

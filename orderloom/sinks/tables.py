@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import partial
 
 from pyspark.sql import DataFrame
 
 from orderloom.operators.audit import counted
+from orderloom.sinks.parallel import in_parallel
+from orderloom.sources.layers import layer_path
 
 
 def publish_at_path(df: DataFrame, table: str, path: str) -> int:
@@ -19,10 +22,12 @@ def publish_at_path(df: DataFrame, table: str, path: str) -> int:
 
 
 def publish_all(tables: Mapping[str, DataFrame], database: str, root: str) -> dict[str, int]:
-    return {
-        name: publish_at_path(df, f"{database}.{name}", f"{root.rstrip('/')}/{name}")
-        for name, df in tables.items()
-    }
+    return in_parallel(
+        {
+            name: partial(publish_at_path, df, f"{database}.{name}", layer_path(root, name))
+            for name, df in tables.items()
+        }
+    )
 
 
 def publish_managed(df: DataFrame, table: str) -> int:

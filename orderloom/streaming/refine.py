@@ -27,10 +27,20 @@ STATE_SETTINGS = {
 }
 
 
-def landed_stream(spark: SparkSession, landing: str, key_type: str = "int") -> DataFrame:
-    """Accepted orders of the landing table, each once, as they arrive."""
+def landed_stream(
+    spark: SparkSession,
+    landing: str,
+    key_type: str = "int",
+    batch_limits: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """Accepted orders of the landing table, each once, as they arrive.
+
+    ``batch_limits``: ``maxFilesPerTrigger`` or ``maxBytesPerTrigger``, so that a
+    large backlog is worked off in batches of a size the cluster is made for.
+    """
     return (
         spark.readStream.schema(landing_schema(key_type))
+        .options(**(batch_limits or {}))
         .parquet(landing)
         .where(c("accepted"))
         .drop("accepted", "payload")
@@ -73,13 +83,15 @@ def start_refine(
     checkpoint: str,
     interval: str | None = None,
     key_type: str = "int",
+    batch_limits: Mapping[str, str] | None = None,
 ) -> StreamingQuery:
     """Start the refinement: what is available and stop, or every ``interval``.
 
     The state lives in the checkpoint: a later start with the same checkpoint
-    adds only orders that were never seen.
+    adds only orders that were never seen. The first start fixes the number of
+    state partitions to ``spark.sql.shuffle.partitions``.
     """
-    stream = refine_orders(landed_stream(spark, landing, key_type))
+    stream = refine_orders(landed_stream(spark, landing, key_type, batch_limits))
     writer = (
         stream.writeStream.format("parquet")
         .outputMode("append")

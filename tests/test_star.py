@@ -10,7 +10,13 @@ from pyspark.sql import functions as F
 
 from orderloom.functions import year_month_label
 from orderloom.operators.skew import SkewPolicy, heavy_keys, join_one_per_key
-from orderloom.operators.star import DIMENSIONS, SalesStar, base_sales, order_totals
+from orderloom.operators.star import (
+    DIMENSIONS,
+    SalesStar,
+    base_sales,
+    base_sales_count,
+    order_totals,
+)
 from orderloom.plans.gold import REPORTS, Totals
 
 c = F.col
@@ -158,6 +164,14 @@ def test_report_equals_plain_grouping(tables, name, policy):
     assert rows_of(found) == rows_of(expected)
 
 
+@pytest.mark.parametrize("policy", POLICIES)
+def test_rows_of_the_base_are_counted_without_it(tables, policy):
+    star = SalesStar.of(tables, POLICIES[policy])
+    assert base_sales_count(star).first()["n_rows"] == base_sales(star).count()
+    empty = SalesStar.of(tables | {"orders": tables["orders"].limit(0)})
+    assert base_sales_count(empty).first()["n_rows"] == 0
+
+
 def test_fixture_is_as_dirty_as_it_claims(tables):
     star = SalesStar.of(tables, POLICIES["heavy"])
     assert all(star.dimensions[name].repeated for name in DIMENSIONS)
