@@ -91,7 +91,7 @@ def write_totals(spark: SparkSession, star: SalesStar) -> Totals:
     folder = new_scratch(spark, "sales-totals")
     totals = {"by_order": plan.by_order, "by_product": plan.by_product}
     files = in_parallel(
-        {name: partial(written, spark, df, f"{folder}/{name}") for name, df in totals.items()}
+        spark, {name: partial(written, spark, df, f"{folder}/{name}") for name, df in totals.items()}
     )
     return Totals(star, files["by_order"], files["by_product"])
 
@@ -137,6 +137,11 @@ def run_incremental(
         key_type=lake.key_type,
         batch_limits=batch_limits,
     ).awaitTermination()
+    return publish_stream(spark, lake)
+
+
+def publish_stream(spark: SparkSession, lake: Lakehouse) -> int:
+    """Refined orders as a table; returns its row count."""
     catalog.ensure_database(spark, lake.database)
     n_rows = publish_orders(spark, lake.stream("silver"), lake.stream_table, lake.key_type)
     require_rows({lake.stream_table: n_rows})

@@ -18,8 +18,9 @@ def write_layer(tables: Mapping[str, DataFrame], root: str) -> dict[str, int]:
     The tables must not be read from ``root``: a directory cannot be replaced
     while it is read.
     """
+    spark = next(iter(tables.values())).sparkSession
     return in_parallel(
-        {t: partial(replace_parquet, df, layer_path(root, t)) for t, df in tables.items()}
+        spark, {t: partial(replace_parquet, df, layer_path(root, t)) for t, df in tables.items()}
     )
 
 

@@ -22,11 +22,13 @@ def publish_at_path(df: DataFrame, table: str, path: str) -> int:
 
 
 def publish_all(tables: Mapping[str, DataFrame], database: str, root: str) -> dict[str, int]:
+    spark = next(iter(tables.values())).sparkSession
     return in_parallel(
+        spark,
         {
             name: partial(publish_at_path, df, f"{database}.{name}", layer_path(root, name))
             for name, df in tables.items()
-        }
+        },
     )
 
 

@@ -254,3 +254,29 @@ def test_split_join_equals_plain_join(spark, keep):
     assert rows_of(split) == plain
     physical = split._jdf.queryExecution().executedPlan().toString()
     assert "Broadcast" in physical
+
+
+def test_base_splits_skewed_partitions_at_run_time(spark):
+    """The hot id of lines and orders is joined by several tasks, with the same rows."""
+    forced = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    tables = dirty_tables(spark)
+    tables |= {name: tables[name].repartition(8) for name in ("order_details", "orders")}
+    expected = rows_of(base_sales(SalesStar.of(tables)))
+    for name, value in forced.items():
+        spark.conf.set(name, value)
+    try:
+        base = base_sales(SalesStar.of(tables))
+        found = rows_of(base)
+        base.collect()
+        final = base._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name in forced:
+            spark.conf.unset(name)
+    assert found == expected
+    assert "skew=true" in final
