@@ -84,26 +84,31 @@ class SalesStar:
 
     @cached_property
     def dimensions(self) -> dict[str, KeyProfile]:
-        """Repeated keys of the dimensions: one job for all, one row each comes back.
+        """Repeated keys of the dimensions: one job for all, at most one row each comes back.
 
         The heavy ones among them are looked up only where there are repeats.
         """
-        checks = [
-            _repeated_keys(getattr(self, name), key).agg(
+        repeats = [
+            _repeated_keys(getattr(self, name), key).select(
                 F.lit(name).alias("name"),
-                F.count(F.lit(1)).alias("repeated"),
-                F.sum(F.octet_length(c(key).cast("string")) + F.lit(16)).alias("bytes"),
+                (F.octet_length(c(key).cast("string")) + F.lit(16)).alias("size"),
             )
             for name, key in DIMENSIONS.items()
         ]
-        return {
+        summary = (
+            reduce(DataFrame.unionAll, repeats)
+            .groupBy("name")
+            .agg(F.count(F.lit(1)).alias("repeated"), F.sum("size").alias("size"))
+        )
+        found = {
             row["name"]: KeyProfile(
                 row["repeated"],
-                row["bytes"] or 0,
-                tuple(self._heavy(row["name"], DIMENSIONS[row["name"]]) if row["repeated"] else ()),
+                row["size"],
+                tuple(self._heavy(row["name"], DIMENSIONS[row["name"]])),
             )
-            for row in reduce(DataFrame.unionAll, checks).collect()
+            for row in summary.collect()
         }
+        return {name: found.get(name, KeyProfile()) for name in DIMENSIONS}
 
     @cached_property
     def heavy_in_orders(self) -> list:
@@ -245,8 +250,8 @@ def _with_copies(star: SalesStar, facts: DataFrame, dimension: str) -> DataFrame
     """``<dimension>_copies``: dimension rows that a left join would add per fact.
 
     Nothing is joined where the dimension has no repeated key. The list of
-    repeated keys is broadcast if its measured size allows, else it is joined
-    as it is and Spark chooses.
+    repeated keys is broadcast if its measured size allows; a longer one is
+    shuffled, and facts under heavy keys stay where they are.
     """
     profile = star.dimensions[dimension]
     if not profile.repeated:
@@ -254,10 +259,11 @@ def _with_copies(star: SalesStar, facts: DataFrame, dimension: str) -> DataFrame
     key, copies = DIMENSIONS[dimension], f"{dimension}_copies"
     repeated = _repeated_keys(getattr(star, dimension), key).withColumnRenamed("copies", copies)
     if profile.repeated_bytes <= star.policy.broadcast_bytes:
-        repeated = F.broadcast(repeated)
-    return facts.join(repeated, key, "left").withColumn(
-        copies, F.coalesce(c(copies), F.lit(1).cast("bigint"))
-    )
+        joined = facts.join(F.broadcast(repeated), key, "left")
+    else:
+        heavy = heavy_keys(facts, key, star.policy)
+        joined = join_one_per_key(facts, repeated, key, heavy, keep_all_of="many")
+    return joined.withColumn(copies, F.coalesce(c(copies), F.lit(1).cast("bigint")))
 
 
 def _repeated_keys(dim: DataFrame, key: str) -> DataFrame:

@@ -56,7 +56,7 @@ def test_numbers_to_int(spark):
 
 
 @settings(
-    max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+    max_examples=5, deadline=None, derandomize=True, suppress_health_check=[HealthCheck.function_scoped_fixture]
 )
 @given(
     st.lists(

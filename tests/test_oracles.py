@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-from decimal import Decimal
 
 import duckdb
 import pytest
@@ -35,8 +34,6 @@ def sql(sf_dir):
 
 
 def _value(v):
-    if isinstance(v, Decimal):
-        return f"{v.normalize():f}"
     if isinstance(v, float):
         return repr(v)
     if isinstance(v, dt.datetime):

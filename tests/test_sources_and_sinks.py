@@ -10,6 +10,7 @@ from orderloom.operators.audit import MissingOutput
 from orderloom.plans.runs import Lakehouse, build_silver, load_bronze, run_full_load
 from orderloom.schemas import TABLES, silver_schema
 from orderloom.scratch import new_scratch, scratch_root
+from orderloom.sinks.events import send_to_kafka
 from orderloom.sinks.layers import append_parquet, replace_parquet
 from orderloom.sinks.tables import publish_at_path, publish_managed
 from orderloom.sources.events import kafka_events
@@ -28,7 +29,7 @@ class Recorder:
     def read(self):
         return _Reader(self)
 
-    readStream = read
+    readStream = write = read
 
 
 class _Reader:
@@ -58,6 +59,9 @@ class _Reader:
         self.seen["columns"] = columns
         return self
 
+    def save(self):
+        self.recorder.loads.append(self.seen)
+
 
 URL = "jdbc:postgresql://db.example/shop"
 LOGIN = {"user": "u", "password": "p", "driver": "org.postgresql.Driver"}
@@ -112,6 +116,13 @@ def test_kafka_options():
     assert load["maxOffsetsPerTrigger"] == "1000" and load["columns"] == ("value",)
 
 
+def test_kafka_sink_options():
+    frame = Recorder()
+    send_to_kafka(frame, "broker:9092", "orders")
+    (save,) = frame.loads
+    assert save == {"format": "kafka", "kafka.bootstrap.servers": "broker:9092", "topic": "orders"}
+
+
 def test_replace_and_append(spark, tmp_path):
     path = str(tmp_path / "t")
     assert replace_parquet(spark.range(5), path) == 5
