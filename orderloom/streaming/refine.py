@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping
 from contextlib import contextmanager
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +14,8 @@ from pyspark.sql.streaming import StreamingQuery
 from orderloom.functions import upper_trimmed
 from orderloom.streaming.ingest import landing_schema
 
+Batches = Iterator[pa.RecordBatch]
+
 c = F.col
 
 KEY = "order_id"
@@ -53,22 +54,27 @@ def refine_orders(orders: DataFrame) -> DataFrame:
     Which of several rows survives is open, as rows of a stream have no order.
     """
     cleaned = orders.withColumn("customer_id", upper_trimmed(c("customer_id")))
-    thinned = cleaned.mapInArrow(drop_repeats_in_batches, cleaned.schema)
+    thinned = cleaned.mapInArrow(first_rows_of_batches(KEY), cleaned.schema)
     return thinned.dropDuplicates([KEY]).withColumn(
         "silver_load_timestamp", F.current_timestamp()
     )
 
 
-def drop_repeats_in_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """First row per order id within each Arrow batch.
+def first_rows_of_batches(key: str) -> Callable[[Batches], Batches]:
+    """Filter that keeps the first row per key within each Arrow batch.
 
     The stateful distinct sends all rows of a key to one task and has no
     pre-aggregation of its own. This keeps an id that is repeated very often
-    from flooding that task: one row per batch of thousands goes on.
+    from flooding that task: one row per batch of thousands goes on. A closure,
+    so that it travels to the workers by value.
     """
-    for batch in batches:
-        repeats = pd.Series(batch.column(KEY).to_pandas()).duplicated()
-        yield batch.filter(pa.array(~repeats.to_numpy()))
+
+    def keep_first(batches: Batches) -> Batches:
+        for batch in batches:
+            repeats = batch.column(key).to_pandas().duplicated()
+            yield batch.filter(pa.array(~repeats.to_numpy()))
+
+    return keep_first
 
 
 def refined_schema(key_type: str = "int") -> T.StructType:

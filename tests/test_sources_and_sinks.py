@@ -12,6 +12,7 @@ from orderloom.schemas import TABLES, silver_schema
 from orderloom.scratch import new_scratch, scratch_root
 from orderloom.sinks.events import send_to_kafka
 from orderloom.sinks.layers import append_parquet, replace_parquet
+from orderloom.sinks.parallel import in_parallel
 from orderloom.sinks.tables import publish_at_path, publish_managed
 from orderloom.sources.events import kafka_events
 from orderloom.sources.layers import read_catalog, read_layer
@@ -132,6 +133,17 @@ def test_replace_and_append(spark, tmp_path):
     assert spark.read.parquet(path).count() == 2
 
 
+def test_a_failed_write_is_raised_and_the_others_are_done(spark, tmp_path):
+    def fail():
+        raise RuntimeError("no space")
+
+    path = str(tmp_path / "t")
+    jobs = {"bad": fail, "good": lambda: replace_parquet(spark.range(3), path)}
+    with pytest.raises(RuntimeError, match="no space"):
+        in_parallel(spark, jobs)
+    assert spark.read.parquet(path).count() == 3
+
+
 @pytest.fixture
 def database(spark, tmp_path):
     name = f"db_{tmp_path.name.replace('-', '_')}"
