@@ -17,6 +17,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+_MERGE_GROUPS = 1024
+
+
 @dataclass(frozen=True)
 class SkewPolicy:
     """A key is heavy if it holds more than ``share`` of the rows and ``min_rows``.
@@ -25,7 +28,7 @@ class SkewPolicy:
     ``broadcast_bytes`` bounds the list of repeated keys that is broadcast.
     """
 
-    share: float = 0.001
+    share: float = 0.0005
     min_rows: int = 1_000_000
     broadcast_bytes: int = 64 * 1024 * 1024
 
@@ -39,7 +42,8 @@ def heavy_keys(df: DataFrame, key: str, policy: SkewPolicy) -> list:
 
     Small tables have none and cost a count, which parquet answers from its
     footers. For others each task keeps a mergeable frequent-items sketch of
-    the key column; nothing is shuffled by key. The sketch decides only how
+    the key column; nothing is shuffled by key, and the sketches of many tasks
+    are merged in groups before the groups are. The sketch decides only how
     rows travel, never which rows are in a result. It tracks ten times the keys
     that can be heavy, so its error stays well below ``share`` and no heavy key
     is missed.
@@ -49,8 +53,14 @@ def heavy_keys(df: DataFrame, key: str, policy: SkewPolicy) -> list:
     if n_rows <= limit:
         return []
     tracked = policy.max_keys * 10
-    top = df.agg(F.expr(f"approx_top_k({key}, {policy.max_keys}, {tracked})").alias("top"))
-    return [t["item"] for t in top.first()["top"] if t["item"] is not None and t["count"] > limit]
+    merged = (
+        df.select(key, F.pmod(F.spark_partition_id(), F.lit(_MERGE_GROUPS)).alias("task_group"))
+        .groupBy("task_group")
+        .agg(F.expr(f"approx_top_k_accumulate({key}, {tracked})").alias("sketch"))
+        .agg(F.expr(f"approx_top_k_combine(sketch, {tracked})").alias("sketch"))
+    )
+    top = merged.select(F.expr(f"approx_top_k_estimate(sketch, {policy.max_keys})")).first()[0]
+    return [t["item"] for t in top if t["item"] is not None and t["count"] > limit]
 
 
 def join_one_per_key(
