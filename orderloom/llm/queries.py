@@ -6,9 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orderloom.llm import language_id, neural_lm, quality_crf
+from orderloom.llm.batches import remainder
 from orderloom.llm.chunk_dedup import exact_groups
 from orderloom.llm.decontamination import contamination, digest
 from orderloom.llm.length_histogram import length_histogram
+from orderloom.llm.license_scan import scan
 from orderloom.llm.mixing import mix
 from orderloom.llm.token_codes import token_table
 
@@ -19,6 +22,35 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _held_out(divisor: int):
+    return F.coalesce(remainder("doc_id", divisor) == 2, F.lit(False))
+
+
+def _language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = language_id.fit(documents, ~_held_out(4))
+    found = language_id.identify(documents, model)
+    return found.select("doc_id", _held_out(4).alias("held_out"), "lang_pred", "score", "accepted")
+
+
+def _lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = neural_lm.score(table(spark, sf_dir, "documents"), ~_held_out(7))
+    numbers = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
+    return found.select("doc_id", _held_out(7).alias("held_out"), *numbers)
+
+
+def _license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"
+    )
+
+
+def _quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = quality_crf.fit(documents, table(spark, sf_dir, "labels"), ~_held_out(4))
+    return quality_crf.rate(documents, model).select("doc_id", _held_out(4).alias("held_out"), "score", "predicted")
+
+
 def _exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
@@ -48,9 +80,13 @@ def _token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_language_id": _language_id,
     "op2_chunk_dedup": _exact_dedup,
+    "op3_neural_lm": _lm_scoring,
     "op4_length_histogram": _token_counts,
+    "op6_license_scan": _license_scan,
     "op7_decontamination": _decontamination,
+    "op8_quality_crf": _quality,
     "op9_mixing": _mixing,
     "op10_token_codes": _token_ids,
 }
