@@ -15,6 +15,32 @@ FROM hashed
 WINDOW same AS (PARTITION BY normal)
 """
 
+_JACCARD_JOIN = f"""
+WITH RECURSIVE doc AS (SELECT doc_id, regexp_extract_all({_LOWER}, {_SPACED}) AS words FROM documents),
+shingles AS (
+    SELECT DISTINCT doc_id, list_aggregate(words[i:i + least(5, len(words)) - 1], 'string_agg', ' ') AS shingle
+    FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 5, 0) + 2)) AS i FROM doc WHERE len(words) > 0)
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+    FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+    GROUP BY a.doc_id, b.doc_id
+),
+links AS (
+    SELECT c.a, c.b FROM common c JOIN sizes x ON x.doc_id = c.a JOIN sizes y ON y.doc_id = c.b
+    WHERE 100 * c.n >= 75 * (x.n + y.n - c.n)
+),
+reach AS (
+    SELECT doc_id AS a, doc_id AS b FROM documents
+    UNION
+    SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+)
+SELECT r.a AS doc_id, coalesce(any_value(s.n), 0)::BIGINT AS n_shingles, min(r.b) AS component_id
+FROM reach r LEFT JOIN sizes s ON s.doc_id = r.a
+GROUP BY r.a
+"""
+
 _DECONTAMINATION = f"""
 WITH doc AS (SELECT doc_id, regexp_extract_all({_LOWER}, {_WORDS}) AS words FROM documents),
 item AS (
@@ -93,6 +119,7 @@ FROM ordered
 
 ORACLES = {
     "op2_chunk_dedup": _EXACT_DEDUP,
+    "op5_jaccard_join": _JACCARD_JOIN,
     "op7_decontamination": _DECONTAMINATION,
     "op9_mixing": _MIXING,
 }

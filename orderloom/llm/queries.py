@@ -10,6 +10,7 @@ from orderloom.llm import language_id, neural_lm, quality_crf
 from orderloom.llm.batches import remainder
 from orderloom.llm.chunk_dedup import exact_groups
 from orderloom.llm.decontamination import contamination, digest
+from orderloom.llm.jaccard_join import similar_groups
 from orderloom.llm.length_histogram import length_histogram
 from orderloom.llm.license_scan import scan
 from orderloom.llm.mixing import mix
@@ -39,6 +40,10 @@ def _lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", _held_out(7).alias("held_out"), *numbers)
 
 
+def _jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_groups(table(spark, sf_dir, "documents"))
+
+
 def _license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"
@@ -84,6 +89,7 @@ QUERIES = {
     "op2_chunk_dedup": _exact_dedup,
     "op3_neural_lm": _lm_scoring,
     "op4_length_histogram": _token_counts,
+    "op5_jaccard_join": _jaccard_join,
     "op6_license_scan": _license_scan,
     "op7_decontamination": _decontamination,
     "op8_quality_crf": _quality,
