@@ -7,9 +7,12 @@ inside a character, so runs of bytes are runs of characters.
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 from functools import cached_property
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -153,6 +156,31 @@ def pieces(batch: pa.RecordBatch, text: str = "text") -> Iterator[pa.RecordBatch
         yield batch.slice(start)
 
 
+def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """``df.mapInArrow``, on executors that need not have this package installed."""
+    _send_package(df.sparkSession.sparkContext)
+    return df.mapInArrow(run, schema)
+
+
+_SENT: set[str] = set()
+
+
+def _send_package(context) -> None:
+    """Give the package to the Python workers of an application, once."""
+    if context.applicationId in _SENT:
+        return
+    _SENT.add(context.applicationId)
+    package = Path(__file__).resolve().parent.parent
+    if not package.is_dir():
+        return  # it runs from an archive, which Spark has already sent
+    # Spark itself takes the archive from the driver to the executors.
+    archive = Path(tempfile.mkdtemp(prefix="orderloom-code-")) / "orderloom_code.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for file in sorted(package.rglob("*.py")):
+            z.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(archive))
+
+
 def map_texts(
     documents: DataFrame,
     work: Callable[[pa.RecordBatch], list[pa.Array]],
@@ -182,7 +210,7 @@ def map_texts(
                 ]
                 yield pa.RecordBatch.from_arrays(arrays, names=wanted.names)
 
-    return source.mapInArrow(run, result)
+    return map_batches(source, run, result)
 
 
 def remainder(key: str, divisor: int):

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.batches import SPACED, Texts, map_texts
+from orderloom.llm.batches import SPACED, Texts, map_batches, map_texts
 from orderloom.llm.components import connected_components
 from orderloom.llm.spread import KeyFilter, attach
 from orderloom.scratch import new_scratch, written
@@ -143,7 +143,7 @@ def frequent_shingles(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         if held:
             yield counted()
 
-    found = sets.where("class is not null").select("class", "shingles").mapInArrow(run, "shingle bigint, n bigint")
+    found = map_batches(sets.where("class is not null").select("class", "shingles"), run, "shingle bigint, n bigint")
     found = found.groupBy("shingle").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "shingle").limit(FREQUENT).toArrow()
     found = found.sort_by("shingle")
     return found.column("shingle").to_numpy(), np.log2(found.column("n").to_numpy()).astype(np.int64) + 1
@@ -177,7 +177,7 @@ def prefixes(sets: DataFrame, percent: int, wanted: KeyFilter | None = None) ->
                 chosen, kind = chosen[may], kind[may]
             yield pa.RecordBatch.from_arrays([pa.array(kind), pa.array(chosen)], names=["class", "shingle"])
 
-    found = sets.where("class is not null").select("class", "shingles").mapInArrow(run, "class bigint, shingle bigint")
+    found = map_batches(sets.where("class is not null").select("class", "shingles"), run, "class bigint, shingle bigint")
     found.order = (frequent, rank)
     return found
 
@@ -289,7 +289,7 @@ def join_regions(regions: DataFrame, percent: int) -> DataFrame:
             yield _links(rest, percent)
 
     dealt = regions.select("region", "class", "grp", "shingles").repartition("region").sortWithinPartitions("region", "class")
-    return dealt.mapInArrow(run, "a bigint, b bigint")
+    return map_batches(dealt, run, "a bigint, b bigint")
 
 
 def _links(table: pa.Table, percent: int) -> pa.RecordBatch:
@@ -377,7 +377,7 @@ def _pivot_distances(regions: DataFrame, pivots: DataFrame, percent: int, limits
                 )
 
         schema = "region bigint, class bigint, pivot bigint, distance double, linked boolean"
-        found = regions.select("region", "class", "shingles").mapInArrow(run, schema)
+        found = map_batches(regions.select("region", "class", "shingles"), run, schema)
         found.write.mode("append" if i else "overwrite").parquet(path)
     return spark.read.parquet(path)
 
@@ -507,5 +507,5 @@ def _chosen(sets: DataFrame, blocks: DataFrame) -> DataFrame:
         for batch in batches:
             yield batch.filter(pa.array(shared.value.may_hold(batch.column("class").to_numpy())))
 
-    some = sets.where("class is not null").select("class", "shingles").mapInArrow(run, "class bigint, shingles array<bigint>")
+    some = map_batches(sets.where("class is not null").select("class", "shingles"), run, "class bigint, shingles array<bigint>")
     return some.dropDuplicates(["class"]).join(blocks, "class")

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.batches import SPACED, Texts, Words, map_texts, pieces, sums
+from orderloom.llm.batches import SPACED, Texts, Words, map_batches, map_texts, pieces, sums
 from orderloom.scratch import new_scratch, written
 
 #: Classes of one word (the end of a text among them), and classes by ending.
@@ -56,7 +56,7 @@ def count_words(documents: DataFrame) -> DataFrame:
                     names=["word", "ending", "n"],
                 )
 
-    found = documents.select("text").mapInArrow(run, "word binary, ending int, n bigint")
+    found = map_batches(documents.select("text"), run, "word binary, ending int, n bigint")
     return found.groupBy("word", "ending").agg(F.sum("n").alias("n"))
 
 
@@ -98,7 +98,7 @@ def count_triples(documents: DataFrame, classes: Classes) -> DataFrame:
         found = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])], names=["triple", "n"])
 
-    found = documents.select("text").mapInArrow(run, "triple bigint, n bigint")
+    found = map_batches(documents.select("text"), run, "triple bigint, n bigint")
     return found.groupBy("triple").agg(F.sum("n").alias("n"))
 
 

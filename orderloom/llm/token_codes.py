@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderloom.llm.batches import Texts, pieces
+from orderloom.llm.batches import Texts, map_batches, pieces
 from orderloom.llm.words_bpe import encode
 from orderloom.scratch import new_scratch
 
@@ -142,7 +142,7 @@ def write_codes(documents: DataFrame, path: str, tokenizer: str, end_id: int) ->
         if held:
             yield segment()
 
-    ordered.mapInArrow(run, _SEGMENT).write.mode("overwrite").parquet(path)
+    map_batches(ordered, run, _SEGMENT).write.mode("overwrite").parquet(path)
 
 
 _NO_ID = -(1 << 63)
@@ -191,7 +191,7 @@ def read_codes(spark, path: str) -> DataFrame:
 
     schema = "part int, nth int, doc_id bigint, offset bigint, n_tokens bigint, ids_crc32 bigint"
     # A few numbers per written partition and segment; Spark broadcasts them if they are small.
-    found = segments.select("part", "nth", "doc_ids", "ends", "codes").mapInArrow(run, schema)
+    found = map_batches(segments.select("part", "nth", "doc_ids", "ends", "codes"), run, schema)
     return found.join(starts, ["part", "nth"]).select(
         "doc_id", (F.col("segment_start") + F.col("offset")).alias("start"), "n_tokens", "ids_crc32"
     )
