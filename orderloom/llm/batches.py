@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
@@ -158,15 +158,16 @@ def pieces(batch: pa.RecordBatch, text: str = "text") -> Iterator[pa.RecordBatch
 
 def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
     """``df.mapInArrow``, on executors that need not have this package installed."""
-    _send_package(df.sparkSession.sparkContext)
+    send_package(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 
 _SENT: set[str] = set()
 
 
-def _send_package(context) -> None:
+def send_package(spark: SparkSession) -> None:
     """Give the package to the Python workers of an application, once."""
+    context = spark.sparkContext
     if context.applicationId in _SENT:
         return
     _SENT.add(context.applicationId)

@@ -15,16 +15,17 @@ sets are one class throughout.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.batches import SPACED, Texts, map_batches, map_texts
+from orderloom.llm.batches import SPACED, Texts, map_batches, map_texts, send_package
 from orderloom.llm.components import connected_components
 from orderloom.llm.spread import KeyFilter, attach
 from orderloom.scratch import new_scratch, written
@@ -49,6 +50,7 @@ class Limits:
     pivot_bytes: int = 32 << 20
 
 
+_MAY_GO = "_may_go"
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -87,8 +89,8 @@ def hashed_sets(texts: Texts, width: int = SHINGLE) -> tuple[np.ndarray, np.ndar
     return value, np.searchsorted(owner, np.arange(len(n) + 1))
 
 
-def shingle_sets(documents: DataFrame, width: int = SHINGLE) -> DataFrame:
-    """doc_id, n_shingles, class (hash of the set, null if empty) and shingles (sorted hashes)."""
+def shingle_sets(documents: DataFrame, width: int = SHINGLE, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """Columns ``keep``, n_shingles, class (hash of the set, null if empty) and shingles (sorted hashes)."""
 
     def work(batch: pa.RecordBatch) -> list[pa.Array]:
         value, at = hashed_sets(Texts.of(batch.column("text")), width)
@@ -100,7 +102,7 @@ def shingle_sets(documents: DataFrame, width: int = SHINGLE) -> DataFrame:
         lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(value))
         return [pa.array(n), pa.array(kind, pa.int64()), lists]
 
-    return map_texts(documents, work, "n_shingles bigint, class bigint, shingles array<bigint>")
+    return map_texts(documents, work, "n_shingles bigint, class bigint, shingles array<bigint>", keep)
 
 
 def _lists(column: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -440,7 +442,8 @@ def similar_groups(
 ) -> DataFrame:
     """Every row of ``documents`` with the group of documents that it is connected with.
 
-    Returned: doc_id, n_shingles, component_id. Two documents are linked if
+    Returned: doc_id, n_shingles, component_id, and class and group, which tell sets
+    and groups of sets apart (null without shingles). Two documents are linked if
     100 * common >= percent * all of their shingles; component_id is the smallest
     doc_id that links lead to, itself included. Null texts and texts without
     words have no shingle and no link. Rows with equal sets are linked with each
@@ -492,11 +495,53 @@ def similar_groups(
     groups = classes.groupBy("component").agg(F.min("first_id").alias("component_id"), F.count(F.lit(1)).alias("n_classes"))
     groups = written(spark, groups, f"{scratch}/groups")
     of_class = attach(classes, groups, ["component"], "n_classes", classes.count())
-    of_class = written(spark, of_class.select("class", "component_id", "n"), f"{scratch}/of-class")
+    of_class = of_class.select("class", "component_id", F.col("component").alias("group"), "n")
+    of_class = written(spark, of_class, f"{scratch}/of-class")
     rows = sets.select("doc_id", "n_shingles", "class")
     found = attach(rows.where("class is not null"), of_class, ["class"], "n", sets.count())
-    alone = rows.where("class is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return found.select("doc_id", "n_shingles", "component_id").unionByName(alone)
+    alone = rows.where("class is null").select(
+        "doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "class", F.lit(None).cast("bigint").alias("group")
+    )
+    return found.select("doc_id", "n_shingles", "component_id", "class", "group").unionByName(alone)
+
+
+def one_of_each(documents: DataFrame, percent: int = PERCENT, width: int = SHINGLE, limits: Limits | None = None) -> DataFrame:
+    """The rows of ``documents``, all columns, that are first in their group of similar ones.
+
+    The document with the smallest doc_id stays, one row of it; documents without
+    shingles all stay. Texts stay where they are unless their doc_id may be one
+    that goes, or occurs more than once: only those rows are shuffled.
+    """
+    spark = documents.sparkSession
+    found = similar_groups(documents, percent, width, limits).select("doc_id", "component_id", "class", "group")
+    found = written(spark, found, new_scratch(spark, "groups"))
+    goes = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id")
+    often = found.where("class is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    looked_at = goes.unionByName(often).where("doc_id is not null")
+    shared = spark.sparkContext.broadcast(KeyFilter.of(looked_at, "doc_id"))
+
+    @F.pandas_udf("boolean")
+    def may_go(ids: pd.Series) -> pd.Series:
+        known = ids.notna().to_numpy()
+        out = np.ones(len(ids), bool)
+        out[known] = shared.value.may_hold(ids[known].to_numpy(np.int64))
+        return pd.Series(out)
+
+    send_package(spark)
+    tagged = documents.withColumn(_MAY_GO, may_go("doc_id"))
+    stays = tagged.where(~F.col(_MAY_GO)).drop(_MAY_GO)
+    asked = tagged.where(_MAY_GO).drop(_MAY_GO)
+    classed = shingle_sets(asked, width, documents.columns).select(*documents.columns, F.col("class").alias(_MAY_GO))
+    first = (
+        found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+        .select(F.col("doc_id").alias("_id"), F.col("class").alias("_class"), F.col("group").alias("_group"))
+        .distinct()
+    )
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col(_MAY_GO).eqNullSafe(F.col("_class"))
+    kept = classed.join(first, same)
+    # Rows of one doc_id in one group: one stays.
+    once = kept.where("_group is not null").dropDuplicates(["_id", "_group"]).unionByName(kept.where("_group is null"))
+    return stays.unionByName(once.select(*documents.columns))
 
 
 def _chosen(sets: DataFrame, blocks: DataFrame) -> DataFrame:

@@ -23,25 +23,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _held_out(divisor: int):
+def held_out(divisor: int):
     return F.coalesce(remainder("doc_id", divisor) == 2, F.lit(False))
 
 
 def _language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
-    model = language_id.fit(documents, ~_held_out(4))
+    model = language_id.fit(documents, ~held_out(4))
     found = language_id.identify(documents, model)
-    return found.select("doc_id", _held_out(4).alias("held_out"), "lang_pred", "score", "accepted")
+    return found.select("doc_id", held_out(4).alias("held_out"), "lang_pred", "score", "accepted")
 
 
 def _lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = neural_lm.score(table(spark, sf_dir, "documents"), ~_held_out(7))
+    found = neural_lm.score(table(spark, sf_dir, "documents"), ~held_out(7))
     numbers = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
-    return found.select("doc_id", _held_out(7).alias("held_out"), *numbers)
+    return found.select("doc_id", held_out(7).alias("held_out"), *numbers)
 
 
 def _jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return similar_groups(table(spark, sf_dir, "documents"))
+    return similar_groups(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
 def _license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,8 +52,8 @@ def _license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
-    model = quality_crf.fit(documents, table(spark, sf_dir, "labels"), ~_held_out(4))
-    return quality_crf.rate(documents, model).select("doc_id", _held_out(4).alias("held_out"), "score", "predicted")
+    model = quality_crf.fit(documents, table(spark, sf_dir, "labels"), ~held_out(4))
+    return quality_crf.rate(documents, model).select("doc_id", held_out(4).alias("held_out"), "score", "predicted")
 
 
 def _exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,45 +2,91 @@
 
 Such a tokenizer never joins characters across white space, so a text's ids are
 the ids of its words, one after another. Every different word of a batch is
-encoded once; a worker keeps the ids of frequent words between batches.
+encoded once; a worker keeps the ids of words between batches.
 """
 
 from __future__ import annotations
 
 import os
-from functools import lru_cache
+import re
+from array import array
+from collections.abc import Sequence
 
 import numpy as np
-import pyarrow as pa
 
 from orderloom.llm.batches import SPACED, Texts
 
-#: Words whose ids a Python worker keeps.
-KEPT_WORDS = 300_000
-_KEPT: dict[str, dict[bytes, bytes]] = {}
+#: Words whose ids a Python worker keeps at least, of which it forgets the longest unused; words encoded at once.
+KEPT_WORDS, _AT_ONCE = 200_000, 20_000
+#: Words of Latin letters (composed, with one lower-case letter each) and ASCII signs after them.
+_SIMPLE = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017e]+)([!-&(-/:-@\\[-`{-~]*)")
+_PROBES = ("Whether", "whether", "THE", "probe,", "It.", "a", "Zx!", "overwhelmingly;", "end|", "Écrit", "ñandú,", "GRÖSSE", "ŽLUŤ.", "x%%%", "n$-_]")
 
+_WORKER: dict[str, WordEncoder] = {}
 
-@lru_cache(maxsize=4)
-def _tokenizer(path: str):
-    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    from tokenizers import Tokenizer
 
-    return Tokenizer.from_file(path)
+class WordEncoder:
+    """Ids of words by one tokenizer, as bytes of unsigned 32-bit numbers."""
+
+    def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self.full = Tokenizer.from_file(path)
+        # The model and its alphabet of bytes, without the steps that find nothing to do in simple words.
+        self.bare = Tokenizer(self.full.model)
+        self.bare.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.kept: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        probes = [p.encode() for p in _PROBES]
+        self.has_simple = self._full(probes) == self._by_parts([_SIMPLE.fullmatch(p).groups() for p in _PROBES])
+
+    def _encode(self, tokenizer, words: Sequence[str]) -> list[bytes]:
+        out = []
+        for i in range(0, len(words), _AT_ONCE):
+            some = tokenizer.encode_batch_fast(words[i : i + _AT_ONCE], add_special_tokens=False)
+            out += [array("I", e.ids).tobytes() for e in some]
+        return out
+
+    def _full(self, words: Sequence[bytes]) -> list[bytes]:
+        return self._encode(self.full, [w.decode("utf-8") for w in words])
+
+    def _by_parts(self, parts: Sequence[tuple[str, str]]) -> list[bytes]:
+        """Ids of lower-cased letters and of the signs after them, every different run encoded once."""
+        parts = [(letters.lower(), signs) for letters, signs in parts]
+        stems, ends = list({letters: 0 for letters, _ in parts}), list({signs: 0 for _, signs in parts})
+        ids = dict(zip(stems, self._encode(self.bare, stems), strict=True))
+        of_signs = dict(zip(ends, self._encode(self.full, ends), strict=True))
+        return [ids[letters] + of_signs[signs] for letters, signs in parts]
+
+    def encode(self, words: Sequence[bytes]) -> list[bytes]:
+        kept, older = self.kept, self.older
+        if len(kept) > KEPT_WORDS:
+            self.kept, self.older = kept, older = {}, kept
+        simple, parts, other = [], [], []
+        for w in words:
+            if w in kept:
+                continue
+            if w in older:
+                kept[w] = older[w]
+                continue
+            found = _SIMPLE.fullmatch(w.decode("utf-8")) if self.has_simple else None
+            if found:
+                simple.append(w)
+                parts.append(found.groups())
+            else:
+                other.append(w)
+        kept.update(zip(simple, self._by_parts(parts), strict=True))
+        kept.update(zip(other, self._full(other), strict=True))
+        return [kept[w] for w in words]
 
 
 def encode(texts: Texts, path: str) -> tuple[np.ndarray, np.ndarray]:
     """All ids of the texts, and where each text's begin (one more at the end)."""
+    if path not in _WORKER:
+        _WORKER[path] = WordEncoder(path)
     words = texts.words(SPACED)
-    kept = _KEPT.setdefault(path, {})
-    distinct = words.distinct
-    missing = [w for w in distinct if w not in kept]
-    if missing:
-        if len(kept) + len(missing) > KEPT_WORDS:
-            kept.clear()
-            missing = distinct
-        found = _tokenizer(path).encode_batch_fast([w.decode("utf-8") for w in missing], add_special_tokens=False)
-        kept.update(zip(missing, (np.array(e.ids, np.uint32).tobytes() for e in found), strict=True))
-    ids_of = [kept[w] for w in distinct]
+    ids_of = _WORKER[path].encode(words.distinct)
     flat = np.frombuffer(b"".join(ids_of), np.uint32)
     size = np.fromiter(map(len, ids_of), np.int64, len(ids_of)) // 4
     first = np.cumsum(size) - size
@@ -53,7 +99,3 @@ def encode(texts: Texts, path: str) -> tuple[np.ndarray, np.ndarray]:
 def lengths(texts: Texts, path: str) -> np.ndarray:
     ids, at = encode(texts, path)
     return np.diff(at)
-
-
-def texts_of(column: pa.Array) -> Texts:
-    return Texts.of(column)
