@@ -163,6 +163,7 @@ class LanguageModel:
     table: np.ndarray
     shares: np.ndarray
     head: dict[bytes, int]
+    ends: int
     n_tokens: int
     n_words: int
 
@@ -176,6 +177,7 @@ def fit(documents: DataFrame, may_learn: Column, folder: str) -> tuple[LanguageM
     # Bounded: HEAD_WORDS rows of at most HEAD_BYTES and a count.
     head = counts.where(F.octet_length("word") <= HEAD_BYTES).orderBy(F.desc("n"), "word").limit(HEAD_WORDS).select("word", "n").toArrow()
     head = dict(zip(head.column("word").to_pylist(), head.column("n").to_pylist(), strict=True))
+    ends = counts.where(F.octet_length("word") == 0).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     # Of equal counts the smaller word first, as above.
     own = sorted(head, key=lambda w: (-head[w], w))[:OWN]
     classes = Classes(own)
@@ -187,7 +189,7 @@ def fit(documents: DataFrame, may_learn: Column, folder: str) -> tuple[LanguageM
     # Bounded: one row per possible triple.
     cells = count_triples(known, classes).toArrow().sort_by("triple")
     table = train(cells.column("triple").to_numpy(), cells.column("n").to_numpy().astype(np.float64))
-    return LanguageModel(classes, table.astype(np.float32), shares, head, n_tokens, n_words), counts
+    return LanguageModel(classes, table.astype(np.float32), shares, head, ends, n_tokens, n_words), counts
 
 
 def score(documents: DataFrame, may_learn: Column) -> DataFrame:
@@ -213,7 +215,7 @@ def score(documents: DataFrame, may_learn: Column) -> DataFrame:
         of_class = np.where(is_own, 0.0, log_c)
         by_token = triples(m.classes.of(words))
         value = m.table[by_token // CLASSES, by_token % CLASSES].astype(np.float64) - m.shares[by_token % CLASSES]
-        end_c = m.head.get(END, 0)
+        end_c = m.ends
         logs = np.stack([log_c, of_class, (c > 0).astype(np.float64)], axis=1)
         per_text = sums(logs[words.codes], words.at) if len(distinct) else np.zeros((n, 3))
         tokens = words.counts + 1
