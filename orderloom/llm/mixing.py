@@ -20,7 +20,7 @@ from orderloom.llm.spread import SMALL_ROWS, attach, small_or_shuffled, unit
 from orderloom.scratch import new_scratch, written
 
 #: Documents of one range of keys, which are sorted together.
-RANGE_ROWS = 20_000
+RANGE_ROWS = 4_000
 
 _CLEAN = np.zeros(256, np.int64)
 _CLEAN[[*range(9, 14), 32, *range(48, 58), *range(65, 91), *range(97, 123), *range(0xC0, 256)]] = 1
