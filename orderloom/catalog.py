@@ -15,6 +15,11 @@ def ensure_database(spark: SparkSession, database: str, location: str | None = N
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{at}")
 
 
+def drop_database(spark: SparkSession, database: str) -> None:
+    """The database with its tables; files of external tables stay."""
+    spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
+
+
 def use_database(spark: SparkSession, database: str) -> None:
     """For interactive sessions; the library itself uses qualified names."""
     spark.catalog.setCurrentDatabase(database)

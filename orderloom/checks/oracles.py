@@ -239,10 +239,14 @@ _SENT = """
     FROM r_orders r JOIN orders ON o_orderkey = r.order_id"""
 
 
-def _landed(customer: str, where: str) -> str:
+# Of open orders every fifth sends a freight that is no number.
+_AMOUNT_READ = "CASE WHEN order_id % 5 <> 0 THEN amount END"
+
+
+def _landed(customer: str, where: str, freight: str = "amount") -> str:
     return f"""
         SELECT order_id, {customer} AS customer_id, employee_id, order_date, required_date,
-               shipped_date, shipper AS shipper_id, amount AS freight, delivery_status
+               shipped_date, shipper AS shipper_id, {freight} AS freight, delivery_status
         FROM ({_SENT}) WHERE {where}"""
 
 
@@ -285,6 +289,9 @@ _BODIES = {
         SELECT o.customer_id, order_id, company
         FROM r_orders o LEFT JOIN s_customers c ON c.customer_id = o.customer_id""",
     "base_sales": "SELECT * FROM r_base",
+    "silver_base_sales": """
+        SELECT order_id, count(*) AS n_rows, sum(net_sales) AS net_sales
+        FROM s_base GROUP BY order_id""",
     "join_missing_keys": """
         SELECT d.order_id, gross, n_lines * n_orders AS n_pairs
         FROM (SELECT order_id, count(*) AS n_lines, sum(total_price) AS gross
@@ -355,10 +362,14 @@ _BODIES = {
     # Tables and reports.
     **{f"silver_{t}": f"SELECT * FROM s_{t}" for t in _TABLES},
     **_reports("r_base", "r_orders"),
+    **{f"silver_{name}": sql for name, sql in _CLEANED_REPORTS.items()},
     # Sinks, catalog.
     "full_load_bronze": "SELECT * FROM raw_order_details",
     "register_external": "SELECT * FROM s_order_details",
-    "catalog_tables": _union(*(_count(f"silver_{t}", f"s_{t}") for t in _TABLES)),
+    "catalog_tables": _union(
+        *(_count(f"silver_{t}", f"s_{t}") for t in _TABLES),
+        "SELECT 'database' AS table_name, CAST(1 AS BIGINT) AS n_rows",
+    ),
     "publish_report_table": _reports(
         # The cleaning plans drop copies among order lines and clean names.
         """(SELECT d.order_id, o.employee_id, e.employee_name, e.title, e.city AS employee_city,
@@ -385,10 +396,12 @@ _BODIES = {
                CASE WHEN status = 'O' THEN CAST(required_date AS VARCHAR) END AS required_date,
                CASE WHEN status = 'O' THEN CAST(shipped_date AS VARCHAR) END AS shipped_date,
                CASE WHEN status = 'O' THEN shipper END AS shipper_id,
-               CASE WHEN status = 'O' THEN amount END AS freight,
+               CASE WHEN status = 'O' THEN {_AMOUNT_READ} END AS freight,
                status = 'O' AS accepted
         FROM ({_SENT})""",
-    "stream_order_ingest": _landed("concat(' c', customer_id, ' ')", "status = 'O'"),
+    "stream_order_ingest": _landed("concat(' c', customer_id, ' ')", "status = 'O'", _AMOUNT_READ),
+    "stream_partly_read": f"""
+        SELECT order_id, 'EUR' AS unit FROM ({_SENT}) WHERE status = 'O' AND order_id % 5 = 0""",
     "stream_rejects": f"""
         SELECT CASE status WHEN 'P' THEN concat('order ', order_id)
                            ELSE concat('{{"order_id":"no ', order_id, '"}}') END AS payload

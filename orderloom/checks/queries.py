@@ -28,7 +28,7 @@ from orderloom.plans.runs import (
     run_incremental,
 )
 from orderloom.plans.silver import SILVER_PLANS
-from orderloom.scratch import new_scratch
+from orderloom.scratch import new_scratch, written
 from orderloom.sinks.events import to_events
 from orderloom.sinks.layers import replace_parquet, write_layer
 from orderloom.sinks.tables import publish_all
@@ -38,6 +38,7 @@ from orderloom.sources.sample_tables import driver_table, raw_tables, retail_tab
 from orderloom.streaming.ingest import (
     accepted_orders,
     decode_payload,
+    partly_read_events,
     rejected_events,
     start_ingest,
 )
@@ -66,6 +67,13 @@ def _lake(spark: SparkSession, purpose: str) -> Lakehouse:
     return lake
 
 
+def _finished(spark: SparkSession, lake: Lakehouse, result: DataFrame) -> DataFrame:
+    """``result`` by way of files, so that the database of the call can go."""
+    kept = written(spark, result, lake.layer("result"))
+    catalog.drop_database(spark, lake.database)
+    return kept
+
+
 def _counts(spark: SparkSession, counts: dict[str, int]) -> DataFrame:
     return spark.createDataFrame(sorted(counts.items()), "table_name string, n_rows bigint")
 
@@ -83,7 +91,8 @@ def parquet_scan(spark, sf_dir):
 def catalog_table_scan(spark, sf_dir):
     lake = _lake(spark, "catalog-scan")
     publish_all({"customers": retail_tables(spark, sf_dir)["customers"]}, lake.database, lake.root)
-    return read_catalog(spark, lake.database, ["customers"], prefix="")["customers"]
+    found = read_catalog(spark, lake.database, ["customers"], prefix="")["customers"]
+    return _finished(spark, lake, found)
 
 
 # ---- projection, filters -------------------------------------------------
@@ -154,6 +163,21 @@ def _star(spark: SparkSession, sf_dir: str) -> SalesStar:
 QUERIES["base_sales"] = lambda spark, sf_dir: base_sales(_star(spark, sf_dir))
 
 
+def _cleaned_star(spark: SparkSession, sf_dir: str) -> SalesStar:
+    """The star over cleaned dirty tables: stand-in ids, repeated keys."""
+    raw = raw_tables(spark, sf_dir)
+    return SalesStar.of({t: plan(raw[t], KEY_TYPE) for t, plan in SILVER_PLANS.items()})
+
+
+@query
+def silver_base_sales(spark, sf_dir):
+    """Base of the reports over cleaned tables, summed per order id."""
+    base = base_sales(_cleaned_star(spark, sf_dir))
+    return base.groupBy("order_id").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("net_sales").alias("net_sales")
+    )
+
+
 @query
 def join_missing_keys(spark, sf_dir):
     """Lines and orders that lost their order id meet under its stand-in."""
@@ -356,6 +380,13 @@ QUERIES |= {f"silver_{table}": partial(_silver, table) for table in SILVER_PLANS
 QUERIES |= {name: partial(_report, name) for name in REPORTS}
 
 
+def _silver_report(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    return REPORTS[name](Totals(_cleaned_star(spark, sf_dir)))
+
+
+QUERIES |= {f"silver_{name}": partial(_silver_report, name) for name in REPORTS}
+
+
 # ---- sinks, catalog ------------------------------------------------------
 
 
@@ -364,6 +395,7 @@ def full_load_bronze(spark, sf_dir):
     """Bronze order lines, read back."""
     lake = _lake(spark, "bronze")
     load_bronze(raw_tables(spark, sf_dir).__getitem__, lake)
+    catalog.drop_database(spark, lake.database)
     return read_layer(spark, lake.layer("bronze"), ["order_details"])["order_details"]
 
 
@@ -378,14 +410,18 @@ def _silver_lake(spark: SparkSession, sf_dir: str, purpose: str) -> Lakehouse:
 def register_external(spark, sf_dir):
     """Curated order lines by way of their external table."""
     lake = _silver_lake(spark, sf_dir, "external")
-    return read_catalog(spark, lake.database, ["order_details"])["order_details"]
+    found = read_catalog(spark, lake.database, ["order_details"])["order_details"]
+    return _finished(spark, lake, found)
 
 
 @query
 def catalog_tables(spark, sf_dir):
-    """Tables of a database as the catalog lists them, and their row counts."""
+    """Databases and tables as the catalog lists them, and the tables' row counts."""
     lake = _silver_lake(spark, sf_dir, "catalog")
-    return audit.row_counts(catalog.table_contents(spark, lake.database))
+    counts = audit.row_counts(catalog.table_contents(spark, lake.database))
+    listed = catalog.list_databases(spark).count(lake.database)
+    database = spark.createDataFrame([("database", listed)], counts.schema)
+    return _finished(spark, lake, counts.unionAll(database))
 
 
 @query
@@ -402,7 +438,7 @@ def publish_report_table(spark, sf_dir):
     catalog.register_external(spark, lake.database, lake.layer("silver"), key_type=KEY_TYPE)
     for _ in range(2):
         build_gold(spark, lake)
-    return spark.table(f"{lake.database}.report_sales_by_employee")
+    return _finished(spark, lake, spark.table(f"{lake.database}.report_sales_by_employee"))
 
 
 def _as_raw(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -413,7 +449,9 @@ def _as_raw(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
 @query
 def full_load_run(spark, sf_dir):
     lake = _lake(spark, "full-load")
-    return _counts(spark, run_full_load(spark, raw_tables(spark, sf_dir).__getitem__, lake))
+    counts = run_full_load(spark, raw_tables(spark, sf_dir).__getitem__, lake)
+    catalog.drop_database(spark, lake.database)
+    return _counts(spark, counts)
 
 
 @query
@@ -421,7 +459,7 @@ def full_load_kpi(spark, sf_dir):
     """KPI table of a full load: lost order ids count as one more order."""
     lake = _lake(spark, "full-load-kpi")
     run_full_load(spark, raw_tables(spark, sf_dir).__getitem__, lake)
-    return spark.table(f"{lake.database}.report_kpi_summary")
+    return _finished(spark, lake, spark.table(f"{lake.database}.report_kpi_summary"))
 
 
 # ---- events --------------------------------------------------------------
@@ -441,7 +479,10 @@ def _order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _faulty_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders in process send what is not JSON, filled orders a wrong type."""
+    """Orders in process send what is not JSON, filled orders an id of the wrong type.
+
+    Of the others, every fifth has a freight that cannot be read.
+    """
     status = driver_table(spark, sf_dir)("orders").select(
         c("o_orderkey").alias("order_id"), c("o_orderstatus").alias("status")
     )
@@ -457,6 +498,10 @@ def _faulty_events(spark: SparkSession, sf_dir: str) -> DataFrame:
                 c("status") == "F",
                 F.concat(F.lit('{"order_id":"no '), c("order_id").cast("string"), F.lit('"}')),
             )
+            .when(
+                c("order_id") % 5 == 0,
+                F.regexp_replace(text, r'"freight":([^,}]+)', r'"freight":"$1 EUR"'),
+            )
             .otherwise(text)
             .cast("binary")
             .alias("value")
@@ -495,12 +540,24 @@ def _ingested(spark: SparkSession, events: DataFrame, purpose: str) -> Lakehouse
 def stream_order_ingest(spark, sf_dir):
     lake = _ingested(spark, _faulty_events(spark, sf_dir), "ingest")
     landed = accepted_orders(spark, lake.stream("bronze"), KEY_TYPE)
+    catalog.drop_database(spark, lake.database)
     return landed.drop("ingestion_timestamp")
 
 
+@query
+def stream_partly_read(spark, sf_dir):
+    """Orders with a field that could not be read, and what was sent."""
+    lake = _ingested(spark, _faulty_events(spark, sf_dir), "partly-read")
+    catalog.drop_database(spark, lake.database)
+    found = partly_read_events(spark, lake.stream("bronze"), KEY_TYPE)
+    sent = F.get_json_object("payload", "$.freight").alias("sent_freight")
+    return found.select("order_id", F.regexp_extract(sent, " (EUR)$", 1).alias("unit"))
+
+
 @query
 def stream_rejects(spark, sf_dir):
     lake = _ingested(spark, _faulty_events(spark, sf_dir), "rejects")
+    catalog.drop_database(spark, lake.database)
     return rejected_events(spark, lake.stream("bronze"), KEY_TYPE).select("payload")
 
 
@@ -523,6 +580,7 @@ def _refined(spark: SparkSession, sf_dir: str, purpose: str) -> Lakehouse:
 def stream_orders_silver(spark, sf_dir):
     lake = _refined(spark, sf_dir, "refine")
     silver = refined_orders(spark, lake.stream("silver"), KEY_TYPE)
+    catalog.drop_database(spark, lake.database)
     return silver.drop("ingestion_timestamp", "silver_load_timestamp")
 
 
@@ -530,7 +588,8 @@ def stream_orders_silver(spark, sf_dir):
 def publish_stream_table(spark, sf_dir):
     lake = _refined(spark, sf_dir, "stream-table")
     publish_orders(spark, lake.stream("silver"), lake.stream_table, KEY_TYPE)
-    return spark.table(lake.stream_table).drop("ingestion_timestamp", "silver_load_timestamp")
+    found = spark.table(lake.stream_table).drop("ingestion_timestamp", "silver_load_timestamp")
+    return _finished(spark, lake, found)
 
 
 @query
@@ -538,7 +597,8 @@ def latest_orders_preview(spark, sf_dir):
     lake = _refined(spark, sf_dir, "preview")
     publish_orders(spark, lake.stream("silver"), lake.stream_table, KEY_TYPE)
     newest = latest_orders(spark, lake.stream_table)
-    return newest.drop("ingestion_timestamp", "silver_load_timestamp")
+    found = newest.drop("ingestion_timestamp", "silver_load_timestamp")
+    return _finished(spark, lake, found)
 
 
 @query
@@ -548,7 +608,7 @@ def incremental_run(spark, sf_dir):
     replace_parquet(_faulty_events(spark, sf_dir), lake.layer("arrivals"))
     for _ in range(2):
         run_incremental(spark, file_events(spark, lake.layer("arrivals")), lake)
-    return audit.row_counts(
+    counts = audit.row_counts(
         {
             "bronze": accepted_orders(spark, lake.stream("bronze"), KEY_TYPE),
             "rejected": rejected_events(spark, lake.stream("bronze"), KEY_TYPE),
@@ -556,3 +616,4 @@ def incremental_run(spark, sf_dir):
             "table": spark.table(lake.stream_table),
         }
     )
+    return _finished(spark, lake, counts)

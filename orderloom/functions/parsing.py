@@ -43,8 +43,16 @@ def _int_from_text(text: Column, type_name: str) -> Column:
 
 
 def to_decimal(value: Column, precision: int, scale: int) -> Column:
-    """Decimal value, rounded half up to ``scale``; NULL where it does not fit."""
-    return value.try_cast(f"decimal({precision},{scale})")
+    """Decimal value, rounded half up to ``scale``; NULL where it does not fit.
+
+    Numerals may have outer white space, a sign and an exponent.
+    """
+    target = f"decimal({precision},{scale})"
+    text = value.cast("string")
+    numeral = text.rlike(r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$")
+    return F.when(_is_text(value), F.when(numeral, text.try_cast(target))).otherwise(
+        value.try_cast(target)
+    )
 
 
 def to_text(value: Column) -> Column:

@@ -72,6 +72,20 @@ def join_one_per_key(
     side). ``heavy`` lists the keys with many rows in ``many``; all of them
     occur there.
     """
+    if keep_all_of == "many":
+        # Rows without a key find nothing: they stay where they are, however many there are.
+        found = [f for f in one.schema if f.name != key]
+        no_key = many.where(F.col(key).isNull()).select(
+            "*", *(F.lit(None).cast(f.dataType).alias(f.name) for f in found)
+        )
+        many = many.where(F.col(key).isNotNull())
+        return _joined(many, one, key, heavy, keep_all_of).unionByName(no_key)
+    return _joined(many, one, key, heavy, keep_all_of)
+
+
+def _joined(
+    many: DataFrame, one: DataFrame, key: str, heavy: Sequence, keep_all_of: str | None
+) -> DataFrame:
     if not heavy:
         return _plain(many, one, key, keep_all_of)
     is_heavy = F.coalesce(F.col(key).isin(list(heavy)), F.lit(False))

@@ -52,6 +52,16 @@ _ATTRIBUTES = {
     },
     "shippers": {"shipping_company_name": "shipping_company_name"},
 }
+# Fixed value: columns of an order header in the base of reports.
+_HEADER_COLUMNS = [
+    "order_id",
+    "customer_id",
+    "employee_id",
+    "shipper_id",
+    "order_date",
+    "delivery_status",
+    "freight",
+]
 ORDER_DIMENSIONS = ("customers", "employees", "shippers")
 TOTAL_TYPE = "decimal(38,2)"
 
@@ -127,6 +137,10 @@ class SalesStar:
 def base_sales(star: SalesStar) -> DataFrame:
     """One row per order line with its order, dimension attributes and net sales.
 
+    On cleaned tables lines and orders that lost their id share one stand-in id,
+    and every such line meets every such order: the result grows with the
+    product of the two. Reports never make it; ``order_totals``,
+    ``product_totals`` and ``base_sales_count`` say the same without the pairs.
     Lines without an order vanish; lines without a dimension row keep NULLs.
     No hints: Spark broadcasts what is below its size limit, and splits skewed
     partitions of the others at run time, since each join reads two shuffles.
@@ -138,10 +152,7 @@ def base_sales(star: SalesStar) -> DataFrame:
         "quantity",
         "discount",
     )
-    headers = star.orders.select(
-        *("order_id", "customer_id", "employee_id", "shipper_id"),
-        *("order_date", "delivery_status", "freight"),
-    )
+    headers = star.orders.select(*_HEADER_COLUMNS)
     joined = lines.join(headers, "order_id")
     for name, key in DIMENSIONS.items():
         joined = joined.join(dimension_attributes(star, name), key, "left")
@@ -261,7 +272,9 @@ def _with_copies(star: SalesStar, facts: DataFrame, dimension: str) -> DataFrame
     if profile.repeated_bytes <= star.policy.broadcast_bytes:
         joined = facts.join(F.broadcast(repeated), key, "left")
     else:
-        heavy = heavy_keys(facts, key, star.policy)
+        # The base table has the same keys as often as the joined one, or a fixed factor of it.
+        base = star.order_details if dimension == "products" else star.orders
+        heavy = heavy_keys(base, key, star.policy)
         joined = join_one_per_key(facts, repeated, key, heavy, keep_all_of="many")
     return joined.withColumn(copies, F.coalesce(c(copies), F.lit(1).cast("bigint")))
 

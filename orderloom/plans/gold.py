@@ -52,14 +52,34 @@ def _largest_first(amount: str, *ties: str) -> list[Column]:
     return [c(amount).desc_nulls_last(), *(c(t).asc_nulls_first() for t in ties)]
 
 
+def _top(t: Totals, totals: DataFrame, dimension: str, order_by: str) -> DataFrame:
+    """The first rows of ``totals`` (one per key) with the attributes of ``dimension``.
+
+    Where no key of the dimension is repeated, the totals are cut to the top
+    first (ties go by the key, so the cut is exact), and the dimension is only
+    searched for those few keys: it is neither shuffled nor sorted. Repeated
+    keys add attribute groups, and the cut comes after the join.
+    """
+    key = st.DIMENSIONS[dimension]
+    attributes = st.dimension_attributes(t.star, dimension)
+    if t.star.dimensions[dimension].repeated:
+        return st.with_attributes(t.star, totals, dimension)
+    few = totals.orderBy(*_largest_first(order_by, key)).limit(TOP)
+    # At most TOP rows on either side.
+    wanted = attributes.join(F.broadcast(few.select(key)), key, "left_semi")
+    return few.join(F.broadcast(wanted), key, "left")
+
+
 def top_customers(t: Totals, ordered: bool = True) -> DataFrame:
     """Ten customers by total spend; ties go by the customer columns."""
     spend = t.by_order.groupBy("customer_id").agg(
         F.sum(st.weighted_sales(t.star, ("employees", "shippers"))).alias("spend")
     )
+    # What is compared is the rounded amount.
+    spend = spend.withColumn("rounded", _money(c("spend")))
     who = ("customer_id", "company", "contact_name", "customer_city", "customer_country")
     return (
-        st.with_attributes(t.star, spend, "customers")
+        _top(t, spend, "customers", "rounded")
         .groupBy(*who)
         .agg(_money(F.sum("spend")).alias("total_spend"))
         .orderBy(*_largest_first("total_spend", *who))
@@ -70,8 +90,9 @@ def top_customers(t: Totals, ordered: bool = True) -> DataFrame:
 def top_products(t: Totals, ordered: bool = True) -> DataFrame:
     """Ten products by revenue; ties go by the product columns."""
     what = ("product_id", "product_name", "category_id")
+    totals = t.by_product.withColumn("rounded", _money(c("net_sales")))
     return (
-        st.with_attributes(t.star, t.by_product, "products")
+        _top(t, totals, "products", "rounded")
         .groupBy(*what)
         .agg(
             F.sum("quantity").alias("total_quantity_sold"),
@@ -140,31 +161,36 @@ def orders_by_delivery_status(t: Totals, ordered: bool = True) -> DataFrame:
     return report.orderBy(*_largest_first("total_orders", "delivery_status")) if ordered else report
 
 
+# Fixed value: columns of the KPI report.
+_KPI_COLUMNS = [
+    "total_revenue",
+    "total_orders",
+    "total_customers",
+    "total_products",
+    "total_employees",
+]
+
+
 def kpi_summary(t: Totals, ordered: bool = True) -> DataFrame:
     """One row: revenue, and how many orders, customers, products, employees.
 
     Distinct counts over the joined lines would copy every line once per
-    counted column. Here orders are counted on totals that are already
-    partitioned by order id, customers and employees on their pairs, products
-    on product totals; the one-row parts are then folded into one.
+    counted column. Here one pass over the order totals counts orders,
+    customers and employees, and one over the product totals counts products,
+    so the lines are read twice; the two rows are then folded into one.
     """
     revenue = st.weighted_sales(t.star, st.ORDER_DIMENSIONS)
-    pairs = t.by_order.groupBy("customer_id", "employee_id").agg(F.sum(revenue).alias("revenue"))
     parts = [
-        pairs.agg(
-            _money(F.sum("revenue")).alias("total_revenue"),
+        t.by_order.agg(
+            _money(F.sum(revenue)).alias("total_revenue"),
+            F.count_distinct("order_id").alias("total_orders"),
             F.count_distinct("customer_id").alias("total_customers"),
             F.count_distinct("employee_id").alias("total_employees"),
         ),
-        t.by_order.agg(F.count_distinct("order_id").alias("total_orders")),
         t.by_product.agg(F.count("product_id").alias("total_products")),
     ]
     folded = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    columns = (
-        *("total_revenue", "total_orders"),
-        *("total_customers", "total_products", "total_employees"),
-    )
-    return folded.agg(*(F.max(name).alias(name) for name in columns))
+    return folded.agg(*(F.max(name).alias(name) for name in _KPI_COLUMNS))
 
 
 REPORTS: dict[str, Callable[..., DataFrame]] = {

@@ -14,14 +14,14 @@ def scratch_root(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
     Only a local session, whose driver and executors share one disk, may do
-    without: it gets a new temporary folder.
+    without: it uses the temporary folder.
     """
     configured = spark.conf.get(_SETTING, None)
     if configured:
         return configured.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError(f"set {_SETTING} to a folder that all executors can reach")
-    return tempfile.mkdtemp(prefix="orderloom-")
+    return tempfile.gettempdir()
 
 
 def new_scratch(spark: SparkSession, purpose: str) -> str:

@@ -32,6 +32,12 @@ def publish_all(tables: Mapping[str, DataFrame], database: str, root: str) -> di
     )
 
 
+def append_managed(df: DataFrame, table: str) -> None:
+    """Add rows to a table whose files the catalog manages; it is made if it is not there."""
+    df.write.mode("append").format("parquet").saveAsTable(table)
+    df.sparkSession.catalog.refreshTable(table)
+
+
 def publish_managed(df: DataFrame, table: str) -> int:
     """Replace a table whose files the catalog manages."""
     observed, rows = counted(df)

@@ -8,6 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 PAYLOAD_SCHEMA = "value binary"
 
+# A file source forgets files after a week by default and then ignores every older file that
+# arrives, without a word. No file is ever too old here.
+NO_FILE_TOO_OLD = {"maxFileAge": "36500d"}
+# Options of the Kafka source for everything a topic holds.
+KAFKA_FROM_START = {"startingOffsets": "earliest", "failOnDataLoss": "false"}
+
 
 def kafka_events(
     spark: SparkSession, servers: str, topic: str, options: Mapping[str, str] | None = None
@@ -22,8 +28,7 @@ def kafka_events(
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
-        .option("startingOffsets", "earliest")
-        .option("failOnDataLoss", "false")
+        .options(**KAFKA_FROM_START)
         .options(**(options or {}))
         .load()
         .select("value")
@@ -33,10 +38,16 @@ def kafka_events(
 def file_events(
     spark: SparkSession, path: str, options: Mapping[str, str] | None = None
 ) -> DataFrame:
-    """Parquet files of payloads that arrive in a directory."""
+    """Parquet files of payloads that arrive in a directory, each once, however old.
+
+    The names of all files seen stay in memory. Where many arrive, pass
+    ``cleanSource="archive"`` and ``sourceArchiveDir``: files that have been read
+    move there, and the directory to list stays short.
+    """
     return (
         spark.readStream.format("parquet")
         .schema(PAYLOAD_SCHEMA)
+        .options(**NO_FILE_TOO_OLD)
         .options(**(options or {}))
         .load(path)
     )

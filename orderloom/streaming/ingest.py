@@ -1,10 +1,12 @@
 """Order events to a parquet landing table.
 
-Every message becomes one row. Messages that hold no usable order (not JSON, a
-value of the wrong type, no order id) are kept with their payload in partition
-``accepted=false``: one stream, one exactly-once sink, and nothing is lost or
-read twice. ``accepted_orders`` and ``rejected_events`` read the two parts;
-both prune to their partition.
+Every message becomes one row. A message with an order id is an order, whatever
+else it holds: a field that cannot be read is NULL. All others (not JSON, no
+usable id) are kept in partition ``accepted=false``: one stream, one exactly-once
+sink, and nothing is lost or read twice. The payload is kept wherever something
+could not be read. ``accepted_orders`` and ``rejected_events`` read the two
+parts, and both prune to their partition; ``partly_read_events`` reads the
+payloads of orders with unreadable fields.
 """
 
 from __future__ import annotations
@@ -31,10 +33,10 @@ def decode_payload(events: DataFrame, key_type: str = "int") -> DataFrame:
     order = F.from_json(text, schema, {"columnNameOfCorruptRecord": _BAD})
     columns = event_schema(key_type).names
     parsed = events.select(text.alias("payload"), order.alias("order")).select("payload", "order.*")
-    usable = c(_BAD).isNull() & c("order_id").isNotNull()
+    usable = c("order_id").isNotNull()
     return parsed.select(
         *columns,
-        F.when(~usable, c("payload")).alias("payload"),
+        F.when(c(_BAD).isNotNull() | ~usable, c("payload")).alias("payload"),
         usable.alias(_ACCEPTED),
     )
 
@@ -72,11 +74,18 @@ def start_ingest(
     checkpoint: str,
     interval: str | None = None,
     key_type: str = "int",
+    files_per_batch: int | None = None,
 ) -> StreamingQuery:
-    """Start the ingest: all available events and stop, or every ``interval``."""
+    """Start the ingest: all available events and stop, or every ``interval``.
+
+    ``files_per_batch`` bounds the files that a micro-batch adds per partition:
+    with a short interval, set it to what an interval's events fill.
+    """
+    rows = classify_orders(decode_payload(events, key_type))
+    if files_per_batch:
+        rows = rows.coalesce(files_per_batch)
     writer = (
-        classify_orders(decode_payload(events, key_type))
-        .writeStream.format("parquet")
+        rows.writeStream.format("parquet")
         .outputMode("append")
         .partitionBy(_ACCEPTED)
         .option("path", landing)
@@ -95,6 +104,15 @@ def accepted_orders(spark: SparkSession, landing: str, key_type: str = "int") ->
     return landed_rows(spark, landing, key_type).where(c(_ACCEPTED)).drop(_ACCEPTED, "payload")
 
 
+def partly_read_events(spark: SparkSession, landing: str, key_type: str = "int") -> DataFrame:
+    """Orders that are in use although some of their fields could not be read."""
+    return (
+        landed_rows(spark, landing, key_type)
+        .where(c(_ACCEPTED) & c("payload").isNotNull())
+        .select("order_id", "payload", "ingestion_timestamp")
+    )
+
+
 def rejected_events(spark: SparkSession, landing: str, key_type: str = "int") -> DataFrame:
     return (
         landed_rows(spark, landing, key_type)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Mapping
 from contextlib import contextmanager
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from orderloom.functions import upper_trimmed
+from orderloom.sources.events import NO_FILE_TOO_OLD
 from orderloom.streaming.ingest import landing_schema
 
 Batches = Iterator[pa.RecordBatch]
@@ -27,6 +29,9 @@ STATE_SETTINGS = {
     ),
 }
 
+_WIDTH = "spark.sql.shuffle.partitions"
+MAX_STATE_PARTITIONS = 256
+
 
 def landed_stream(
     spark: SparkSession,
@@ -41,6 +46,7 @@ def landed_stream(
     """
     return (
         spark.readStream.schema(landing_schema(key_type))
+        .options(**NO_FILE_TOO_OLD)
         .options(**(batch_limits or {}))
         .parquet(landing)
         .where(c("accepted"))
@@ -48,14 +54,17 @@ def landed_stream(
     )
 
 
-def refine_orders(orders: DataFrame) -> DataFrame:
+def refine_orders(orders: DataFrame, thin_repeats: bool = False) -> DataFrame:
     """Customer code normalised, load stamped, one row per order id kept.
 
     Which of several rows survives is open, as rows of a stream have no order.
+    ``thin_repeats`` sends rows through an Arrow filter first, for streams in
+    which single ids are repeated very often.
     """
     cleaned = orders.withColumn("customer_id", upper_trimmed(c("customer_id")))
-    thinned = cleaned.mapInArrow(first_rows_of_batches(KEY), cleaned.schema)
-    return thinned.dropDuplicates([KEY]).withColumn(
+    if thin_repeats:
+        cleaned = cleaned.mapInArrow(first_rows_of_batches(KEY), cleaned.schema)
+    return cleaned.dropDuplicates([KEY]).withColumn(
         "silver_load_timestamp", F.current_timestamp()
     )
 
@@ -71,8 +80,10 @@ def first_rows_of_batches(key: str) -> Callable[[Batches], Batches]:
 
     def keep_first(batches: Batches) -> Batches:
         for batch in batches:
-            repeats = batch.column(key).to_pandas().duplicated()
-            yield batch.filter(pa.array(~repeats.to_numpy()))
+            # Keys stay what they are: no detour by way of floating point.
+            codes = batch.column(key).dictionary_encode(null_encoding="encode").indices
+            _, first = np.unique(codes.to_numpy(zero_copy_only=False), return_index=True)
+            yield batch.take(pa.array(np.sort(first)))
 
     return keep_first
 
@@ -90,14 +101,22 @@ def start_refine(
     interval: str | None = None,
     key_type: str = "int",
     batch_limits: Mapping[str, str] | None = None,
+    state_partitions: int | None = None,
+    thin_repeats: bool = False,
 ) -> StreamingQuery:
     """Start the refinement: what is available and stop, or every ``interval``.
 
     The state lives in the checkpoint: a later start with the same checkpoint
     adds only orders that were never seen. The first start fixes the number of
-    state partitions to ``spark.sql.shuffle.partitions``.
+    ``state_partitions``, which is also the number of tasks and files of every
+    micro-batch: choose it by what a batch and the ids of all time need, not by
+    the width of batch shuffles. By default it is that width, at most
+    MAX_STATE_PARTITIONS.
     """
-    stream = refine_orders(landed_stream(spark, landing, key_type, batch_limits))
+    landed = landed_stream(spark, landing, key_type, batch_limits)
+    stream = refine_orders(landed, thin_repeats)
+    width = int(spark.conf.get(_WIDTH))
+    settings = STATE_SETTINGS | {_WIDTH: str(state_partitions or min(width, MAX_STATE_PARTITIONS))}
     writer = (
         stream.writeStream.format("parquet")
         .outputMode("append")
@@ -105,7 +124,7 @@ def start_refine(
         .option("checkpointLocation", checkpoint)
     )
     trigger = {"processingTime": interval} if interval else {"availableNow": True}
-    with _settings(spark, STATE_SETTINGS):
+    with _settings(spark, settings):
         return writer.trigger(**trigger).start()
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 import pytest
 
 from orderloom import catalog
@@ -241,7 +243,7 @@ def test_scratch_follows_the_session():
     assert scratch_root(shared) == "hdfs://data/scratch"
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch_root(Settings(spark_master="yarn"))
-    assert "orderloom-" in scratch_root(Settings(spark_master="local[2]"))
+    assert scratch_root(Settings(spark_master="local[2]")) == tempfile.gettempdir()
 
 
 def test_scratch_folders_are_new(spark):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+from dataclasses import replace
 from decimal import Decimal
 
 import pytest
@@ -18,6 +19,7 @@ from orderloom.operators.star import (
     order_totals,
 )
 from orderloom.plans.gold import REPORTS, Totals
+from orderloom.sources.sample_tables import retail_tables
 
 c = F.col
 
@@ -215,11 +217,13 @@ def test_missing_order_ids_meet_each_other(spark, tables):
 
 
 def test_lines_are_shuffled_once_and_only_in_needed_columns(spark, sf_dir):
-    from orderloom.sources.sample_tables import retail_tables
-
     star = SalesStar.of(retail_tables(spark, sf_dir))
-    plan = REPORTS["report_top_customers"](Totals(star))._jdf.queryExecution().toString()
-    physical = plan.split("== Physical Plan ==")[1]
+    report = REPORTS["report_top_customers"](Totals(star))
+    report.collect()
+    # The totals are needed twice, and their shuffle is reused.
+    physical = report._jdf.queryExecution().executedPlan().toString()
+    physical = physical.split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in physical
     scans = [line for line in physical.splitlines() if "lineitem.parquet" in line]
     assert len(scans) == 1
     assert "l_shipdate" not in scans[0].split("ReadSchema")[1]
@@ -232,6 +236,40 @@ def test_lines_are_shuffled_once_and_only_in_needed_columns(spark, sf_dir):
 # ---- skew ----------------------------------------------------------------
 
 
+@pytest.mark.parametrize(("name", "dimension"), [("report_top_customers", "customer"), ("report_top_products", "part")])
+def test_tops_are_cut_before_the_dimension_is_joined(spark, sf_dir, name, dimension):
+    star = SalesStar.of(retail_tables(spark, sf_dir))
+    report = REPORTS[name](Totals(star))
+    plan = report._jdf.queryExecution().optimizedPlan().toString()
+    # The dimension meets ten keys by broadcast, and only the rows that match go on.
+    assert plan.count("GlobalLimit 10") >= 2
+    assert "LeftSemi" in plan and "strategy=broadcast" in plan
+    physical = report._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in physical.split(f"{dimension}.parquet")[-1]
+    # With every key there twice, the sums double and the cut comes after the join.
+    table = "customers" if dimension == "customer" else "products"
+    doubled = replace(star, **{table: getattr(star, table).unionAll(getattr(star, table))})
+    amount = report.columns[-1]
+    twice = REPORTS[name](Totals(doubled)).withColumn(amount, c(amount) / 2).select(amount)
+    assert [float(r[0]) for r in twice.collect()] == [float(r[0]) for r in report.select(amount).collect()]
+
+
+def test_kpi_reads_the_lines_twice(spark, sf_dir):
+    report = REPORTS["report_kpi_summary"](Totals(SalesStar.of(retail_tables(spark, sf_dir))))
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan" in line and "l_orderkey" in line]
+    assert len(scans) <= 2
+
+
+def test_rows_without_a_key_stay_out_of_the_shuffle(spark):
+    many = spark.createDataFrame([(None, i) for i in range(900)] + [(1, 1), (2, 2)], "k int, v int")
+    one = spark.createDataFrame([(1, "a"), (3, "c")], "k int, w string")
+    joined = join_one_per_key(many, one, "k", [], keep_all_of="many")
+    assert joined.count() == 902
+    assert sorted(r["v"] for r in joined.where("w is not null").collect()) == [1]
+    assert joined.where("k is null and w is null").count() == 900
+
+
 def test_heavy_keys(spark):
     df = spark.range(1000).select(F.when(c("id") < 400, 7).otherwise(c("id")).alias("k"))
     assert heavy_keys(df, "k", SkewPolicy(share=0.1, min_rows=10)) == [7]
