@@ -8,8 +8,9 @@ again. Two rules keep work off: distances to a pivot that differ by more than th
 radius exclude a pair, and pairs that are already connected need no look.
 
 Regions come from shingles: two similar sets share one of their first shingles in
-any common order (rarest first), so documents that share none are never in one
-region. Sets are compared as 64-bit hashes of their shingles; documents with equal
+any common order, so documents that share none are never in one region. The
+order puts shingles first that occur once: only sets that are shared for the most
+part, as near copies are, meet at all. Sets are compared as 64-bit hashes of their shingles; documents with equal
 sets are one class throughout.
 """
 
@@ -25,14 +26,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.batches import SPACED, Texts, map_batches, map_texts, send_package
+from orderloom.llm.batches import SPACED, Texts, map_batches, map_texts, pieces, send_package
 from orderloom.llm.components import connected_components
 from orderloom.llm.spread import KeyFilter, attach
 from orderloom.scratch import new_scratch, written
 
 SHINGLE, PERCENT = 5, 75
-#: Shingles that are ranked as frequent: the most frequent ones, from so many in one stretch of sets on.
-FREQUENT, FREQUENT_FROM, _STRETCH = 1 << 17, 8, 1 << 21
+#: Shingles that are ranked by frequency: the most frequent ones. Others count as single or shared.
+FREQUENT = 1 << 17
+#: Shingles are counted by so many bits of their hash, in stretches of so many at once.
+COUNT_BITS, _STRETCH = 36, 1 << 21
 
 
 @dataclass(frozen=True)
@@ -94,17 +97,20 @@ def shingle_sets(documents: DataFrame, width: int = SHINGLE, keep: Sequence[str]
 
     def work(batch: pa.RecordBatch) -> list[pa.Array]:
         value, at = hashed_sets(Texts.of(batch.column("text")), width)
-        n = np.diff(at)
-        kind = [
-            xxhash.xxh3_64_intdigest(value[a:b]) - (1 << 63) if b > a else None
-            for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)
-        ]
         lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(value))
-        return [pa.array(n), pa.array(kind, pa.int64()), lists]
+        return [pa.array(np.diff(at)), _classes(value, at), lists]
 
     return map_texts(documents, work, "n_shingles bigint, class bigint, shingles array<bigint>", keep)
 
 
+def _classes(value: np.ndarray, at: np.ndarray) -> pa.Array:
+    kinds = [
+        xxhash.xxh3_64_intdigest(value[a:b]) - (1 << 63) if b > a else None
+        for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)
+    ]
+    return pa.array(kinds, pa.int64())
+
+
 def _lists(column: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.ndarray]:
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
@@ -117,71 +123,83 @@ def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.repeat(start - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
 
 
-def frequent_shingles(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the most frequent shingles, sorted, and the rank of each: a bounded table.
+@dataclass(frozen=True)
+class Order:
+    """A common order of all shingles: single ones, shared ones, frequent ones by frequency; then by hash.
 
-    It only orders shingles. Any order gives the same result; one that puts
-    passages last which thousands of documents share spares comparing them all.
+    Both tables have a bounded size. They are exact enough to keep most of what
+    documents share by chance out of their first shingles; the result is the
+    same for any order.
     """
 
+    shared: KeyFilter
+    frequent: np.ndarray
+    rank: np.ndarray
+
+    def level(self, value: np.ndarray) -> np.ndarray:
+        key = value & ((1 << COUNT_BITS) - 1)
+        level = self.shared.may_hold(key).astype(np.int64)
+        if len(self.frequent):
+            place = np.minimum(np.searchsorted(self.frequent, key), len(self.frequent) - 1)
+            level = np.where(self.frequent[place] == key, self.rank[place], level)
+        return level
+
+
+def shingle_order(documents: DataFrame, width: int, path: str) -> Order:
+    """Count all shingles of all texts; texts that a task meets again right away count once."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, seen = [], 0, set()
 
         def counted() -> pa.RecordBatch:
-            value, n = np.unique(np.concatenate(held), return_counts=True)
-            often = n >= FREQUENT_FROM
-            return pa.RecordBatch.from_arrays([pa.array(value[often]), pa.array(n[often])], names=["shingle", "n"])
+            key, n = np.unique(np.concatenate(held) & ((1 << COUNT_BITS) - 1), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(key), pa.array(n)], names=["key", "n"])
 
         for batch in batches:
-            value, at = _lists(batch.column("shingles"))
-            for i, kind in enumerate(batch.column("class").to_pylist()):
-                if kind not in seen:
-                    seen.add(kind)
-                    held.append(value[at[i] : at[i + 1]])
-                    size += int(at[i + 1] - at[i])
+            for piece in pieces(batch):
+                value, at = hashed_sets(Texts.of(piece.column("text")), width)
+                for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+                    kind = xxhash.xxh3_64_intdigest(value[a:b])
+                    if kind not in seen:
+                        seen.add(kind)
+                        held.append(value[a:b])
+                        size += b - a
                 if size > _STRETCH:
                     yield counted()
                     held, size, seen = [], 0, set()
         if held:
             yield counted()
 
-    found = map_batches(sets.where("class is not null").select("class", "shingles"), run, "shingle bigint, n bigint")
-    found = found.groupBy("shingle").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "shingle").limit(FREQUENT).toArrow()
-    found = found.sort_by("shingle")
-    return found.column("shingle").to_numpy(), np.log2(found.column("n").to_numpy()).astype(np.int64) + 1
+    counts = map_batches(documents.select("text"), run, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
+    shared = written(documents.sparkSession, counts.where("n > 1"), path)
+    frequent = shared.orderBy(F.desc("n"), "key").limit(FREQUENT).toArrow().sort_by("key")
+    rank = np.log2(frequent.column("n").to_numpy()).astype(np.int64) + 1
+    return Order(KeyFilter.of(shared, "key", shared.count()), frequent.column("key").to_numpy(), rank)
 
 
-def prefixes(sets: DataFrame, percent: int, wanted: KeyFilter | None = None) -> DataFrame:
-    """class and shingle for the first shingles of every set, rarest first.
+def first_shingles(documents: DataFrame, order: Order, percent: int, width: int) -> DataFrame:
+    """doc_id, n_shingles, class and ``first``: the first shingles of the set, without those that are single.
 
     Sets that reach the threshold share at least percent / 100 of either, so the
     smallest shingle that they share is no later than this in both.
     """
-    frequent, rank = frequent_shingles(sets) if wanted is None else wanted.order
-    shared = sets.sparkSession.sparkContext.broadcast((frequent, rank, wanted))
+    shared = documents.sparkSession.sparkContext.broadcast(order)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent, rank, wanted = shared.value
-        for batch in batches:
-            value, at = _lists(batch.column("shingles"))
-            n = np.diff(at)
-            level = np.zeros(len(value), np.int64)
-            if len(frequent):
-                place = np.minimum(np.searchsorted(frequent, value), len(frequent) - 1)
-                level = np.where(frequent[place] == value, rank[place], 0)
-            owner = np.repeat(np.arange(len(n)), n)
-            order = np.lexsort((value, level, owner))
-            length = n - (percent * n + 99) // 100 + 1
-            chosen = value[order[_ranges(at[:-1], length)]]
-            kind = np.repeat(batch.column("class").to_numpy(), length)
-            if wanted is not None:
-                may = wanted.may_hold(chosen)
-                chosen, kind = chosen[may], kind[may]
-            yield pa.RecordBatch.from_arrays([pa.array(kind), pa.array(chosen)], names=["class", "shingle"])
-
-    found = map_batches(sets.where("class is not null").select("class", "shingles"), run, "class bigint, shingle bigint")
-    found.order = (frequent, rank)
-    return found
+    def work(batch: pa.RecordBatch) -> list[pa.Array]:
+        value, at = hashed_sets(Texts.of(batch.column("text")), width)
+        n = np.diff(at)
+        level = shared.value.level(value)
+        by = np.lexsort((value, level, np.repeat(np.arange(len(n)), n)))
+        length = np.where(n > 0, n - (percent * n + 99) // 100 + 1, 0)
+        chosen = by[_ranges(at[:-1], length)]
+        owner = np.repeat(np.arange(len(n)), length)
+        several = level[chosen] > 0
+        chosen, owner = chosen[several], owner[several]
+        first_at = np.searchsorted(owner, np.arange(len(n) + 1))
+        first = pa.ListArray.from_arrays(pa.array(first_at, pa.int32()), pa.array(value[chosen]))
+        return [pa.array(n), _classes(value, at), first]
+
+    return map_texts(documents, work, "n_shingles bigint, class bigint, first array<bigint>")
 
 
 class Region:
@@ -454,17 +472,18 @@ def similar_groups(
     limits = limits or Limits()
     spark = documents.sparkSession
     scratch = new_scratch(spark, "jaccard")
-    sets = written(spark, shingle_sets(documents, width), f"{scratch}/sets")
-    first = prefixes(sets, percent)
-    # A shingle that occurs first in two different sets: they may be similar.
+    order = shingle_order(documents, width, f"{scratch}/counts")
+    rows = written(spark, first_shingles(documents, order, percent, width), f"{scratch}/rows")
+    # A shingle that is among the first of two different sets: they may be similar.
+    first = rows.select("class", F.explode("first").alias("shingle"))
     shared = first.groupBy("shingle").agg(F.min("class").alias("pivot"), F.max("class").alias("last"))
     shared = written(spark, shared.where("pivot < last").select("shingle", "pivot"), f"{scratch}/shared")
-    wanted = KeyFilter.of(shared, "shingle")
-    wanted.order = first.order
-    members = written(spark, prefixes(sets, percent, wanted).distinct().join(shared, "shingle"), f"{scratch}/members")
+    members = written(spark, first.distinct().join(shared, "shingle"), f"{scratch}/members")
     blocks = connected_components(members.select(F.col("class").alias("a"), F.col("pivot").alias("b")))
     blocks = written(spark, blocks.select(F.col("node").alias("class"), F.col("component").alias("region")), f"{scratch}/blocks")
-    regions = written(spark, _chosen(sets, blocks).select("region", "class", F.col("class").alias("grp"), "shingles"), f"{scratch}/regions")
+    regions = _with_sets(documents, rows, blocks, width)
+    regions = regions.select("region", "class", F.col("class").alias("grp"), "shingles")
+    regions = written(spark, regions, f"{scratch}/regions")
     small, large, some = _by_size(regions, limits, f"{scratch}/sizes")
     links = [written(spark, join_regions(small, percent), f"{scratch}/links")]
     if some:
@@ -488,7 +507,7 @@ def similar_groups(
     for more in links[1:]:
         every = every.unionByName(more)
     joined = connected_components(every)
-    classes = sets.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n"))
+    classes = rows.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n"))
     classes = classes.join(joined.withColumnRenamed("node", "class"), "class", "left")
     classes = classes.withColumn("component", F.coalesce("component", "class"))
     classes = written(spark, classes, f"{scratch}/classes")
@@ -497,8 +516,8 @@ def similar_groups(
     of_class = attach(classes, groups, ["component"], "n_classes", classes.count())
     of_class = of_class.select("class", "component_id", F.col("component").alias("group"), "n")
     of_class = written(spark, of_class, f"{scratch}/of-class")
-    rows = sets.select("doc_id", "n_shingles", "class")
-    found = attach(rows.where("class is not null"), of_class, ["class"], "n", sets.count())
+    rows = rows.select("doc_id", "n_shingles", "class")
+    found = attach(rows.where("class is not null"), of_class, ["class"], "n", rows.count())
     alone = rows.where("class is null").select(
         "doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "class", F.lit(None).cast("bigint").alias("group")
     )
@@ -518,17 +537,7 @@ def one_of_each(documents: DataFrame, percent: int = PERCENT, width: int = SHING
     goes = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id")
     often = found.where("class is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
     looked_at = goes.unionByName(often).where("doc_id is not null")
-    shared = spark.sparkContext.broadcast(KeyFilter.of(looked_at, "doc_id"))
-
-    @F.pandas_udf("boolean")
-    def may_go(ids: pd.Series) -> pd.Series:
-        known = ids.notna().to_numpy()
-        out = np.ones(len(ids), bool)
-        out[known] = shared.value.may_hold(ids[known].to_numpy(np.int64))
-        return pd.Series(out)
-
-    send_package(spark)
-    tagged = documents.withColumn(_MAY_GO, may_go("doc_id"))
+    tagged = documents.withColumn(_MAY_GO, _may_be_in(looked_at, "doc_id")(F.col("doc_id")))
     stays = tagged.where(~F.col(_MAY_GO)).drop(_MAY_GO)
     asked = tagged.where(_MAY_GO).drop(_MAY_GO)
     classed = shingle_sets(asked, width, documents.columns).select(*documents.columns, F.col("class").alias(_MAY_GO))
@@ -544,13 +553,28 @@ def one_of_each(documents: DataFrame, percent: int = PERCENT, width: int = SHING
     return stays.unionByName(once.select(*documents.columns))
 
 
-def _chosen(sets: DataFrame, blocks: DataFrame) -> DataFrame:
-    """The sets of the classes of ``blocks``, once each, with their columns of ``blocks``."""
-    shared = sets.sparkSession.sparkContext.broadcast(KeyFilter.of(blocks, "class"))
+def _with_sets(documents: DataFrame, rows: DataFrame, blocks: DataFrame, width: int) -> DataFrame:
+    """class, its columns of ``blocks`` and its shingles, from one document of each class.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield batch.filter(pa.array(shared.value.may_hold(batch.column("class").to_numpy())))
+    Only texts of those documents are hashed again.
+    """
+    ids = rows.join(blocks, "class", "left_semi").groupBy("class").agg(F.min("doc_id").alias("id")).where("id is not null")
+    texts = documents.select("doc_id", "text").where(_may_be_in(ids, "id")(F.col("doc_id")))
+    sets = shingle_sets(texts, width).where("class is not null").select("class", "shingles")
+    return sets.join(blocks.select("class"), "class", "left_semi").dropDuplicates(["class"]).join(blocks, "class")
+
+
+def _may_be_in(ids: DataFrame, column: str):
+    """A function of a column that is true for all ids of the table, for null, and for a few others."""
+    spark = ids.sparkSession
+    send_package(spark)
+    shared = spark.sparkContext.broadcast(KeyFilter.of(ids, column))
+
+    @F.pandas_udf("boolean")
+    def may_be_in(keys: pd.Series) -> pd.Series:
+        known = keys.notna().to_numpy()
+        out = np.ones(len(keys), bool)
+        out[known] = shared.value.may_hold(keys[known].to_numpy(np.int64))
+        return pd.Series(out)
 
-    some = map_batches(sets.where("class is not null").select("class", "shingles"), run, "class bigint, shingles array<bigint>")
-    return some.dropDuplicates(["class"]).join(blocks, "class")
+    return may_be_in

@@ -41,33 +41,38 @@ def attach(
 
 
 class KeyFilter:
-    """A bitmap of fixed size over 64-bit keys: no key of the table is missed, some others pass.
+    """A bitmap over 64-bit keys: no key of the table is missed, some others pass.
 
-    It thins out rows before an exact join; its 8 MB are all that is broadcast,
-    whatever the number of keys.
+    It thins out rows before an exact join. Its size follows the number of keys
+    up to a bound: MOST_BITS make 256 MB, whatever the number of keys; beyond
+    about as many keys as bits it lets most rows pass.
     """
 
-    BITS = 26
+    LEAST_BITS, MOST_BITS = 20, 31
 
     def __init__(self, words: np.ndarray):
         self.words = words
+        self.mask = len(words) * 64 - 1
 
     @classmethod
-    def of(cls, keys: DataFrame, key: str) -> KeyFilter:
-        place = F.expr(f"{key} & {(1 << cls.BITS) - 1}")
+    def of(cls, keys: DataFrame, key: str, n: int | None = None) -> KeyFilter:
+        """Of column ``key``; ``n``: its number of rows, if that is known."""
+        n = keys.count() if n is None else n
+        bits = min(cls.MOST_BITS, max(cls.LEAST_BITS, (12 * n).bit_length()))
+        place = F.expr(f"{key} & {(1 << bits) - 1}")
         found = (
             keys.select(place.alias("place"))
             .select(F.shiftright("place", 6).cast("int").alias("word"), F.expr("shiftleft(1L, cast(place & 63 as int))").alias("bit"))
             .groupBy("word")
             .agg(F.bit_or("bit").alias("bits"))
-            .toArrow()  # at most 2 ** (BITS - 6) rows
+            .toArrow()  # at most 2 ** (MOST_BITS - 6) rows
         )
-        words = np.zeros(1 << (cls.BITS - 6), np.uint64)
+        words = np.zeros(1 << (bits - 6), np.uint64)
         words[found.column("word").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
         return cls(words)
 
     def may_hold(self, keys: np.ndarray) -> np.ndarray:
-        place = keys.astype(np.uint64) & np.uint64((1 << self.BITS) - 1)
+        place = keys.astype(np.uint64) & np.uint64(self.mask)
         return (self.words[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) == 1
 
 
