@@ -35,7 +35,7 @@ SHINGLE, PERCENT = 5, 75
 #: Shingles that are ranked by frequency: the most frequent ones. Others count as single or shared.
 FREQUENT = 1 << 17
 #: Shingles are counted by so many bits of their hash, in stretches of so many at once.
-COUNT_BITS, _STRETCH = 36, 1 << 21
+COUNT_BITS, _STRETCH = 36, 1 << 20
 
 
 @dataclass(frozen=True)
@@ -170,7 +170,9 @@ def shingle_order(documents: DataFrame, width: int, path: str) -> Order:
         if held:
             yield counted()
 
-    counts = map_batches(documents.select("text"), run, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
+    # Nearly all keys are different: they are dealt out as they are, and only then put together.
+    counts = map_batches(documents.select("text"), run, "key bigint, n bigint").repartition("key")
+    counts = counts.groupBy("key").agg(F.sum("n").alias("n"))
     shared = written(documents.sparkSession, counts.where("n > 1"), path)
     frequent = shared.orderBy(F.desc("n"), "key").limit(FREQUENT).toArrow().sort_by("key")
     rank = np.log2(frequent.column("n").to_numpy()).astype(np.int64) + 1
