@@ -158,7 +158,11 @@ class QualityModel:
         return self.probability(raw), np.diff(owner_at)
 
     def probability(self, raw: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-(self.slope * _logit(raw) + self.offset)))
+        return _logistic(self.slope * _logit(raw) + self.offset)
+
+
+def _logistic(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x, -500, 500)))
 
 
 def _logit(p: np.ndarray) -> np.ndarray:
@@ -205,7 +209,7 @@ def train(
     each = np.where(good > 0, rate / share_now, (1 - rate) / (1 - share_now))
     a, b = 1.0, 0.0
     for _ in range(100):
-        p = 1 / (1 + np.exp(-(a * z + b)))
+        p = _logistic(a * z + b)
         r, w = each * (p - target), each * p * (1 - p) + 1e-6
         h = np.array([[(w * z * z).sum() + 1e-3, (w * z).sum()], [(w * z).sum(), w.sum() + 1e-3]])
         da, db = np.linalg.solve(h, [(r * z).sum() + 1e-3 * a, r.sum()])
