@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from orderloom.llm.batches import Texts, map_texts
 from orderloom.llm.words_bpe import lengths
+from orderloom.scratch import new_scratch, written
 
 #: Lengths that are summed in one window partition.
 _BLOCK = 4096
@@ -38,7 +39,8 @@ def length_histogram(documents: DataFrame, tokenizer: str) -> DataFrame:
         .groupBy(F.col("n_tokens").alias("length"))
         .agg(F.count(F.lit(1)).alias("n_documents"))
     )
-    return with_suffix_sums(histogram)
+    # A row per length, needed several times: the texts are encoded once.
+    return with_suffix_sums(written(documents.sparkSession, histogram, new_scratch(documents.sparkSession, "lengths")))
 
 
 def with_suffix_sums(histogram: DataFrame) -> DataFrame:
