@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from orderloom.llm.batches import SPACED, Texts, map_batches, map_texts, pieces, send_package
 from orderloom.llm.components import connected_components
-from orderloom.llm.spread import KeyFilter, attach
+from orderloom.llm.spread import KeyFilter, attach, most_frequent
 from orderloom.scratch import new_scratch, written
 
 SHINGLE, PERCENT = 5, 75
@@ -174,7 +174,7 @@ def shingle_order(documents: DataFrame, width: int, path: str) -> Order:
     counts = map_batches(documents.select("text"), run, "key bigint, n bigint").repartition("key")
     counts = counts.groupBy("key").agg(F.sum("n").alias("n"))
     shared = written(documents.sparkSession, counts.where("n > 1"), path)
-    frequent = shared.orderBy(F.desc("n"), "key").limit(FREQUENT).toArrow().sort_by("key")
+    frequent = most_frequent(shared, FREQUENT).toArrow().sort_by("key")
     rank = np.log2(frequent.column("n").to_numpy()).astype(np.int64) + 1
     return Order(KeyFilter.of(shared, "key", shared.count()), frequent.column("key").to_numpy(), rank)
 

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.llm.batches import SPACED, Texts, Words, map_batches, map_texts, pieces, sums
+from orderloom.llm.spread import most_frequent
 from orderloom.scratch import new_scratch, written
 
 #: Classes of one word (the end of a text among them), and classes by ending.
@@ -175,7 +176,7 @@ def fit(documents: DataFrame, may_learn: Column, folder: str) -> tuple[LanguageM
     counts = written(spark, count_words(known), f"{folder}/words")
     n_tokens, n_words = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     # Bounded: HEAD_WORDS rows of at most HEAD_BYTES and a count.
-    head = counts.where(F.octet_length("word") <= HEAD_BYTES).orderBy(F.desc("n"), "word").limit(HEAD_WORDS).select("word", "n").toArrow()
+    head = most_frequent(counts.where(F.octet_length("word") <= HEAD_BYTES), HEAD_WORDS).select("word", "n").toArrow()
     head = dict(zip(head.column("word").to_pylist(), head.column("n").to_pylist(), strict=True))
     ends = counts.where(F.octet_length("word") == 0).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     # Of equal counts the smaller word first, as above.

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: A key with more than this share of all rows is joined by broadcast; there are fewer than 1 / HOT_SHARE of them.
@@ -76,6 +76,18 @@ class KeyFilter:
         return (self.words[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) == 1
 
 
+def most_frequent(counts: DataFrame, limit: int) -> DataFrame:
+    """The rows of ``counts`` with the largest ``n``, at most ``limit``; of one ``n`` all or none.
+
+    The smallest n that still fits is found among the different values of n, of
+    which there are few, so no task sorts or receives the rows themselves.
+    """
+    values = counts.groupBy("n").agg(F.count(F.lit(1)).alias("rows"))
+    upto = F.sum("rows").over(Window.orderBy(F.desc("n")))
+    least = values.select("n", upto.alias("upto")).where(F.col("upto") <= limit).agg(F.min("n")).first()[0]
+    return counts.where(F.lit(False)) if least is None else counts.where(F.col("n") >= least)
+
+
 def small_or_shuffled(table: DataFrame, n_rows: int) -> DataFrame:
     """``table`` with a broadcast hint if it is small."""
     return F.broadcast(table) if n_rows <= SMALL_ROWS else table
