@@ -142,13 +142,13 @@ def sums(values: np.ndarray, at: np.ndarray) -> np.ndarray:
     return total[at[1:]] - total[at[:-1]]
 
 
-def pieces(batch: pa.RecordBatch, text: str = "text") -> Iterator[pa.RecordBatch]:
-    """The batch in slices of at most BATCH_BYTES of text, or of one row."""
-    column = batch.column(batch.schema.get_field_index(text))
+def pieces(batch: pa.RecordBatch, most: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of at most ``most`` bytes of text, or of one row."""
+    column = batch.column(batch.schema.get_field_index("text"))
     sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
     start, held = 0, 0
     for i, size in enumerate(sizes):
-        if i > start and held + size > BATCH_BYTES:
+        if i > start and held + size > most:
             yield batch.slice(start, i - start)
             start, held = i, 0
         held += int(size)
@@ -188,11 +188,12 @@ def map_texts(
     schema: str,
     keep: Sequence[str] = ("doc_id",),
     read: Sequence[str] = (),
+    most: int = BATCH_BYTES,
 ) -> DataFrame:
     """Columns ``keep`` of ``documents`` and those of ``schema``, one row per row.
 
     ``work`` gets batches with ``text`` and the columns ``keep`` and ``read``, at
-    most BATCH_BYTES of text at once, and returns the arrays of ``schema``.
+    most ``most`` bytes of text at once, and returns the arrays of ``schema``.
     Other columns of ``documents`` are not read, whatever they are called.
     """
     keep = list(keep)
@@ -203,7 +204,7 @@ def map_texts(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in pieces(batch):
+            for piece in pieces(batch, most):
                 kept = [piece.column(c) for c in keep]
                 arrays = [
                     a if a.type == f.type else a.cast(f.type)

@@ -36,6 +36,8 @@ SHINGLE, PERCENT = 5, 75
 FREQUENT = 1 << 17
 #: Shingles are counted by so many bits of their hash, in stretches of so many at once.
 COUNT_BITS, _STRETCH = 36, 1 << 20
+#: Bytes of text that are hashed at once: a word needs about a hundred bytes while it is.
+SLICE_BYTES = 3 << 20
 
 
 @dataclass(frozen=True)
@@ -100,7 +102,7 @@ def shingle_sets(documents: DataFrame, width: int = SHINGLE, keep: Sequence[str]
         lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(value))
         return [pa.array(np.diff(at)), _classes(value, at), lists]
 
-    return map_texts(documents, work, "n_shingles bigint, class bigint, shingles array<bigint>", keep)
+    return map_texts(documents, work, "n_shingles bigint, class bigint, shingles array<bigint>", keep, most=SLICE_BYTES)
 
 
 def _classes(value: np.ndarray, at: np.ndarray) -> pa.Array:
@@ -156,7 +158,7 @@ def shingle_order(documents: DataFrame, width: int, path: str) -> Order:
             return pa.RecordBatch.from_arrays([pa.array(key), pa.array(n)], names=["key", "n"])
 
         for batch in batches:
-            for piece in pieces(batch):
+            for piece in pieces(batch, SLICE_BYTES):
                 value, at = hashed_sets(Texts.of(piece.column("text")), width)
                 for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
                     kind = xxhash.xxh3_64_intdigest(value[a:b])
@@ -201,7 +203,7 @@ def first_shingles(documents: DataFrame, order: Order, percent: int, width: int)
         first = pa.ListArray.from_arrays(pa.array(first_at, pa.int32()), pa.array(value[chosen]))
         return [pa.array(n), _classes(value, at), first]
 
-    return map_texts(documents, work, "n_shingles bigint, class bigint, first array<bigint>")
+    return map_texts(documents, work, "n_shingles bigint, class bigint, first array<bigint>", most=SLICE_BYTES)
 
 
 class Region:
