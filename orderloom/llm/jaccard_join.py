@@ -20,8 +20,8 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -544,7 +544,9 @@ def one_of_each(documents: DataFrame, percent: int = PERCENT, width: int = SHING
     tagged = documents.withColumn(_MAY_GO, _may_be_in(looked_at, "doc_id")(F.col("doc_id")))
     stays = tagged.where(~F.col(_MAY_GO)).drop(_MAY_GO)
     asked = tagged.where(_MAY_GO).drop(_MAY_GO)
-    classed = shingle_sets(asked, width, documents.columns).select(*documents.columns, F.col("class").alias(_MAY_GO))
+    # Columns of the documents may be called like those of the sets.
+    own = [c if c == "text" else f"_own_{i}" for i, c in enumerate(documents.columns)]
+    classed = shingle_sets(asked.toDF(*own), width, own).select(*own, "class").toDF(*documents.columns, _MAY_GO)
     first = (
         found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
         .select(F.col("doc_id").alias("_id"), F.col("class").alias("_class"), F.col("group").alias("_group"))
@@ -574,11 +576,10 @@ def _may_be_in(ids: DataFrame, column: str):
     send_package(spark)
     shared = spark.sparkContext.broadcast(KeyFilter.of(ids, column))
 
-    @F.pandas_udf("boolean")
-    def may_be_in(keys: pd.Series) -> pd.Series:
-        known = keys.notna().to_numpy()
-        out = np.ones(len(keys), bool)
-        out[known] = shared.value.may_hold(keys[known].to_numpy(np.int64))
-        return pd.Series(out)
+    @F.arrow_udf("boolean")
+    def may_be_in(keys: pa.Array) -> pa.Array:
+        # Ids stay what they are: no detour by way of floating point.
+        known = pc.fill_null(keys.cast(pa.int64()), 0).to_numpy(zero_copy_only=False)
+        return pc.or_(pa.array(shared.value.may_hold(known), pa.bool_()), keys.is_null())
 
     return may_be_in

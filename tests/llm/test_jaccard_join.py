@@ -6,9 +6,10 @@ import random
 import numpy as np
 import pytest
 from llm_helpers import LOWER, SCHEMA, SPACED, prose
+from pyspark.sql import functions as F
 
 from orderloom.llm.components import connected_components
-from orderloom.llm.jaccard_join import Limits, Region, one_of_each, similar_groups
+from orderloom.llm.jaccard_join import Limits, Region, _may_be_in, one_of_each, similar_groups
 
 #: Every region with more than a few documents is too large for a task.
 TINY = Limits(hashes=600, classes=4, pivots=2, rounds=2, pivot_bytes=4000)
@@ -91,6 +92,19 @@ def test_one_of_each(odd, odd_rows):
     assert left == sorted(want, key=str)
 
 
+def test_ids_beyond_doubles_beside_null(spark):
+    rng, big = random.Random(7), 2**53
+    base = prose(rng, 80)
+    texts = [(big, prose(rng, 80)), (big + 1, base), (None, prose(rng, 80)), (big + 3, base + " one more"), (big + 5, base + " or two")]
+    rows = [(*r, "", "", 0) for r in texts]
+    documents = spark.createDataFrame(rows, SCHEMA).coalesce(1)
+    asked = spark.createDataFrame([(big + 1,), (big + 3,)], "id bigint")
+    may_be_in = documents.select("doc_id", _may_be_in(asked, "id")(F.col("doc_id")))
+    assert {r[0]: r[1] for r in may_be_in.collect()} == {big: False, big + 1: True, None: True, big + 3: True, big + 5: False}
+    assert found(documents) == expected(rows)
+    assert sorted((r["doc_id"] for r in one_of_each(documents).collect()), key=str) == [big, big + 1, None]
+
+
 @pytest.mark.parametrize("n", [2, 40, 150])
 def test_a_region_connects_what_all_pairs_do(n):
     rng = np.random.default_rng(n)
