@@ -3,6 +3,9 @@
 A notice that occurs with at most k errors holds at least one of its k + 1 parts
 unchanged. The parts are searched as they are; where one is found, the regex
 library matches the notice with bounded errors around it and gives the span.
+
+Errors are not spread freely: words that tell licences apart (KEYS) have a bound
+of their own, and of notices that overlap the one with the most right letters counts.
 """
 
 from __future__ import annotations
@@ -32,8 +35,30 @@ NOTICES = (
     ("cc-by-nc", "licensed under cc by nc 4 0"),
     ("all-rights-reserved", "all rights reserved no part of this"),
 )
-#: Letters of a notice per error that is allowed.
-LETTERS_PER_ERROR = 12
+# Notices of other licences that come close to those above.
+SIBLINGS = (
+    ("mpl", "released under the mpl license"),
+    ("cc-by", "licensed under cc by 4 0"),
+    ("cc-by-sa", "licensed under cc by sa 4 0"),
+    ("cc-by-nd", "licensed under cc by nd 4 0"),
+    ("cc-by-nc-sa", "licensed under cc by nc sa 4 0"),
+    ("cc-by-nc-nd", "licensed under cc by nc nd 4 0"),
+    ("cc-by-sa", "licensed under the creative commons attribution sharealike"),
+    ("cc-by-nd", "licensed under the creative commons attribution noderivatives"),
+    ("cc-by-nd", "licensed under the creative commons attribution noderivs"),
+    ("cc-by-nc", "licensed under the creative commons attribution noncommercial"),
+    ("cc-by-nc-sa", "licensed under the creative commons attribution noncommercial sharealike"),
+    ("cc-by-nc-nd", "licensed under the creative commons attribution noncommercial noderivatives"),
+    ("cc-by-nc-nd", "licensed under the creative commons attribution noncommercial noderivs"),
+)
+# Words of notices that tell licences apart, or grant from refusal.
+KEYS = (
+    "mit", "mpl", "apache", "gnu", "lesser", "general public", "mozilla", "cc by", "sa", "nd", "nc",
+    "attribution", "sharealike", "noderivatives", "noderivs", "noncommercial",
+    "is hereby granted", "free of charge", "with or without", "are permitted", "all rights reserved",
+)
+#: Letters of a notice per error that is allowed, and letters of a key: shorter keys are exact.
+LETTERS_PER_ERROR, KEY_LETTERS_PER_ERROR = 12, 6
 
 
 @dataclass(frozen=True)
@@ -52,12 +77,29 @@ class Notice:
     def pattern(self) -> regex.Pattern:
         return regex.compile(rb"(?e)(?:" + regex.escape(self.text) + rb"){e<=%d}" % self.errors)
 
+    def keys(self, keys: Sequence[str]) -> list[regex.Pattern]:
+        """A pattern for each key of the notice: it stands alone, or a space to the next word is missing."""
+        out = []
+        for key in (k.encode() for k in keys):
+            for m in regex.finditer(rb"(?<![^ ])" + key + rb"(?![^ ])", self.text):
+                before, after = self.text[: m.start()].split(), self.text[m.end() :].split()
+                left = rb"|".join([rb"^| ", *before[-1:]])
+                right = rb"|".join([rb"$| ", *after[:1]])
+                out.append(regex.compile(rb"(?:%s)(?:%s){e<=%d}(?:%s)" % (left, key, len(key) // KEY_LETTERS_PER_ERROR, right)))
+        return out
+
 
 class Scanner:
-    def __init__(self, phrases: Sequence[tuple[str, str]] = PHRASES, notices: Sequence[tuple[str, str]] = NOTICES):
+    def __init__(
+        self,
+        phrases: Sequence[tuple[str, str]] = PHRASES,
+        notices: Sequence[tuple[str, str]] = NOTICES + SIBLINGS,
+        keys: Sequence[str] = KEYS,
+    ):
         self.phrases = [(label, phrase.encode()) for label, phrase in phrases]
         self.notices = [Notice(label, text.encode(), len(text) // LETTERS_PER_ERROR) for label, text in notices]
         self.patterns = [n.pattern() for n in self.notices]
+        self.keys = [n.keys(keys) for n in self.notices]
 
     def phrase_places(self, stream: bytes, at: np.ndarray) -> list[tuple[str, int]]:
         """Label and first word of every place of a phrase."""
@@ -70,9 +112,9 @@ class Scanner:
         return found
 
     def notice_spans(self, stream: bytes) -> list[tuple[str, int, int, int, float]]:
-        """Label, first and last byte, errors and likeness of every notice found."""
+        """Label, first and last byte, errors and likeness of every notice found; of overlapping ones the best."""
         found = []
-        for notice, pattern in zip(self.notices, self.patterns, strict=True):
+        for notice, pattern, keys in zip(self.notices, self.patterns, self.keys, strict=True):
             reach = len(notice.text) + notice.errors
             windows = sorted(
                 (max(0, place - offset - notice.errors), place - offset + reach)
@@ -84,8 +126,19 @@ class Scanner:
                 for lo, hi in _lines(stream, start, min(end, len(stream))):
                     for m in pattern.finditer(stream, lo, hi):
                         errors = sum(m.fuzzy_counts)
-                        found.append((notice.label, m.start(), m.end() - 1, errors, 1 - errors / len(notice.text)))
-        return found
+                        whole = _whole_words(stream, m.start(), m.end())
+                        if all(key.search(whole) for key in keys):
+                            span = (notice.label, m.start(), m.end() - 1, errors, 1 - errors / len(notice.text))
+                            found.append((len(notice.text) - errors, span))
+        found.sort(key=lambda x: (x[1][1], -x[0]))
+        best: list[tuple[int, tuple]] = []
+        for right, span in found:
+            # Overlapping notices of different licences claim the same words: fewer right letters give way.
+            while best and span[1] <= best[-1][1][2] and right > best[-1][0]:
+                best.pop()
+            if not best or span[1] > best[-1][1][2]:
+                best.append((right, span))
+        return [span for _, span in best]
 
 
 _BREAKS = b" \n"
@@ -98,6 +151,16 @@ def _places(stream: bytes, part: bytes):
         place = stream.find(part, place + 1)
 
 
+def _whole_words(stream: bytes, start: int, end: int) -> bytes:
+    """The bytes from start to end with what is left of their first and last word."""
+    space = stream.rfind(b" ", 0, start)
+    start = max(space, stream.rfind(b"\n", space + 1, start)) + 1
+    space = stream.find(b" ", end - 1)
+    space = len(stream) if space < 0 else space
+    line = stream.find(b"\n", end - 1, space)
+    return stream[start : space if line < 0 else line].strip(_BREAKS)
+
+
 def _joined(windows: list[tuple[int, int]]):
     """Overlapping windows as one."""
     last = None

@@ -6,7 +6,7 @@ import pytest
 from llm_helpers import ALNUM, LOWER, SCHEMA, SPACED
 from pyspark.sql import functions as F
 
-from orderloom.llm.license_scan import PHRASES, scan
+from orderloom.llm.license_scan import PHRASES, Scanner, scan
 from orderloom.llm.mixing import mix, source_targets
 
 
@@ -50,6 +50,36 @@ def test_notices_with_errors(spark):
     assert found[0]["base_labels"] == "" and found[5]["base_labels"] == "mit"
 
 
+def test_near_misses_of_other_licences():
+    texts = {
+        "licensed under cc by sa 4 0": ["cc-by-sa"],
+        "licensed under cc by nd 4 0": ["cc-by-nd"],
+        "licensed under cc by nc 4 0": ["cc-by-nc"],
+        "licenced under cc by nc 4 0": ["cc-by-nc"],
+        "licensed under cc by nc sa 4 0": ["cc-by-nc-sa"],
+        "licensed under cc by nx 4 0": [],
+        "released under the mpl license": ["mpl"],
+        "released under the smith license": [],
+        "released under the nit license": [],
+        "relesed under the mit licence": ["mit"],
+        "released under themit license": ["mit"],
+        "licensed under the creative commons attribution 4 0": ["cc-by"],
+        "licensed under the creative commons atribution share alike 4 0": ["cc-by-sa"],
+        "licensed under the creative commons attribution noncommercial noderivs": ["cc-by-nc-nd"],
+        "subject to the terms of the nokia public license": [],
+        "permission is hereby not granted free of charge to any person obtaining a copy": [],
+        "redistribution and use in source and binary forms with or without modification are not permitted": [],
+        "redistribution and use in source and binary forms without modification are permitted": [],
+        "gnu lesser general public license version": ["lgpl"],
+        "licensed under the gnu general public license version": ["gpl"],
+        "relesed under the mit license licensed under the apachy license version 2 0": ["mit", "apache"],
+    }
+    scanner = Scanner()
+    for around in (b"%s \n", b"a b %s c d \n"):
+        found = {t: [s[0] for s in scanner.notice_spans(around % t.encode())] for t in texts}
+        assert found == texts
+
+
 def fill(sizes, weights, budget):
     """Targets by sharing the excess again and again."""
     target = {s: 0.0 for s in sizes}
