@@ -2,8 +2,11 @@
 
 Words fall into classes: the most frequent words have one each, all others share
 classes by their ending. The model predicts a word's class from the two classes
-before it; within a shared class a word has its add-one share. Both parts are
-normalised, so every text has a probability, with words never seen included.
+before it. Within a shared class the most frequent words, VOCABULARY in all, have
+embeddings of their own and are predicted from the two words before by a tree
+(``word_tree``), trained on all tokens; rarer words have their add-one share. All
+parts are normalised, so every text has a probability, with words never seen
+included.
 
 All training texts are counted: words, and triples of classes, of which there are
 at most (CLASSES + 1) ** 2 * CLASSES however large the corpus is. Training draws
@@ -24,6 +27,7 @@ from pyspark.sql import functions as F
 
 from orderloom.llm.batches import SPACED, Texts, Words, map_batches, map_texts, pieces, sums
 from orderloom.llm.spread import most_frequent
+from orderloom.llm.word_tree import WordTree, sequence
 from orderloom.scratch import new_scratch, written
 
 #: Classes of one word (the end of a text among them), and classes by ending.
@@ -33,6 +37,8 @@ CLASSES = OWN + ENDINGS
 _START = CLASSES
 #: Words that are broadcast with their counts, the most frequent ones of at most so many bytes.
 HEAD_WORDS, HEAD_BYTES = 1 << 18, 64
+#: Words with embeddings of their own: all counted ones up to this bound, then the most frequent ones.
+VOCABULARY = 1 << 18
 #: The end of a text as a word; no word is empty.
 END = b""
 
@@ -71,13 +77,7 @@ class Classes:
         """Classes of all words and ends, text after text, each text after two starts."""
         own = self.own
         of_distinct = np.fromiter((own[w] if w in own else OWN + ending(w) for w in words.distinct), np.int64, len(words.distinct_array))
-        n = len(words.at) - 1
-        at = words.at + 3 * np.arange(n + 1)
-        out = np.full(at[-1], _START, np.int64)
-        out[at[1:] - 1] = own.get(END, OWN + ending(END))
-        if len(of_distinct):
-            out[np.arange(len(words.starts)) + 3 * words.text_of_word() + 2] = of_distinct[words.codes]
-        return out
+        return sequence(words, of_distinct, own.get(END, OWN + ending(END)), _START)
 
 
 def triples(classes: np.ndarray) -> np.ndarray:
@@ -167,6 +167,7 @@ class LanguageModel:
     ends: int
     n_tokens: int
     n_words: int
+    tree: WordTree
 
 
 def fit(documents: DataFrame, may_learn: Column, folder: str) -> tuple[LanguageModel, DataFrame]:
@@ -176,8 +177,8 @@ def fit(documents: DataFrame, may_learn: Column, folder: str) -> tuple[LanguageM
     counts = written(spark, count_words(known), f"{folder}/words")
     n_tokens, n_words = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     # Bounded: HEAD_WORDS rows of at most HEAD_BYTES and a count.
-    head = most_frequent(counts.where(F.octet_length("word") <= HEAD_BYTES), HEAD_WORDS).select("word", "n").toArrow()
-    head = dict(zip(head.column("word").to_pylist(), head.column("n").to_pylist(), strict=True))
+    head = _most_frequent_words(counts, HEAD_WORDS)
+    vocabulary = head if HEAD_WORDS == VOCABULARY else _most_frequent_words(counts, VOCABULARY)
     ends = counts.where(F.octet_length("word") == 0).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     # Of equal counts the smaller word first, as above.
     own = sorted(head, key=lambda w: (-head[w], w))[:OWN]
@@ -190,7 +191,14 @@ def fit(documents: DataFrame, may_learn: Column, folder: str) -> tuple[LanguageM
     # Bounded: one row per possible triple.
     cells = count_triples(known, classes).toArrow().sort_by("triple")
     table = train(cells.column("triple").to_numpy(), cells.column("n").to_numpy().astype(np.float64))
-    return LanguageModel(classes, table.astype(np.float32), shares, head, ends, n_tokens, n_words), counts
+    tree = WordTree.of(vocabulary, {w: classes.own.get(w, OWN + ending(w)) for w in vocabulary}, ENDINGS)
+    tree = tree.trained(known, ending, END)
+    return LanguageModel(classes, table.astype(np.float32), shares, head, ends, n_tokens, n_words, tree), counts
+
+
+def _most_frequent_words(counts: DataFrame, limit: int) -> dict[bytes, int]:
+    found = most_frequent(counts.where(F.octet_length("word") <= HEAD_BYTES), limit).select("word", "n").toArrow()
+    return dict(zip(found.column("word").to_pylist(), found.column("n").to_pylist(), strict=True))
 
 
 def score(documents: DataFrame, may_learn: Column) -> DataFrame:
@@ -210,25 +218,33 @@ def score(documents: DataFrame, may_learn: Column) -> DataFrame:
         m: LanguageModel = shared.value
         words = Texts.of(batch.column("text")).lower().words(SPACED)
         distinct, n = words.distinct, len(batch)
-        is_own = np.fromiter((w in m.classes.own for w in distinct), bool, len(distinct))
+        in_tree = np.fromiter((w in m.tree.number for w in distinct), bool, len(distinct))
         c = np.fromiter((m.head.get(w, -1) for w in distinct), np.int64, len(distinct))
         log_c = np.log10(np.maximum(c, 0) + 1.0)
-        of_class = np.where(is_own, 0.0, log_c)
+        of_class = np.where(in_tree, 0.0, log_c)
         by_token = triples(m.classes.of(words))
         value = m.table[by_token // CLASSES, by_token % CLASSES].astype(np.float64) - m.shares[by_token % CLASSES]
+        # Words of the tree share what all of them have in their class.
+        tokens_of_tree = m.tree.tokens(words, ending, END)
+        token = tokens_of_tree[tokens_of_tree != len(m.tree.number) + ENDINGS]
+        own = token < len(m.tree.number)
+        shared_class = by_token % CLASSES >= OWN
+        value += m.tree.log10(tokens_of_tree)
+        value[own & shared_class] += np.log10(m.tree.mass[token[own & shared_class]])
         end_c = m.ends
         logs = np.stack([log_c, of_class, (c > 0).astype(np.float64)], axis=1)
         per_text = sums(logs[words.codes], words.at) if len(distinct) else np.zeros((n, 3))
         tokens = words.counts + 1
         base = per_text[:, 0] + np.log10(end_c + 1.0) - tokens * np.log10(m.n_tokens + m.n_words + 1.0)
-        own_end = END in m.classes.own
+        own_end = END in m.tree.number
         mine = sums(value, words.at + np.arange(n + 1)) + per_text[:, 1] + (0.0 if own_end else np.log10(end_c + 1.0))
         # Words beyond the head, each once per text.
         rare = np.flatnonzero((c < 0)[words.codes]) if len(distinct) else np.zeros(0, np.int64)
         pair, many = np.unique(words.text_of_word()[rare] * max(1, len(distinct)) + words.codes[rare], return_counts=True)
         owner, code = pair // max(1, len(distinct)), pair % max(1, len(distinct))
         at = np.searchsorted(owner, np.arange(n + 1))
-        rows = pa.StructArray.from_arrays([words.distinct_array.cast(pa.binary()).take(pa.array(code)), pa.array(many.astype(np.int64))], ["word", "times"])
+        found = [words.distinct_array.cast(pa.binary()).take(pa.array(code)), pa.array(many.astype(np.int64)), pa.array(in_tree[code])]
+        rows = pa.StructArray.from_arrays(found, ["word", "times", "in_tree"])
         return [
             pa.array(tokens),
             pa.array((per_text[:, 2] + (end_c > 0)).astype(np.int64)),
@@ -237,23 +253,27 @@ def score(documents: DataFrame, may_learn: Column) -> DataFrame:
             pa.ListArray.from_arrays(pa.array(at, pa.int32()), rows),
         ]
 
-    schema = "n_tokens bigint, n_known bigint, base double, mine double, rare array<struct<word: binary, times: bigint>>"
+    schema = "n_tokens bigint, n_known bigint, base double, mine double, rare array<struct<word: binary, times: bigint, in_tree: boolean>>"
     found = map_texts(documents, work, schema).withColumn("row", F.monotonically_increasing_id())
     # Written, so that the row numbers stay what they are.
     found = written(spark, found, f"{folder}/scored")
-    rare = found.select("row", F.explode("rare").alias("r")).select("row", "r.word", "r.times")
+    rare = found.select("row", F.explode("rare").alias("r")).select("row", "r.word", "r.times", "r.in_tree")
+    log_n = F.col("times") * F.log10(F.col("n") + 1.0)
     # Words that are in no training text add nothing.
     added = (
         rare.join(counts.select("word", "n"), "word")
         .groupBy("row")
-        .agg(F.sum(F.col("times") * F.log10(F.col("n") + 1.0)).alias("logs"), F.sum("times").alias("more_known"))
+        .agg(
+            F.sum(log_n).alias("logs"),
+            F.sum(F.when(~F.col("in_tree"), log_n)).alias("logs_beside_tree"),
+            F.sum("times").alias("more_known"),
+        )
     )
-    logs = F.coalesce("logs", F.lit(0.0))
     return found.drop("rare").join(added, "row", "left").select(
         "doc_id",
         "n_tokens",
         (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
         F.lit(model.n_tokens).cast("long").alias("train_tokens"),
-        (F.col("base") + logs).alias("base_score"),
-        (F.col("mine") + logs).alias("score"),
+        (F.col("base") + F.coalesce("logs", F.lit(0.0))).alias("base_score"),
+        (F.col("mine") + F.coalesce("logs_beside_tree", F.lit(0.0))).alias("score"),
     )

@@ -1,0 +1,180 @@
+"""Words with embeddings of their own, predicted within their class by a tree.
+
+The words of a class are the leaves of a binary tree. At each node a logistic
+unit with an embedding of its own looks at the embeddings of the two words
+before and goes left or right, so the words of a class always sum up to one.
+Untrained, a tree gives a word its share of the counts. Training is stochastic
+gradient descent over all tokens of the training texts, in every Spark
+partition from one start; what the partitions found is put together by rows.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+from dataclasses import dataclass, replace
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+
+from orderloom.llm.batches import SPACED, Texts, Words, map_batches, pieces
+
+#: Width of an embedding, tokens of a step and of a scored slice, rate of learning.
+WIDTH, BATCH, RATE = 16, 4096, 0.1
+#: Rows of embeddings that travel together, and steps of a row after which partitions are averaged, not added.
+BLOCK, SETTLED = 256, 64
+
+
+def sequence(words: Words, of_distinct: np.ndarray, end: int, start: int) -> np.ndarray:
+    """A number per word and end of a text, text after text, each text after two starts."""
+    n = len(words.at) - 1
+    at = words.at + 3 * np.arange(n + 1)
+    out = np.full(at[-1], start, np.int64)
+    out[at[1:] - 1] = end
+    if len(of_distinct):
+        out[np.arange(len(words.starts)) + 3 * words.text_of_word() + 2] = of_distinct[words.codes]
+    return out
+
+
+@dataclass(frozen=True)
+class WordTree:
+    """Word i of ``number`` has the path ``node[at[i]:at[i+1]]``, to the right where ``right``.
+
+    ``rows``: embeddings of all words as context, of classes by ending for all
+    other words, and of a text's start; then those of the nodes, biases last.
+    """
+
+    number: dict[bytes, int]
+    endings: int
+    at: np.ndarray
+    node: np.ndarray
+    right: np.ndarray
+    mass: np.ndarray
+    rows: np.ndarray
+
+    @classmethod
+    def of(cls, counts: dict[bytes, int], class_of: dict[bytes, int], endings: int) -> WordTree:
+        words = sorted(counts, key=lambda w: (class_of[w], -counts[w], w))
+        kind = np.array([class_of[w] for w in words], np.int64)
+        n = len(words)
+        total = np.concatenate([[0.0], np.cumsum([counts[w] + 1.0 for w in words])])
+        low, high = np.searchsorted(kind, kind), np.searchsorted(kind, kind, side="right")
+        mass = total[high] - total[low]
+        first_node = n + endings + 1
+        rows = np.random.default_rng(13).normal(0, 0.3, (first_node + n, WIDTH + 1)).astype(np.float32)
+        # A node is the place between two words at which it divides its range.
+        rows[first_node:] = 0
+        leaf, found = np.arange(n), []
+        while len(open_ := np.flatnonzero(high - low > 1)):
+            a, b = low[open_], high[open_]
+            middle = np.clip(np.searchsorted(total, (total[a] + total[b]) / 2), a + 1, b - 1)
+            rows[first_node + middle, WIDTH] = np.log((total[b] - total[middle]) / (total[middle] - total[a]))
+            right = leaf[open_] >= middle
+            found.append((open_, middle, right))
+            low[open_], high[open_] = np.where(right, middle, a), np.where(right, b, middle)
+        owner, node, right = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 3
+        order = np.argsort(owner, kind="stable")
+        at = np.searchsorted(owner[order], np.arange(n + 1))
+        number = {w: i for i, w in enumerate(words)}
+        return cls(number, endings, at, (node[order] + first_node).astype(np.int32), right[order].astype(bool), mass, rows)
+
+    def tokens(self, words: Words, ending, end: bytes) -> np.ndarray:
+        """Rows of all words and ends as context, as ``sequence`` puts them."""
+        number, n = self.number, len(self.number)
+        row = lambda w: number[w] if w in number else n + ending(w)
+        distinct = np.fromiter((row(w) for w in words.distinct), np.int64, len(words.distinct_array))
+        return sequence(words, distinct, row(end), n + self.endings)
+
+    def _paths(self, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places in ``node`` of all words' paths, whose they are, and where each begins."""
+        size = self.at[word + 1] - self.at[word]
+        first = np.cumsum(size) - size
+        return np.repeat(self.at[word] - first, size) + np.arange(int(size.sum())), np.repeat(np.arange(len(word)), size), first
+
+    def steps(self, tokens: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """Places among the tokens, words and the two rows before of words that have a path, BATCH at a time."""
+        n = len(self.number)
+        place = np.flatnonzero(tokens != n + self.endings)
+        word = tokens[place]
+        has_path = np.append(np.diff(self.at) > 0, np.zeros(self.endings + 1, bool))
+        used = np.flatnonzero(has_path[word])
+        for i in range(0, len(used), BATCH):
+            some = used[i : i + BATCH]
+            yield some, word[some], tokens[place[some] - 1], tokens[place[some] - 2]
+
+    def look(self, rows: np.ndarray, word: np.ndarray, near: np.ndarray, far: np.ndarray):
+        """Places, owners and begins of the paths, what is seen from them, the nodes' rows and the logits to go as the word does."""
+        place, owner, first = self._paths(word)
+        seen = rows[near]
+        # The word before the last is seen in reverse, so that order matters.
+        seen[:, :WIDTH] += 0.5 * rows[far][:, WIDTH - 1 :: -1]
+        seen[:, WIDTH] = 1
+        wide, at_node = seen[owner], rows[self.node[place]]
+        return place, owner, first, wide, at_node, np.einsum("ij,ij->i", wide, at_node) * np.where(self.right[place], 1, -1)
+
+    def log10(self, tokens: np.ndarray) -> np.ndarray:
+        """Of every word and end: log10 of its share of its class's words here, after those before it; 0 without a path."""
+        out = np.zeros(int((tokens != len(self.number) + self.endings).sum()))
+        for some, word, near, far in self.steps(tokens):
+            _, _, first, _, _, logit = self.look(self.rows, word, near, far)
+            out[some] = np.add.reduceat(-np.logaddexp(0, -logit), first) / np.log(10)
+        return out
+
+    def learn(self, rows: np.ndarray, squares: np.ndarray, times: np.ndarray, tokens: np.ndarray) -> None:
+        """One pass of gradient steps over the tokens, in place."""
+        for _, word, near, far in self.steps(tokens):
+            place, owner, first, wide, at_node, logit = self.look(rows, word, near, far)
+            pull = ((1 / (1 + np.exp(np.clip(logit, -30, 30)))) * np.where(self.right[place], -1, 1)).astype(np.float32)
+            of_seen = np.add.reduceat(pull[:, None] * at_node, first, axis=0)
+            of_seen[:, WIDTH] = 0
+            of_far = of_seen.copy()
+            of_far[:, :WIDTH] = 0.5 * of_seen[:, WIDTH - 1 :: -1]
+            row = np.concatenate([self.node[place].astype(np.int64), near, far])
+            order = np.argsort(row, kind="stable")
+            begins = np.flatnonzero(np.diff(row[order], prepend=-1))
+            g = np.add.reduceat(np.concatenate([pull[:, None] * wide, of_seen, of_far])[order], begins, axis=0)
+            row = row[order][begins]
+            squares[row] += np.square(g).mean(axis=1)
+            times[row] += 1
+            rows[row] -= RATE * g / np.sqrt(squares[row])[:, None]
+
+    def trained(self, documents: DataFrame, ending, end: bytes) -> WordTree:
+        """The tree after one pass over all tokens of ``documents``."""
+        shared = documents.sparkSession.sparkContext.broadcast(self)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            tree: WordTree = shared.value
+            rows, squares, times = tree.rows.copy(), np.ones(len(tree.rows), np.float32), np.zeros(len(tree.rows), np.float32)
+            for batch in batches:
+                for piece in pieces(batch):
+                    words = Texts.of(piece.column("text")).lower().words(SPACED)
+                    tree.learn(rows, squares, times, tree.tokens(words, ending, end))
+            changed = np.flatnonzero(times)
+            begins = np.flatnonzero(np.diff(changed // BLOCK, prepend=-1))
+            for some in np.split(changed, begins[1:]) if len(changed) else []:
+                parts = ((some % BLOCK).astype(np.int16), times[some], (rows[some] - tree.rows[some]).astype(np.float16))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([int(some[0]) // BLOCK]), *(pa.array([x.tobytes()], pa.binary()) for x in parts)],
+                    names=["block", "place", "times", "change"],
+                )
+
+        def together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            blocks: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+            for batch in batches:
+                for r in batch.to_pylist():
+                    change, share = blocks.setdefault(r["block"], (np.zeros((BLOCK, WIDTH + 1)), np.zeros(BLOCK)))
+                    place, times = np.frombuffer(r["place"], np.int16), np.frombuffer(r["times"], np.float32)
+                    change[place] += np.frombuffer(r["change"], np.float16).reshape(-1, WIDTH + 1)
+                    share[place] += times / (times + SETTLED)
+            for block, (change, share) in blocks.items():
+                mean = (change / np.maximum(share, 1)[:, None]).astype(np.float32)
+                yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([mean.tobytes()], pa.binary())], names=["block", "change"])
+
+        found = map_batches(documents.select("text"), run, "block bigint, place binary, times binary, change binary")
+        # Bounded: one row of embeddings per word, node and ending.
+        found = map_batches(found.repartition("block"), together, "block bigint, change binary").toArrow()
+        rows = self.rows.copy()
+        for block, change in zip(found.column("block").to_pylist(), found.column("change").to_pylist(), strict=True):
+            part = rows[block * BLOCK : (block + 1) * BLOCK]
+            part += np.frombuffer(change, np.float32).reshape(BLOCK, -1)[: len(part)]
+        return replace(self, rows=rows)

@@ -4,6 +4,7 @@ import itertools
 import math
 import random
 from collections import Counter
+from dataclasses import replace
 
 import numpy as np
 import pyarrow as pa
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 from orderloom.llm import language_id, neural_lm, quality_crf
 from orderloom.llm.batches import Texts
+from orderloom.llm.word_tree import WordTree
 
 EN, ES = ("the", "ing", "er", "on", "st"), ("ción", "la", "os", "que", "ñ")
 
@@ -176,3 +178,37 @@ def test_language_model_is_normalised_and_better_than_the_base(spark, tmp_path):
         assert (mass + 1) / 10 ** model.shares[kind] == pytest.approx(1)
     found = neural_lm.score(documents, F.col("doc_id") < 300).where("doc_id >= 300").agg(F.sum("score"), F.sum("base_score")).first()
     assert found[0] > 0.7 * found[1]
+
+
+def test_language_model_knows_the_order_of_words_beyond_the_classes(spark, tmp_path):
+    rng = random.Random(10)
+    # 600 words, equally frequent and all of one ending; every word has one that follows it.
+    names = [f"{a}{b}{c}end" for a in "bcdfghklmn" for b in "aeiou" for c in "bcdfghklmnpr"]
+    rows = []
+    for i in range(1500):
+        w, text = rng.randrange(600), []
+        for _ in range(40):
+            text.append(names[w])
+            w = (w * 7 + 1) % 600
+        rows.append((i, " ".join(text), "", "", 0))
+    backwards = [(10_000 + r[0], " ".join(reversed(r[1].split())), "", "", 0) for r in rows[1000:]]
+    documents = spark.createDataFrame(rows + backwards, SCHEMA).coalesce(2)
+    found = {r["doc_id"]: r for r in neural_lm.score(documents, F.col("doc_id") < 1000).collect()}
+    assert all(found[i]["base_score"] == pytest.approx(found[10_000 + i]["base_score"]) for i in range(1000, 1500))
+    # In the order of the training texts a text is likelier than backwards, with the same words.
+    assert sum(found[i]["score"] > found[10_000 + i]["score"] + 1 for i in range(1000, 1500)) >= 490
+
+
+def test_word_tree_is_normalised_and_starts_from_counts():
+    counts = {f"w{i}".encode(): 1 + i * i % 17 for i in range(50)}
+    class_of = {w: i % 3 for i, w in enumerate(counts)}
+    tree = WordTree.of(counts, class_of, 4)
+    n = len(counts)
+    start = n + 4
+    for rows in (tree.rows, np.random.default_rng(1).normal(0, 1, tree.rows.shape).astype(np.float32)):
+        other = replace(tree, rows=rows)
+        p = {w: 10 ** other.log10(np.array([start, start, 5, 9, i]))[-1] for w, i in tree.number.items()}
+        for kind in range(3):
+            assert sum(p[w] for w in counts if class_of[w] == kind) == pytest.approx(1, rel=1e-4)
+        if rows is tree.rows:
+            assert all(p[w] == pytest.approx((counts[w] + 1) / tree.mass[i], rel=1e-4) for w, i in tree.number.items())
