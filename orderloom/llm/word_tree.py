@@ -51,6 +51,14 @@ class WordTree:
     right: np.ndarray
     mass: np.ndarray
     rows: np.ndarray
+    #: What the tree is made of, which is all that travels besides what ``rows`` have learned.
+    counts: dict[bytes, int]
+    class_of: dict[bytes, int]
+
+    def __reduce__(self):
+        start = WordTree.of(self.counts, self.class_of, self.endings).rows
+        change = (self.rows - start).astype(np.float16)
+        return _with_change, (self.counts, self.class_of, self.endings, change if change.any() else None)
 
     @classmethod
     def of(cls, counts: dict[bytes, int], class_of: dict[bytes, int], endings: int) -> WordTree:
@@ -76,7 +84,7 @@ class WordTree:
         order = np.argsort(owner, kind="stable")
         at = np.searchsorted(owner[order], np.arange(n + 1))
         number = {w: i for i, w in enumerate(words)}
-        return cls(number, endings, at, (node[order] + first_node).astype(np.int32), right[order].astype(bool), mass, rows)
+        return cls(number, endings, at, (node[order] + first_node).astype(np.int32), right[order].astype(bool), mass, rows, counts, class_of)
 
     def tokens(self, words: Words, ending, end: bytes) -> np.ndarray:
         """Rows of all words and ends as context, as ``sequence`` puts them."""
@@ -173,8 +181,14 @@ class WordTree:
         found = map_batches(documents.select("text"), run, "block bigint, place binary, times binary, change binary")
         # Bounded: one row of embeddings per word, node and ending.
         found = map_batches(found.repartition("block"), together, "block bigint, change binary").toArrow()
+        shared.destroy()
         rows = self.rows.copy()
         for block, change in zip(found.column("block").to_pylist(), found.column("change").to_pylist(), strict=True):
             part = rows[block * BLOCK : (block + 1) * BLOCK]
             part += np.frombuffer(change, np.float32).reshape(BLOCK, -1)[: len(part)]
         return replace(self, rows=rows)
+
+
+def _with_change(counts: dict[bytes, int], class_of: dict[bytes, int], endings: int, change: np.ndarray | None) -> WordTree:
+    tree = WordTree.of(counts, class_of, endings)
+    return tree if change is None else replace(tree, rows=tree.rows + change.astype(np.float32))
