@@ -117,9 +117,82 @@ SELECT doc_id, size, source_size, target::DOUBLE AS target,
 FROM ordered
 """
 
+_MERKLE_MANIFEST = r"""
+WITH RECURSIVE raw AS (
+    SELECT doc_id, lang, text, source, n_chars, doc_id::VARCHAR AS name FROM documents
+),
+coded AS (
+    SELECT doc_id, lang, name,
+           coalesce(strlen(name)::VARCHAR || ':' || name, '-') || coalesce(strlen(source)::VARCHAR || ':' || source, '-')
+               || coalesce(strlen(lang)::VARCHAR || ':' || lang, '-')
+               || coalesce(strlen(n_chars::VARCHAR)::VARCHAR || ':' || n_chars::VARCHAR, '-') AS head,
+           text, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low,
+           list_reduce(
+               list_prepend(4294967295::BIGINT, list_transform(string_split(name, ''), lambda d: ascii(d)::BIGINT)),
+               lambda crc, byte: list_reduce(
+                   [xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[],
+                   lambda x, y: xor(x >> 1, (x & 1) * 3988292384)
+               )
+           ) AS crc
+    FROM raw
+),
+leaves AS (
+    SELECT doc_id, lang, sha256(head || coalesce(strlen(text)::VARCHAR || ':' || text, '-')) AS leaf,
+           sha256(head || coalesce(strlen(low)::VARCHAR || ':' || low, '-')) AS altered,
+           coalesce(xor(crc, 4294967295) % 3 = 0, false) AS tampered,
+           dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree
+    FROM coded
+),
+placed AS (
+    SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS rank FROM leaves
+),
+inner_nodes AS (
+    SELECT tree, 0 AS level, rank AS place, leaf AS node, count(*) OVER (PARTITION BY tree) AS n FROM placed
+    UNION ALL
+    SELECT tree, level + 1, parent, sha256(string_agg(node, '' ORDER BY place)), (any_value(n) + 7) // 8
+    FROM (SELECT *, place // 8 AS parent FROM inner_nodes WHERE n > 1) GROUP BY tree, level, parent
+),
+subroots AS (SELECT tree, node AS subroot FROM inner_nodes WHERE n = 1),
+outer_nodes AS (
+    SELECT 0 AS level, tree AS place, subroot AS node, count(*) OVER () AS n FROM subroots
+    UNION ALL
+    SELECT level + 1, parent, sha256(string_agg(node, '' ORDER BY place)), (any_value(n) + 7) // 8
+    FROM (SELECT *, place // 8 AS parent FROM outer_nodes WHERE n > 1) GROUP BY level, parent
+),
+nodes AS (
+    SELECT tree, false AS is_outer, level, place, node, n FROM inner_nodes
+    UNION ALL
+    SELECT 0, true, level, place, node, n FROM outer_nodes
+),
+beside AS (
+    SELECT a.tree, a.is_outer, a.level, a.place,
+           coalesce(string_agg(b.node, '' ORDER BY b.place) FILTER (b.place < a.place), '') AS left_of,
+           coalesce(string_agg(b.node, '' ORDER BY b.place) FILTER (b.place > a.place), '') AS right_of
+    FROM nodes a JOIN nodes b ON a.tree = b.tree AND a.is_outer = b.is_outer AND a.level = b.level AND a.place // 8 = b.place // 8
+    WHERE a.n > 1 GROUP BY ALL
+),
+heights AS (SELECT tree, max(level) AS height FROM inner_nodes GROUP BY tree),
+top AS (SELECT node AS root, level AS height FROM outer_nodes WHERE n = 1),
+steps AS (
+    SELECT p.tree, p.rank, 0 AS step, CASE WHEN p.tampered THEN p.altered ELSE p.leaf END AS folded, '' AS proof FROM placed p
+    UNION ALL
+    SELECT s.tree, s.rank, s.step + 1, sha256(b.left_of || s.folded || b.right_of), s.proof || b.left_of || b.right_of
+    FROM steps s JOIN heights h ON h.tree = s.tree CROSS JOIN top t
+    JOIN beside b ON b.is_outer = (s.step >= h.height)
+        AND b.tree = CASE WHEN s.step < h.height THEN s.tree ELSE 0 END
+        AND b.level = CASE WHEN s.step < h.height THEN s.step ELSE s.step - h.height END
+        AND b.place = CASE WHEN s.step < h.height THEN s.rank // (8 ** s.step)::BIGINT ELSE s.tree // (8 ** (s.step - h.height))::BIGINT END
+    WHERE s.step < h.height + t.height
+),
+ends AS (SELECT s.* FROM steps s JOIN heights h ON h.tree = s.tree CROSS JOIN top t WHERE s.step = h.height + t.height)
+SELECT p.doc_id, p.leaf, r.subroot, t.root, sha256(e.proof) AS proof_sha256, e.folded AS folded_root, e.folded = t.root AS verified
+FROM placed p JOIN subroots r ON r.tree = p.tree JOIN ends e ON e.tree = p.tree AND e.rank = p.rank CROSS JOIN top t
+"""
+
 ORACLES = {
     "op2_chunk_dedup": _EXACT_DEDUP,
     "op5_jaccard_join": _JACCARD_JOIN,
     "op7_decontamination": _DECONTAMINATION,
     "op9_mixing": _MIXING,
+    "op11_merkle_manifest": _MERKLE_MANIFEST,
 }

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from string import ascii_lowercase, ascii_uppercase
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +15,7 @@ from orderloom.llm.decontamination import contamination, digest
 from orderloom.llm.jaccard_join import similar_groups
 from orderloom.llm.length_histogram import length_histogram
 from orderloom.llm.license_scan import scan
+from orderloom.llm.merkle_manifest import fold, leaf_hash, manifest, proof_digest
 from orderloom.llm.mixing import mix
 from orderloom.llm.token_codes import token_table
 
@@ -84,6 +87,16 @@ def _token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_table(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), END_ID)
 
 
+def _manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The proofs, checked against leaves of which one in three is tampered with."""
+    lowered = F.translate("text", ascii_uppercase, ascii_lowercase)
+    altered = F.when(remainder("doc_id", 3) == 0, leaf_hash({"text": lowered}))
+    proved = manifest(table(spark, sf_dir, "documents"), {"altered": altered})
+    folded = fold(F.coalesce("altered", "leaf")).alias("folded_root")
+    proved = proved.select("doc_id", "leaf", "subroot", "root", proof_digest().alias("proof_sha256"), folded)
+    return proved.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES = {
     "op1_language_id": _language_id,
     "op2_chunk_dedup": _exact_dedup,
@@ -95,4 +108,5 @@ QUERIES = {
     "op8_quality_crf": _quality,
     "op9_mixing": _mixing,
     "op10_token_codes": _token_ids,
+    "op11_merkle_manifest": _manifest,
 }
