@@ -189,10 +189,46 @@ SELECT p.doc_id, p.leaf, r.subroot, t.root, sha256(e.proof) AS proof_sha256, e.f
 FROM placed p JOIN subroots r ON r.tree = p.tree JOIN ends e ON e.tree = p.tree AND e.rank = p.rank CROSS JOIN top t
 """
 
+_SUFFIX_DEDUP = """
+WITH doc AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS code FROM documents),
+blocks AS (
+    SELECT doc_id, start, substring(code, 2 * start + 1, 498) AS block
+    FROM (SELECT doc_id, code, unnest(range(0, length(code) // 2 - 49, 200)) AS start FROM doc)
+),
+strings AS (
+    SELECT doc_id, start + i AS i, substring(block, 2 * i + 1, 100) AS string
+    FROM (SELECT doc_id, start, block, unnest(range(0, length(block) // 2 - 49)) AS i FROM blocks)
+),
+first_of AS (SELECT string, min(doc_id) AS first_doc FROM strings GROUP BY string),
+repeated AS (SELECT doc_id, i FROM strings JOIN first_of USING (string) WHERE first_doc < doc_id),
+numbered AS (
+    SELECT doc_id, i, coalesce(i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) > 50, true)::INT AS opens FROM repeated
+),
+spans AS (
+    SELECT doc_id, min(i) AS a, max(i) + 50 AS b
+    FROM (SELECT doc_id, i, sum(opens) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM numbered)
+    GROUP BY doc_id, span
+),
+gaps AS (
+    SELECT doc_id, b AS a, lead(a) OVER (PARTITION BY doc_id ORDER BY a) AS b FROM spans
+    UNION ALL
+    SELECT doc_id, 0, min(a) FROM spans GROUP BY doc_id
+),
+kept AS (
+    SELECT g.doc_id, string_agg(substring(code, 2 * g.a + 1, 2 * (coalesce(g.b, length(code) // 2) - g.a)), '' ORDER BY g.a) AS code
+    FROM gaps g JOIN doc USING (doc_id) GROUP BY g.doc_id
+),
+counts AS (SELECT doc_id, sum(b - a)::BIGINT AS n_removed, count(*) AS n_spans FROM spans GROUP BY doc_id)
+SELECT doc_id, length(d.code) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(k.code, d.code))) AS kept_sha256
+FROM doc d LEFT JOIN counts USING (doc_id) LEFT JOIN kept k USING (doc_id)
+"""
+
 ORACLES = {
     "op2_chunk_dedup": _EXACT_DEDUP,
     "op5_jaccard_join": _JACCARD_JOIN,
     "op7_decontamination": _DECONTAMINATION,
     "op9_mixing": _MIXING,
     "op11_merkle_manifest": _MERKLE_MANIFEST,
+    "op12_suffix_dedup": _SUFFIX_DEDUP,
 }

@@ -17,6 +17,7 @@ from orderloom.llm.length_histogram import length_histogram
 from orderloom.llm.license_scan import scan
 from orderloom.llm.merkle_manifest import fold, leaf_hash, manifest, proof_digest
 from orderloom.llm.mixing import mix
+from orderloom.llm.suffix_dedup import repeated_passages
 from orderloom.llm.token_codes import token_table
 
 TOKENIZER, END_ID = "word_bpe_49k.json", 1
@@ -97,6 +98,10 @@ def _manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return proved.withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def _suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents")).drop("kept")
+
+
 QUERIES = {
     "op1_language_id": _language_id,
     "op2_chunk_dedup": _exact_dedup,
@@ -109,4 +114,5 @@ QUERIES = {
     "op9_mixing": _mixing,
     "op10_token_codes": _token_ids,
     "op11_merkle_manifest": _manifest,
+    "op12_suffix_dedup": _suffix_dedup,
 }
