@@ -29,7 +29,7 @@ from __future__ import annotations
 
 import hashlib
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -80,8 +80,8 @@ class Cover:
     @classmethod
     def of(cls, length: int) -> Cover:
         """The widest cover that leaves more than half of ``length`` to compare."""
-        if length < 6:
-            raise ValueError("strings of less than 6 bytes")
+        if not 6 <= length <= 255:
+            raise ValueError("strings have 6 to 255 bytes")
         period = max(p for p in _COVERS if 2 * p <= length)
         return cls(length, period, _COVERS[period])
 
@@ -97,15 +97,11 @@ class Cover:
     def samples(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Sampled positions of texts side by side, in order, and their texts."""
         sizes = np.diff(at)
-        places, owners = [], []
-        for residue in self.residues:
-            n = np.where(sizes >= self.length, (sizes - self.triple - residue) // self.period + 1, 0)
-            text = np.repeat(np.arange(len(n)), n)
-            places.append(at[:-1][text] + residue + self.period * _counting(n))
-            owners.append(text)
-        place, owner = np.concatenate(places), np.concatenate(owners)
-        order = np.argsort(place)
-        return place[order], owner[order]
+        n = np.where(sizes >= self.length, (sizes - self.triple) // self.period + 1, 0)
+        text = np.repeat(np.arange(len(n)), n)
+        place = (at[:-1][text] + self.period * _counting(n))[:, None] + np.array(self.residues)
+        fits = place <= (at[1:] - self.triple)[text][:, None]
+        return place[fits], np.repeat(text, fits.sum(1))
 
 
 def _counting(n: np.ndarray) -> np.ndarray:
@@ -137,12 +133,17 @@ class _Words:
             low = high
 
     def hashes(self, place: np.ndarray, n_bytes: int) -> np.ndarray:
-        h = np.full(len(place), n_bytes, np.uint64)
-        for word in self.at(place, n_bytes):
-            h = (h ^ word) * _A
-            h ^= h >> np.uint64(29)
-        h *= _B
-        return h ^ (h >> _U32)
+        return _mixed(self.at(place, n_bytes))
+
+
+def _mixed(words: Iterable[np.ndarray]) -> np.ndarray:
+    """One 64-bit hash of several words."""
+    h = _B
+    for word in words:
+        h = (h ^ word) * _A
+        h ^= h >> np.uint64(29)
+    h = h * _B
+    return h ^ (h >> _U32)
 
 
 def _planes(values: np.ndarray) -> bytes:
@@ -185,15 +186,26 @@ class _Entries:
 
     @classmethod
     def of(cls, range_: np.ndarray, columns: list[np.ndarray], docs: np.ndarray) -> _Entries:
-        """``columns``: most significant first."""
-        order = np.lexsort((docs, *reversed(columns), range_))
-        new = _starts(range_[order], *(c[order] for c in columns)) if len(order) else np.zeros(0, bool)
+        """Things are equal if all ``columns`` are; ranges ascend, and in them a single column does."""
+        if not len(range_):
+            nothing = np.zeros(0, np.int64)
+            return cls(nothing, nothing, nothing, nothing, nothing.astype(bool))
+        mixed = columns[0] if len(columns) == 1 else _mixed(columns) >> _U32
+        key = (range_ << _U32) | mixed
+        order = np.argsort(key)
+        new = _starts(key[order])
+        if len(columns) > 1:
+            # Different things with one key are told apart by all columns.
+            same = np.flatnonzero(~new)
+            if any((c[order[same]] != c[order[same - 1]]).any() for c in columns):
+                order = np.lexsort((*reversed(columns), key))
+                new = _starts(key[order], *(c[order] for c in columns))
         begin = np.flatnonzero(new)
-        last = np.append(begin[1:], len(order))[: len(begin)] - 1
         of_thing = np.empty(len(order), np.int64)
         of_thing[order] = np.cumsum(new) - 1
-        first, thing = docs[order[begin]], order[begin]
-        return cls(of_thing, thing, range_[thing], first, docs[order[last]] != first)
+        ordered, thing = docs[order], order[begin]
+        first = np.minimum.reduceat(ordered, begin)
+        return cls(of_thing, thing, range_[thing], first, np.maximum.reduceat(ordered, begin) != first)
 
     def requests(self, slice_: int, kind: int, keys) -> Iterator[tuple]:
         """A row per range; ``keys`` gives the bytes of entries a to b."""
@@ -473,11 +485,9 @@ def _sorted_side(rows: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
     ``n``: how many bytes of a row count; of rows that are equal the shorter is first.
     """
-    width = -(-rows.shape[1] // 8) * 8
-    padded = np.zeros((len(rows), width), np.uint8)
-    padded[:, : rows.shape[1]] = rows
-    words = padded.view(">u8").astype(np.uint64)
-    order = np.lexsort((n, *words.T[::-1]))
+    # Byte strings of one length compare byte by byte, zeros included; the last byte is the number.
+    whole = np.concatenate([rows, n.astype(np.uint8)[:, None]], 1)
+    order = np.argsort(whole.view(f"S{whole.shape[1]}").ravel())
     shared = np.zeros(len(rows), np.int64)
     a, b = rows[order[1:]], rows[order[:-1]]
     differs = a != b
@@ -486,6 +496,12 @@ def _sorted_side(rows: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return order, shared
 
 
+def _ordered(major: np.ndarray, minor: np.ndarray, bits: int) -> np.ndarray:
+    """Order by two numbers and then by place, by sorting one number; all have at most ``bits`` bits."""
+    joined = (((major << bits) | minor) << bits) | np.arange(len(major))
+    return np.sort(joined) & ((1 << bits) - 1)
+
+
 def _repeated_around(rows: np.ndarray, docs: np.ndarray, cover: Cover) -> np.ndarray:
     """For each suffix, a bit per number of bytes before it: a smaller document has that string.
 
@@ -501,15 +517,17 @@ def _repeated_around(rows: np.ndarray, docs: np.ndarray, cover: Cover) -> np.nda
     left, left_shared = _sorted_side(rows[:, :before], n_left)
     bits = np.zeros((len(rows), -(-cover.period // 64)), np.uint64)
     right_class, left_class = np.empty(len(rows), np.int64), np.empty(len(rows), np.int64)
+    size = len(rows).bit_length()
+    wide = 3 * size > 63
     for k in range(cover.period):
         right_class[right] = np.cumsum(right_shared < length - k)
         left_class[left] = np.cumsum(left_shared < k)
         valid = np.flatnonzero((n_left >= k) & (n_right >= length - k))
         if not len(valid):
             continue
-        key = right_class[valid] * (len(rows) + 1) + left_class[valid]
-        order = np.argsort(key, kind="stable")  # rows are in order of their documents
-        new = _starts(key[order])
+        # Classes and then the row: rows are in order of their documents.
+        order = np.lexsort((left_class[valid], right_class[valid])) if wide else _ordered(right_class[valid], left_class[valid], size)
+        new = _starts(right_class[valid][order], left_class[valid][order])
         ordered = docs_[valid][order]
         earlier = ordered[np.flatnonzero(new)][np.cumsum(new) - 1] < ordered
         bits[valid[order[earlier]], k >> 6] |= np.uint64(1 << (k & 63))
