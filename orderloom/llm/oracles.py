@@ -224,6 +224,31 @@ SELECT doc_id, length(d.code) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_remov
 FROM doc d LEFT JOIN counts USING (doc_id) LEFT JOIN kept k USING (doc_id)
 """
 
+_HARD_NEGATIVES = """
+WITH usable AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS vector
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+           list_dot_product(a.vector, b.vector)::BIGINT AS score
+    FROM usable a JOIN usable b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0
+),
+positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id,
+       row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INT AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
+
 ORACLES = {
     "op2_chunk_dedup": _EXACT_DEDUP,
     "op5_jaccard_join": _JACCARD_JOIN,
@@ -231,4 +256,5 @@ ORACLES = {
     "op9_mixing": _MIXING,
     "op11_merkle_manifest": _MERKLE_MANIFEST,
     "op12_suffix_dedup": _SUFFIX_DEDUP,
+    "op13_hard_negatives": _HARD_NEGATIVES,
 }

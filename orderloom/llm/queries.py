@@ -12,6 +12,7 @@ from orderloom.llm import language_id, neural_lm, quality_crf
 from orderloom.llm.batches import remainder
 from orderloom.llm.chunk_dedup import exact_groups
 from orderloom.llm.decontamination import contamination, digest
+from orderloom.llm.hard_negatives import hard_negatives, quantized
 from orderloom.llm.jaccard_join import similar_groups
 from orderloom.llm.length_histogram import length_histogram
 from orderloom.llm.license_scan import scan
@@ -102,6 +103,12 @@ def _suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages(table(spark, sf_dir, "documents")).drop("kept")
 
 
+def _hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = quantized(table(spark, sf_dir, "embeddings"))
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(rows.withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
 QUERIES = {
     "op1_language_id": _language_id,
     "op2_chunk_dedup": _exact_dedup,
@@ -115,4 +122,5 @@ QUERIES = {
     "op10_token_codes": _token_ids,
     "op11_merkle_manifest": _manifest,
     "op12_suffix_dedup": _suffix_dedup,
+    "op13_hard_negatives": _hard_negatives,
 }
