@@ -143,7 +143,13 @@ def run_incremental(
 def publish_stream(spark: SparkSession, lake: Lakehouse) -> int:
     """Refined orders as a table; returns its row count."""
     catalog.ensure_database(spark, lake.database)
-    n_rows = publish_orders(spark, lake.stream("silver"), lake.stream_table, lake.key_type)
+    n_rows = publish_orders(
+        spark,
+        lake.stream("silver"),
+        lake.stream_table,
+        lake.key_type,
+        progress=lake.checkpoint("publish"),
+    )
     require_rows({lake.stream_table: n_rows})
     log.info("%s: %d rows", lake.stream_table, n_rows)
     return n_rows

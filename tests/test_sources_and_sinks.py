@@ -3,19 +3,22 @@
 from __future__ import annotations
 
 import tempfile
+from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from orderloom import catalog
 from orderloom.checks.queries import KEY_TYPE
+from orderloom.operators import audit
 from orderloom.operators.audit import MissingOutput
 from orderloom.plans.runs import Lakehouse, build_silver, load_bronze, run_full_load
 from orderloom.schemas import TABLES, silver_schema
 from orderloom.scratch import new_scratch, scratch_root
 from orderloom.sinks.events import send_to_kafka
-from orderloom.sinks.layers import append_parquet, replace_parquet
+from orderloom.sinks.layers import append_parquet, replace_parquet, write_layer_with_fingerprints
 from orderloom.sinks.parallel import in_parallel
-from orderloom.sinks.tables import publish_at_path, publish_managed
+from orderloom.sinks.tables import publish_at_path, publish_managed, table_location
 from orderloom.sources.events import kafka_events
 from orderloom.sources.layers import read_catalog, read_layer
 from orderloom.sources.relational import RangeSplit, jdbc_reader, jdbc_table
@@ -132,7 +135,8 @@ def test_replace_and_append(spark, tmp_path):
     assert append_parquet(spark.range(3), path) == 3
     assert spark.read.parquet(path).count() == 8
     assert replace_parquet(spark.range(2), path) == 2
-    assert spark.read.parquet(path).count() == 2
+    # The version before is kept for its readers.
+    assert len(list(Path(path).glob("version-*"))) == 2
 
 
 def test_a_failed_write_is_raised_and_the_others_are_done(spark, tmp_path):
@@ -161,12 +165,65 @@ def test_tables_are_replaced(spark, tmp_path, database):
         assert publish_at_path(spark.range(n), f"{database}.report", path) == n
         assert publish_managed(spark.range(n), f"{database}.managed") == n
     assert spark.table(f"{database}.report").count() == 2
-    assert spark.read.parquet(path).count() == 2
+    # The version before is kept for its readers.
+    assert len(list(Path(path).glob("version-*"))) == 2
     assert spark.table(f"{database}.managed").count() == 2
     assert catalog.list_tables(spark, database) == ["managed", "report"]
     assert database in catalog.list_databases(spark)
 
 
+def test_a_failed_publication_leaves_the_old_report(spark, tmp_path, database):
+    table, path = f"{database}.report", str(tmp_path / "report")
+    publish_at_path(spark.range(3), table, path)
+    broken = spark.range(5).select(F.when(F.col("id") < 4, F.col("id")).otherwise(F.raise_error(F.lit("no"))).cast("bigint").alias("id"))
+    with pytest.raises(Exception, match="no"):
+        publish_at_path(broken, table, path)
+    assert sorted(r["id"] for r in spark.table(table).collect()) == [0, 1, 2]
+    # What the failed write left is gone after the next one.
+    publish_at_path(spark.range(4), table, path)
+    assert len(list(Path(path).glob("version-*"))) == 2
+    assert spark.table(table).count() == 4
+
+
+def test_a_reader_keeps_its_version_and_columns_may_change(spark, tmp_path, database):
+    table, path = f"{database}.report", str(tmp_path / "report")
+    publish_at_path(spark.range(3), table, path)
+    reading = spark.table(table)
+    publish_at_path(spark.range(9), table, path)
+    assert (reading.count(), spark.table(table).count()) == (3, 9)
+    publish_at_path(spark.range(2).withColumn("name", F.lit("x")), table, path)
+    assert [tuple(r) for r in spark.table(table).orderBy("id").collect()] == [(0, "x"), (1, "x")]
+
+
+def test_fingerprints_tell_tables_apart_but_not_orders_of_rows(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a", None), (2, "", "b"), (2, "", "b")], "k int, t string, `odd name` string")
+    variants = {
+        "same": df.orderBy("t", ascending=False).select("odd name", "t", "k"),
+        "fewer": df.distinct(),
+        "twice": df.unionAll(df),
+        "value": df.withColumn("t", F.coalesce(F.nullif("t", F.lit("")), F.lit("c"))),
+        "null": df.withColumn("t", F.nullif("t", F.lit(""))),
+        "moved": df.select("k", F.col("odd name").alias("t"), F.col("t").alias("odd name")),
+        "none": df.limit(0),
+    }
+    found = {r["table_name"]: tuple(r)[1:] for r in audit.fingerprints({"df": df, **variants}).collect()}
+    assert found.pop("same") == found["df"]
+    assert len(set(found.values())) == len(found)
+    assert found["none"] == (0, 0, 0)
+    # Rows that are there twice cancel each other in one of the numbers only.
+    assert found["twice"][2] == 0 != found["twice"][1]
+
+
+def test_written_layers_are_compared_with_their_sources(spark, tmp_path):
+    root = str(tmp_path / "layer")
+    seen = write_layer_with_fingerprints({"a": spark.range(50), "b": spark.range(0)}, root)
+    assert seen["a"]["n_rows"] == 50 and seen["b"] == {"n_rows": 0, "digest_sum": 0, "digest_xor": 0}
+    audit.require_same(seen, read_layer(spark, root, ["a", "b"]))
+    append_parquet(spark.range(1), f"{root}/b")
+    with pytest.raises(audit.ChangedOutput, match="written: b"):
+        audit.require_same(seen, read_layer(spark, root, ["a", "b"]))
+
+
 def test_dropping_an_external_table_keeps_its_files(spark, tmp_path, database):
     root = str(tmp_path / "silver")
     schema = silver_schema("shippers")
@@ -183,7 +240,7 @@ def test_use_database_and_refresh(spark, tmp_path, database):
     path = str(tmp_path / "t")
     publish_at_path(spark.range(1), f"{database}.t", path)
     assert spark.table(f"{database}.t").count() == 1
-    append_parquet(spark.range(1), path)
+    append_parquet(spark.range(1), table_location(spark, f"{database}.t"))
     catalog.refresh(spark, f"{database}.t")
     try:
         catalog.use_database(spark, database)

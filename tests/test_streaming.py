@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from orderloom.plans.runs import Lakehouse, run_incremental
 from orderloom.sinks.events import to_events
+from orderloom.sinks.tables import publish_managed, table_location
 from orderloom.sources.events import PAYLOAD_SCHEMA, file_events
 from orderloom.streaming import ingest, publish, refine
 
@@ -180,6 +181,56 @@ def test_publication_adds_only_what_is_new(feed):
     spark.sql(f"DROP DATABASE {feed.lake.database} CASCADE")
 
 
+def test_publication_does_not_trust_clocks(feed, monkeypatch):
+    """A restarted driver whose clock is a day behind stamps its rows before all published ones."""
+    spark, table = feed.spark, feed.lake.stream_table
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {feed.lake.database}")
+    feed.arrive(message(1), message(2))
+    feed.ingest()
+    feed.refine()
+    assert publish.publish_orders(spark, feed.lake.stream("silver"), table) == 2
+    yesterday = F.current_timestamp() - F.expr("INTERVAL 1 DAY")
+    monkeypatch.setattr(refine.F, "current_timestamp", lambda: yesterday)
+    for i in (3, 4):
+        feed.arrive(message(i))
+        feed.ingest()
+        feed.refine()
+        assert publish.publish_orders(spark, feed.lake.stream("silver"), table) == i
+    stamps = [r["silver_load_timestamp"] for r in spark.table(table).orderBy("order_id").collect()]
+    assert max(stamps[2:]) < min(stamps[:2])
+    spark.sql(f"DROP DATABASE {feed.lake.database} CASCADE")
+
+
+def test_publication_ends_what_a_failed_one_began(feed):
+    """Files of an attempt that was not committed are no rows, and its orders come once."""
+    spark, table, silver = feed.spark, feed.lake.stream_table, feed.lake.stream("silver")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {feed.lake.database}")
+    feed.arrive(message(1))
+    feed.ingest()
+    feed.refine()
+    progress = feed.lake.checkpoint("publish")
+    assert publish.publish_orders(spark, silver, table, progress=progress) == 1
+    feed.arrive(message(2))
+    feed.ingest()
+    feed.refine()
+    assert publish.publish_orders(spark, silver, table, progress=progress) == 2
+    # As after a crash between the files of the second batch and the commits of it.
+    folder = Path(table_location(spark, table).removeprefix("file:"))
+    (checkpoint,) = Path(progress).iterdir()
+    for log in (folder / "_spark_metadata", checkpoint / "commits"):
+        (log / "1").unlink()
+        (log / ".1.crc").unlink()
+    spark.catalog.refreshTable(table)
+    assert ids(spark.table(table)) == [1]
+    assert publish.publish_orders(spark, silver, table, progress=progress) == 2
+    assert ids(spark.table(table)) == [1, 2]
+    # A table that was made elsewhere is filled from the start.
+    spark.sql(f"DROP TABLE {table}")
+    publish_managed(feed.refined().limit(1), table)
+    assert publish.publish_orders(spark, silver, table, progress=progress) == 2
+    spark.sql(f"DROP DATABASE {feed.lake.database} CASCADE")
+
+
 def test_every_message_is_landed_once(feed):
     """Read without regard to acceptance, a faulty message is an empty pending order."""
     feed.arrive(message(1), "not json")
