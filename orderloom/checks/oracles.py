@@ -6,6 +6,10 @@ pre-aggregations on the Spark side.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
+from orderloom.schemas import SOURCE_NAMES, silver_columns
+
 # The retail tables, typed and clean.
 _RETAIL = {
     "r_order_details": """
@@ -229,7 +233,23 @@ def _reports(base: str, orders: str) -> dict[str, str]:
     }
 
 
-_NAMED = _RETAIL | _RAW | _SILVER | {"r_base": _base("r_"), "s_base": _base("s_")}
+# Retail tables after cleaning, as far as it changes them: what the published reports are made from.
+_CLEANED_RETAIL = {
+    "p_order_details": "SELECT DISTINCT * FROM r_order_details",
+    "p_orders": "SELECT * FROM r_orders",
+    "p_customers": """
+        SELECT customer_id, upper(trim(company)) AS company,
+               upper(trim(contact_name)) AS contact_name, upper(trim(city)) AS city, country
+        FROM r_customers""",
+    "p_products": """
+        SELECT product_id, upper(trim(product_name)) AS product_name, category_id
+        FROM r_products""",
+    "p_employees": "SELECT * FROM r_employees",
+    "p_shippers": "SELECT * FROM r_shippers",
+}
+
+_NAMED = _RETAIL | _RAW | _SILVER | _CLEANED_RETAIL
+_NAMED |= {f"{p}_base": _base(f"{p}_") for p in "rsp"}
 _WITH = "WITH " + ",\n".join(f"{name} AS ({sql})" for name, sql in _NAMED.items())
 
 # Events: every third status sends text, or an id of the wrong type.
@@ -257,6 +277,51 @@ def _count(label: str, source: str) -> str:
     return f"SELECT '{label}' AS table_name, count(*) AS n_rows FROM {source}"
 
 
+# Columns that cleaning derives, and the one that differs from run to run.
+_DERIVED = {"total_price", "delivery_status", "ingestion_timestamp"}
+
+
+def _silver_columns(table: str) -> list[str]:
+    return [name for name in silver_columns(table) if name != "ingestion_timestamp"]
+
+
+def _raw_columns(table: str) -> list[str]:
+    source = {renamed: name for name, renamed in SOURCE_NAMES[table].items()}
+    return [source.get(name, name) for name in silver_columns(table) if name not in _DERIVED]
+
+
+def _fingerprint(label: str, source: str, columns: Iterable[str]) -> str:
+    texts = [f'CAST("{name}" AS VARCHAR)' for name in sorted(columns)]
+    row = " || ".join(f"coalesce(strlen({text}) || ':' || {text}, '-')" for text in texts)
+    return f"""
+        SELECT '{label}' AS table_name, count(*) AS n_rows,
+               CAST(coalesce(sum(digest), 0) AS DECIMAL(38,0)) AS digest_sum,
+               coalesce(bit_xor(digest), 0) AS digest_xor
+        FROM (SELECT CAST('0x' || md5({row})[1:13] AS BIGINT) AS digest FROM {source})"""
+
+
+_REPORT_COLUMNS = {
+    "report_top_customers": (
+        "customer_id company contact_name customer_city customer_country total_spend"
+    ),
+    "report_top_products": (
+        "product_id product_name category_id total_quantity_sold total_product_revenue"
+    ),
+    "report_sales_by_employee": (
+        "employee_id employee_name title employee_city employee_country total_sales "
+        "total_orders_handled"
+    ),
+    "report_monthly_sales_trend": "sales_year sales_month sales_year_month monthly_sales",
+    "report_sales_by_shipping_company": (
+        "shipper_id shipping_company_name total_sales total_orders"
+    ),
+    "report_orders_by_delivery_status": "delivery_status total_orders total_freight",
+    "report_kpi_summary": (
+        "total_revenue total_orders total_customers total_products total_employees"
+    ),
+}
+
+
 def _union(*parts: str) -> str:
     return " UNION ALL ".join(parts)
 
@@ -267,7 +332,12 @@ _CLEANED_REPORTS = _reports("s_base", "s_orders")
 _BODIES = {
     # Sources, projection, filters.
     "parquet_scan": "SELECT * FROM orders",
-    "catalog_table_scan": "SELECT * FROM r_customers",
+    "catalog_table_scan": _union(
+        *(
+            _fingerprint(t, f"r_{t}", [c for c in _silver_columns(t) if c != "total_price"])
+            for t in _TABLES
+        )
+    ),
     "rename_columns": """
         SELECT "customerID" AS customer_id, "companyName" AS company,
                "contactName" AS contact_name, "contactTitle" AS contact_title, city, country
@@ -364,22 +434,18 @@ _BODIES = {
     **_reports("r_base", "r_orders"),
     **{f"silver_{name}": sql for name, sql in _CLEANED_REPORTS.items()},
     # Sinks, catalog.
-    "full_load_bronze": "SELECT * FROM raw_order_details",
-    "register_external": "SELECT * FROM s_order_details",
+    "full_load_bronze": _union(*(_fingerprint(t, f"raw_{t}", _raw_columns(t)) for t in _TABLES)),
+    "register_external": _union(*(_fingerprint(t, f"s_{t}", _silver_columns(t)) for t in _TABLES)),
     "catalog_tables": _union(
         *(_count(f"silver_{t}", f"s_{t}") for t in _TABLES),
         "SELECT 'database' AS table_name, CAST(1 AS BIGINT) AS n_rows",
     ),
-    "publish_report_table": _reports(
-        # The cleaning plans drop copies among order lines and clean names.
-        """(SELECT d.order_id, o.employee_id, e.employee_name, e.title, e.city AS employee_city,
-                   e.country AS employee_country,
-                   round(d.unit_price * d.quantity * (1 - d.discount), 2) AS net_sales
-            FROM (SELECT DISTINCT * FROM r_order_details) d
-            JOIN r_orders o ON o.order_id = d.order_id
-            LEFT JOIN r_employees e ON e.employee_id = o.employee_id)""",
-        "r_orders",
-    )["report_sales_by_employee"],
+    "publish_report_table": _union(
+        *(
+            _fingerprint(name, f"({sql})", _REPORT_COLUMNS[name].split())
+            for name, sql in _reports("p_base", "p_orders").items()
+        )
+    ),
     "full_load_run": _union(
         *(_count(f"bronze/{t}", f"raw_{t}") for t in _TABLES),
         *(_count(f"silver/{t}", f"s_{t}") for t in _TABLES),

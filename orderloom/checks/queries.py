@@ -30,7 +30,7 @@ from orderloom.plans.runs import (
 from orderloom.plans.silver import SILVER_PLANS
 from orderloom.scratch import new_scratch, written
 from orderloom.sinks.events import to_events
-from orderloom.sinks.layers import replace_parquet, write_layer
+from orderloom.sinks.layers import replace_parquet, write_layer, write_layer_with_fingerprints
 from orderloom.sinks.tables import publish_all
 from orderloom.sources.events import file_events
 from orderloom.sources.layers import read_catalog, read_layer
@@ -89,10 +89,11 @@ def parquet_scan(spark, sf_dir):
 
 @query
 def catalog_table_scan(spark, sf_dir):
+    """All seven tables by way of the catalog, by fingerprint."""
     lake = _lake(spark, "catalog-scan")
-    publish_all({"customers": retail_tables(spark, sf_dir)["customers"]}, lake.database, lake.root)
-    found = read_catalog(spark, lake.database, ["customers"], prefix="")["customers"]
-    return _finished(spark, lake, found)
+    publish_all(retail_tables(spark, sf_dir), lake.database, lake.root)
+    found = read_catalog(spark, lake.database, prefix="")
+    return _finished(spark, lake, audit.fingerprints(found))
 
 
 # ---- projection, filters -------------------------------------------------
@@ -392,11 +393,13 @@ QUERIES |= {f"silver_{name}": partial(_silver_report, name) for name in REPORTS}
 
 @query
 def full_load_bronze(spark, sf_dir):
-    """Bronze order lines, read back."""
+    """All seven bronze tables, read back, by fingerprint; equal to what the writes observed."""
     lake = _lake(spark, "bronze")
-    load_bronze(raw_tables(spark, sf_dir).__getitem__, lake)
+    seen = write_layer_with_fingerprints(raw_tables(spark, sf_dir), lake.layer("bronze"))
     catalog.drop_database(spark, lake.database)
-    return read_layer(spark, lake.layer("bronze"), ["order_details"])["order_details"]
+    found = read_layer(spark, lake.layer("bronze"))
+    audit.require_same(seen, found)
+    return audit.fingerprints(found)
 
 
 def _silver_lake(spark: SparkSession, sf_dir: str, purpose: str) -> Lakehouse:
@@ -408,10 +411,10 @@ def _silver_lake(spark: SparkSession, sf_dir: str, purpose: str) -> Lakehouse:
 
 @query
 def register_external(spark, sf_dir):
-    """Curated order lines by way of their external table."""
+    """All seven curated tables by way of their external tables, by fingerprint."""
     lake = _silver_lake(spark, sf_dir, "external")
-    found = read_catalog(spark, lake.database, ["order_details"])["order_details"]
-    return _finished(spark, lake, found)
+    found = read_catalog(spark, lake.database)
+    return _finished(spark, lake, audit.fingerprints(found, leave_out=["ingestion_timestamp"]))
 
 
 @query
@@ -426,7 +429,7 @@ def catalog_tables(spark, sf_dir):
 
 @query
 def publish_report_table(spark, sf_dir):
-    """All reports published twice over, and the employee report read back."""
+    """All seven reports published twice over and read back, by fingerprint."""
     lake = _lake(spark, "reports")
     write_layer(
         {
@@ -438,7 +441,8 @@ def publish_report_table(spark, sf_dir):
     catalog.register_external(spark, lake.database, lake.layer("silver"), key_type=KEY_TYPE)
     for _ in range(2):
         build_gold(spark, lake)
-    return _finished(spark, lake, spark.table(f"{lake.database}.report_sales_by_employee"))
+    reports = {name: spark.table(f"{lake.database}.{name}") for name in REPORTS}
+    return _finished(spark, lake, audit.fingerprints(reports))
 
 
 def _as_raw(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:

@@ -89,6 +89,11 @@ def silver_schema(table: str, key_type: str = "int") -> T.StructType:
     return _parse_columns(_SILVER_COLUMNS[table], key_type)
 
 
+def silver_columns(table: str) -> list[str]:
+    """Column names of a curated table; needs no session."""
+    return [column.split()[0] for column in _SILVER_COLUMNS[table].split(", ")]
+
+
 def event_schema(key_type: str = "int") -> T.StructType:
     """Schema of an order event as it arrives: dates are still text."""
     return _parse_columns(_EVENT_COLUMNS, key_type)
