@@ -20,11 +20,11 @@ from dataclasses import dataclass, field
 from functools import cached_property, reduce
 from operator import mul
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderloom.functions import net_sales
-from orderloom.operators.skew import SkewPolicy, heavy_keys, join_one_per_key
+from orderloom.operators.skew import KeyLoads, SkewPolicy, heavy_keys, join_one_per_key, key_loads
 
 c = F.col
 
@@ -121,14 +121,14 @@ class SalesStar:
         return {name: found.get(name, KeyProfile()) for name in DIMENSIONS}
 
     @cached_property
-    def heavy_in_orders(self) -> list:
-        """Order ids that very many order headers share."""
-        return self._heavy("orders", "order_id")
+    def loads_in_orders(self) -> KeyLoads:
+        """Order ids that many order headers share."""
+        return key_loads(self.orders, "order_id", self.policy)
 
     @cached_property
-    def heavy_in_lines(self) -> list:
-        """Order ids with very many lines."""
-        return self._heavy("order_details", "order_id")
+    def loads_in_lines(self) -> KeyLoads:
+        """Order ids with many lines."""
+        return key_loads(self.order_details, "order_id", self.policy)
 
     def _heavy(self, table: str, key: str) -> list:
         return heavy_keys(getattr(self, table), key, self.policy)
@@ -170,18 +170,31 @@ def dimension_attributes(star: SalesStar, name: str) -> DataFrame:
 def order_totals(star: SalesStar) -> DataFrame:
     """Orders that have lines, with the net sales of those lines.
 
-    order_id, customer_id, employee_id, shipper_id, order_date, net_sales and,
-    for each dimension that has repeated keys, ``<dimension>_copies``. Product
-    multiplicity is already in net_sales. Lines are summed per order in each
-    task before the shuffle, so an order id with very many lines is no burden;
-    one with very many orders is joined by broadcast of its single total.
+    order_id, customer_id, employee_id, shipper_id, order_date, net_sales,
+    is_first_of_id and, for each dimension that has repeated keys,
+    ``<dimension>_copies``. Product multiplicity is already in net_sales. Lines
+    are summed per order in each task before the shuffle, so an order id with
+    very many lines is no burden; one with very many orders is joined by broadcast
+    of its single total. ``is_first_of_id`` is 1 for one order of each id and 0
+    for the others; it is found where the join has brought the orders of an id
+    together anyway. Ids with many orders, which the join does not bring together,
+    have NULL.
     """
     lines = _with_copies(star, _priced_lines(star), "products")
     totals = lines.groupBy("order_id").agg(
         F.sum(weighted_sales(star, ("products",))).alias("net_sales")
     )
-    return join_one_per_key(
-        _headers_with_copies(star), totals, "order_id", star.heavy_in_orders
+    loads = star.loads_in_orders
+    headers = _headers_with_copies(star)
+    first = F.row_number().over(Window.partitionBy("order_id").orderBy("order_id")) == 1
+    if not loads.keys:
+        headers = headers.withColumn("is_first_of_id", first.cast("int"))
+        return join_one_per_key(headers, totals, "order_id", loads)
+    in_one_task = ~F.coalesce(c("order_id").isin(loads.keys), F.lit(False))
+    counted = headers.where(in_one_task).withColumn("is_first_of_id", first.cast("int"))
+    spread = headers.where(~in_one_task).withColumn("is_first_of_id", F.lit(None).cast("int"))
+    return join_one_per_key(counted, totals, "order_id", []).unionByName(
+        join_one_per_key(spread, totals.where(~in_one_task), "order_id", loads)
     )
 
 
@@ -192,7 +205,7 @@ def product_totals(star: SalesStar) -> DataFrame:
     rows each of its ids stands for, so the line side meets one row per id.
     """
     joined = join_one_per_key(
-        _priced_lines(star), _rows_per_order(star), "order_id", star.heavy_in_lines
+        _priced_lines(star), _rows_per_order(star), "order_id", star.loads_in_lines
     )
     return joined.groupBy("product_id").agg(
         F.sum(c("quantity") * c("order_rows")).alias("quantity"),
@@ -274,8 +287,8 @@ def _with_copies(star: SalesStar, facts: DataFrame, dimension: str) -> DataFrame
     else:
         # The base table has the same keys as often as the joined one, or a fixed factor of it.
         base = star.order_details if dimension == "products" else star.orders
-        heavy = heavy_keys(base, key, star.policy)
-        joined = join_one_per_key(facts, repeated, key, heavy, keep_all_of="many")
+        loads = key_loads(base, key, star.policy)
+        joined = join_one_per_key(facts, repeated, key, loads, keep_all_of="many")
     return joined.withColumn(copies, F.coalesce(c(copies), F.lit(1).cast("bigint")))
 
 

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property, reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderloom.functions import round_money, year_month_label
@@ -174,23 +174,43 @@ _KPI_COLUMNS = [
 def kpi_summary(t: Totals, ordered: bool = True) -> DataFrame:
     """One row: revenue, and how many orders, customers, products, employees.
 
-    Distinct counts over the joined lines would copy every line once per
-    counted column. Here one pass over the order totals counts orders,
-    customers and employees, and one over the product totals counts products,
-    so the lines are read twice; the two rows are then folded into one.
+    Distinct counts over the joined lines, or over the orders, would copy every
+    row once per counted column. Here each is counted where its keys are together
+    anyway: orders where they were joined, customers among the pairs of customer
+    and employee, to which a task reduces its orders before any is moved, and
+    employees among the sums of these. Products are the rows of the product
+    totals, so the lines are read twice; the rows are then folded into one.
     """
     revenue = st.weighted_sales(t.star, st.ORDER_DIMENSIONS)
+    pairs = t.by_order.groupBy("customer_id", "employee_id").agg(
+        F.sum(revenue).alias("revenue"), F.sum("is_first_of_id").alias("orders")
+    )
+    of_customer = Window.partitionBy("customer_id").orderBy("employee_id")
+    is_first = c("customer_id").isNotNull() & (F.row_number().over(of_customer) == 1)
+    by_employee = (
+        pairs.withColumn("customers", is_first.cast("int"))
+        .groupBy("employee_id")
+        .agg(*(F.sum(name).alias(name) for name in ("revenue", "orders", "customers")))
+    )
     parts = [
-        t.by_order.agg(
-            _money(F.sum(revenue)).alias("total_revenue"),
-            F.count_distinct("order_id").alias("total_orders"),
-            F.count_distinct("customer_id").alias("total_customers"),
-            F.count_distinct("employee_id").alias("total_employees"),
+        by_employee.agg(
+            _money(F.sum("revenue")).alias("total_revenue"),
+            F.coalesce(F.sum("orders"), F.lit(0)).alias("total_orders"),
+            F.coalesce(F.sum("customers"), F.lit(0)).alias("total_customers"),
+            F.count("employee_id").alias("total_employees"),
         ),
         t.by_product.agg(F.count("product_id").alias("total_products")),
     ]
+    if t.star.loads_in_orders.keys:
+        # Ids with many orders: as many rows as there are such ids.
+        many = t.by_order.where(c("is_first_of_id").isNull()).select("order_id").distinct()
+        parts.append(many.agg(F.count(F.lit(1)).alias("more_orders")))
+    else:
+        parts[0] = parts[0].withColumn("more_orders", F.lit(0).cast("bigint"))
     folded = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    return folded.agg(*(F.max(name).alias(name) for name in _KPI_COLUMNS))
+    counts = folded.agg(*(F.max(name).alias(name) for name in [*_KPI_COLUMNS, "more_orders"]))
+    total = c("total_orders") + c("more_orders")
+    return counts.withColumn("total_orders", total).select(*_KPI_COLUMNS)
 
 
 REPORTS: dict[str, Callable[..., DataFrame]] = {

@@ -10,7 +10,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from orderloom.functions import year_month_label
-from orderloom.operators.skew import SkewPolicy, heavy_keys, join_one_per_key
+from orderloom.operators.skew import (
+    KeyLoads,
+    SkewPolicy,
+    heavy_keys,
+    join_one_per_key,
+    key_loads,
+)
 from orderloom.operators.star import (
     DIMENSIONS,
     SalesStar,
@@ -28,6 +34,8 @@ POLICIES = {
     # Any key with more than five rows counts as heavy.
     "heavy": SkewPolicy(share=0.02, min_rows=5),
     "no broadcast of repeats": SkewPolicy(share=0.02, min_rows=5, broadcast_bytes=0),
+    # Keys of more than three rows are split; those of more than ten are heavy.
+    "split": SkewPolicy(share=0.03, min_rows=10, rows_per_task=3),
 }
 
 
@@ -156,14 +164,25 @@ def tables(spark):
     return {name: df.cache() for name, df in dirty_tables(spark).items()}
 
 
-@pytest.mark.parametrize("policy", POLICIES)
-@pytest.mark.parametrize("name", REPORTS)
-def test_report_equals_plain_grouping(tables, name, policy):
-    star = SalesStar.of(tables, POLICIES[policy])
-    expected = _plain(base_sales(star), tables["orders"], name)
-    found = REPORTS[name](Totals(star), ordered=False)
-    assert sorted(found.columns) == sorted(expected.columns)
-    assert rows_of(found) == rows_of(expected)
+@pytest.fixture(scope="module")
+def expected(tables):
+    base = base_sales(SalesStar.of(tables)).cache()
+    plain = {name: _plain(base, tables["orders"], name) for name in REPORTS}
+    return {name: (sorted(df.columns), rows_of(df)) for name, df in plain.items()}
+
+
+# Plans that split keys are long: they are run where every kind of total is in use.
+_LONG = (("report_top_products", "no broadcast of repeats"), ("report_top_products", "split"), ("report_kpi_summary", "split"))
+
+
+@pytest.mark.parametrize(
+    ("name", "policy"),
+    [(name, policy) for name in REPORTS for policy in ("plain", "heavy")]
+    + list(_LONG),
+)
+def test_report_equals_plain_grouping(tables, expected, name, policy):
+    found = REPORTS[name](Totals(SalesStar.of(tables, POLICIES[policy])), ordered=False)
+    assert (sorted(found.columns), rows_of(found)) == expected[name]
 
 
 @pytest.mark.parametrize("policy", POLICIES)
@@ -177,14 +196,16 @@ def test_rows_of_the_base_are_counted_without_it(tables, policy):
 def test_fixture_is_as_dirty_as_it_claims(tables):
     star = SalesStar.of(tables, POLICIES["heavy"])
     assert all(star.dimensions[name].repeated for name in DIMENSIONS)
-    assert 0 in star.heavy_in_orders and 0 in star.heavy_in_lines
+    assert 0 in star.loads_in_orders.heavy and 0 in star.loads_in_lines.heavy
+    split = SalesStar.of(tables, POLICIES["split"])
+    assert split.loads_in_orders.heavy and split.loads_in_lines.heavy
+    assert len(split.loads_in_lines.split) > 5 and max(split.loads_in_lines.split.values()) > 1
     assert star.dimensions["customers"].heavy == ("UNKNOWN",)
 
 
 @pytest.mark.parametrize("name", REPORTS)
-def test_ordered_reports_have_the_same_rows(tables, name):
-    totals = Totals(SalesStar.of(tables))
-    assert rows_of(REPORTS[name](totals)) == rows_of(REPORTS[name](totals, ordered=False))
+def test_ordered_reports_have_the_same_rows(tables, expected, name):
+    assert rows_of(REPORTS[name](Totals(SalesStar.of(tables)))) == expected[name][1]
 
 
 def test_sorts(tables):
@@ -294,6 +315,47 @@ def test_split_join_equals_plain_join(spark, keep):
     assert "Broadcast" in physical
 
 
+@pytest.mark.parametrize("keep", [None, "many", "one"])
+def test_join_by_parts_equals_plain_join(spark, keep):
+    many = spark.createDataFrame(
+        [(k, i) for i, k in enumerate([1] * 20 + [2, 3, 3, None, 9, 9])], "k int, m int"
+    )
+    one = spark.createDataFrame([(1, "a"), (2, "b"), (5, "e"), (None, "n")], "k int, o string")
+    plain = rows_of(join_one_per_key(many, one, "k", [], keep).select("k", "m", "o"))
+    loads = KeyLoads((2,), {1: 7, 9: 2})
+    assert rows_of(join_one_per_key(many, one, "k", loads, keep).select("k", "m", "o")) == plain
+
+
+def test_a_key_below_the_heavy_share_is_joined_by_several_tasks(spark):
+    many = spark.range(3000).select(F.when(c("id") < 900, 7).otherwise(c("id")).alias("k"), c("id").alias("v"))
+    one = spark.range(3000).select(c("id").alias("k"), (c("id") * 2).alias("w"))
+    policy = SkewPolicy(share=0.9, min_rows=2000, rows_per_task=100)
+    loads = key_loads(many, "k", policy)
+    assert (loads.heavy, loads.split) == ((), {7: 9})
+    forced = {
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    for name, value in forced.items():
+        spark.conf.set(name, value)
+    try:
+        for found, least in ((loads, 4), (KeyLoads(), 1)):
+            joined = join_one_per_key(many, one, "k", found)
+            tasks = joined.where("k = 7").select(F.spark_partition_id().alias("task"))
+            assert tasks.distinct().count() >= least
+            assert found.split or tasks.distinct().count() == 1
+            assert joined.count() == 2101 + 900 - 1
+    finally:
+        for name in forced:
+            spark.conf.unset(name)
+
+
+def test_kpi_copies_no_rows(spark, sf_dir):
+    report = REPORTS["report_kpi_summary"](Totals(SalesStar.of(retail_tables(spark, sf_dir))))
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan and "distinct" not in plan
+
+
 def test_base_splits_skewed_partitions_at_run_time(spark):
     """The hot id of lines and orders is joined by several tasks, with the same rows."""
     forced = {
