@@ -8,18 +8,19 @@ encoded once; a worker keeps the ids of words between batches.
 from __future__ import annotations
 
 import os
-import re
 from array import array
 from collections.abc import Sequence
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from orderloom.llm.batches import SPACED, Texts
 
-#: Words whose ids a Python worker keeps at least, of which it forgets the longest unused; words encoded at once.
-KEPT_WORDS, _AT_ONCE = 200_000, 20_000
+#: Stems whose ids a Python worker keeps at least, of which it forgets the longest unused; words encoded at once.
+KEPT_STEMS, _AT_ONCE = 200_000, 20_000
 #: Words of Latin letters (composed, with one lower-case letter each) and ASCII signs after them.
-_SIMPLE = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017e]+)([!-&(-/:-@\\[-`{-~]*)")
+_SIMPLE = "^(?P<stem>[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017e]+)(?P<signs>[!-&(-/:-@\\[-`{-~]*)$"
 _PROBES = ("Whether", "whether", "THE", "probe,", "It.", "a", "Zx!", "overwhelmingly;", "end|", "Écrit", "ñandú,", "GRÖSSE", "ŽLUŤ.", "x%%%", "n$-_]")
 
 _WORKER: dict[str, WordEncoder] = {}
@@ -36,10 +37,10 @@ class WordEncoder:
         # The model and its alphabet of bytes, without the steps that find nothing to do in simple words.
         self.bare = Tokenizer(self.full.model)
         self.bare.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.kept: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}
-        probes = [p.encode() for p in _PROBES]
-        self.has_simple = self._full(probes) == self._by_parts([_SIMPLE.fullmatch(p).groups() for p in _PROBES])
+        self.kept: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.has_simple = True
+        self.has_simple = self.encode([p.encode() for p in _PROBES]) == self._encode(self.full, _PROBES)
 
     def _encode(self, tokenizer, words: Sequence[str]) -> list[bytes]:
         out = []
@@ -48,37 +49,51 @@ class WordEncoder:
             out += [array("I", e.ids).tobytes() for e in some]
         return out
 
-    def _full(self, words: Sequence[bytes]) -> list[bytes]:
-        return self._encode(self.full, [w.decode("utf-8") for w in words])
-
-    def _by_parts(self, parts: Sequence[tuple[str, str]]) -> list[bytes]:
-        """Ids of lower-cased letters and of the signs after them, every different run encoded once."""
-        parts = [(letters.lower(), signs) for letters, signs in parts]
-        stems, ends = list({letters: 0 for letters, _ in parts}), list({signs: 0 for _, signs in parts})
-        ids = dict(zip(stems, self._encode(self.bare, stems), strict=True))
-        of_signs = dict(zip(ends, self._encode(self.full, ends), strict=True))
-        return [ids[letters] + of_signs[signs] for letters, signs in parts]
-
-    def encode(self, words: Sequence[bytes]) -> list[bytes]:
+    def _stems(self, stems: Sequence[str]) -> list[bytes]:
+        """Ids of lower-cased letters, remembered between batches."""
         kept, older = self.kept, self.older
-        if len(kept) > KEPT_WORDS:
+        if len(kept) > KEPT_STEMS:
             self.kept, self.older = kept, older = {}, kept
-        simple, parts, other = [], [], []
-        for w in words:
-            if w in kept:
-                continue
-            if w in older:
-                kept[w] = older[w]
-                continue
-            found = _SIMPLE.fullmatch(w.decode("utf-8")) if self.has_simple else None
-            if found:
-                simple.append(w)
-                parts.append(found.groups())
-            else:
-                other.append(w)
-        kept.update(zip(simple, self._by_parts(parts), strict=True))
-        kept.update(zip(other, self._full(other), strict=True))
-        return [kept[w] for w in words]
+        new = []
+        for stem in stems:
+            if stem not in kept:
+                if stem in older:
+                    kept[stem] = older[stem]
+                else:
+                    new.append(stem)
+        kept.update(zip(new, self._encode(self.bare, new), strict=True))
+        return [kept[stem] for stem in stems]
+
+    def pieces(self, words: pa.Array) -> tuple[list[bytes], np.ndarray]:
+        """Ids of different pieces of words, and the two pieces of each word.
+
+        A simple word is its lower-cased letters and the signs after them; any
+        other one is a piece, and an empty one after it.
+        """
+        text = words.cast(pa.large_string())
+        if self.has_simple:
+            parts = pc.extract_regex(text, _SIMPLE)
+            simple = parts.is_valid()
+        else:
+            simple = pa.array(np.zeros(len(text), bool))
+        other = text.filter(pc.invert(simple)).to_pylist()
+        ids = [b"", *self._encode(self.full, other)]
+        of_word = np.zeros((len(text), 2), np.int64)
+        is_simple = simple.to_numpy(zero_copy_only=False)
+        of_word[~is_simple, 0] = np.arange(1, len(ids))
+        if is_simple.any():
+            stem, signs = parts.filter(simple).flatten()
+            for k, (column, encode) in enumerate(
+                ((pc.utf8_lower(stem), self._stems), (signs, lambda some: self._encode(self.full, some)))
+            ):
+                found = column.dictionary_encode()
+                of_word[is_simple, k] = found.indices.to_numpy() + len(ids)
+                ids += encode(found.dictionary.to_pylist())
+        return ids, of_word
+
+    def encode(self, words: Sequence[bytes]) -> list[bytes]:
+        ids, of_word = self.pieces(pa.array(words, pa.large_binary()))
+        return [ids[a] + ids[b] for a, b in of_word.tolist()]
 
 
 def encode(texts: Texts, path: str) -> tuple[np.ndarray, np.ndarray]:
@@ -86,14 +101,15 @@ def encode(texts: Texts, path: str) -> tuple[np.ndarray, np.ndarray]:
     if path not in _WORKER:
         _WORKER[path] = WordEncoder(path)
     words = texts.words(SPACED)
-    ids_of = _WORKER[path].encode(words.distinct)
-    flat = np.frombuffer(b"".join(ids_of), np.uint32)
-    size = np.fromiter(map(len, ids_of), np.int64, len(ids_of)) // 4
+    ids, of_word = _WORKER[path].pieces(words.distinct_array)
+    flat = np.frombuffer(b"".join(ids), np.uint32)
+    size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
     first = np.cumsum(size) - size
-    n = size[words.codes] if len(size) else np.zeros(0, np.int64)
+    piece = of_word[words.codes].ravel()
+    n = size[piece]
     total = np.concatenate([[0], np.cumsum(n)])
-    origin = np.repeat(first[words.codes] - total[:-1], n) if len(n) else np.zeros(0, np.int64)
-    return flat[origin + np.arange(total[-1])], total[words.at]
+    origin = np.repeat(first[piece] - total[:-1], n)
+    return flat[origin + np.arange(total[-1])], total[2 * words.at]
 
 
 def lengths(texts: Texts, path: str) -> np.ndarray:
