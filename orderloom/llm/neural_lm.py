@@ -1,52 +1,67 @@
 """Log-bilinear language model trained by noise-contrastive estimation.
 
-Words fall into classes: the most frequent words have one each, all others share
-classes by their ending. The model predicts a word's class from the two classes
-before it. Within a shared class the most frequent words, VOCABULARY in all, have
-embeddings of their own and are predicted from the two words before by a tree
-(``word_tree``), trained on all tokens; rarer words have their add-one share. All
-parts are normalised, so every text has a probability, with words never seen
-included.
-
-All training texts are counted: words, and triples of classes, of which there are
-at most (CLASSES + 1) ** 2 * CLASSES however large the corpus is. Training draws
-from that table. Frequent words are scored where the text is; the counts of rare
-ones are joined to the texts that hold them.
+The OWN most frequent words, the end of a text first among them, are predicted
+one by one; all others share ENDINGS classes by their last three bytes and have,
+within their class, their add-one share of the counted words. The embedding of
+what comes next is a linear map of the embeddings of the two words before.
+Training tells what occurs from what is drawn at its overall rate; afterwards a
+product of two matrices gives the normaliser of every pair of words before, as
+the exponent is a sum of what either says. So every text has a probability, words
+never seen included, and a token costs a look into three tables.
+
+All training texts are counted, and all their tokens train: a start is learned on
+the driver from a bounded sample of tokens, then every Spark partition goes over
+its own tokens once from there, and what the partitions found is averaged by how
+many tokens they have. Frequent words are scored where the text is; the counts of
+rare ones are joined to the texts that hold them.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.llm.batches import SPACED, Texts, Words, map_batches, map_texts, pieces, sums
 from orderloom.llm.spread import most_frequent
-from orderloom.llm.word_tree import WordTree, sequence
 from orderloom.scratch import new_scratch, written
 
 #: Classes of one word (the end of a text among them), and classes by ending.
-OWN, ENDINGS = 80, 48
+OWN, ENDINGS = 1024, 1024
 CLASSES = OWN + ENDINGS
 #: Class that stands before a text's first word, as context only.
 _START = CLASSES
 #: Words that are broadcast with their counts, the most frequent ones of at most so many bytes.
 HEAD_WORDS, HEAD_BYTES = 1 << 18, 64
-#: Words with embeddings of their own: all counted ones up to this bound, then the most frequent ones.
-VOCABULARY = 1 << 18
 #: The end of a text as a word; no word is empty.
 END = b""
 
-WIDTH, STEPS, BATCH, NOISE = 32, 2000, 2048, 64
+#: Embeddings, tokens of a step, words drawn as noise for a step, rate of learning.
+WIDTH, BATCH, NOISE, RATE = 32, 4096, 128, 0.1
+#: Tokens at most, on average, that the start is learned from, and its steps.
+START_TOKENS, START_STEPS = 2_000_000, 1000
+#: Numbers of the model that are averaged together.
+_BLOCK = 4096
 
 
 def ending(word: bytes) -> int:
-    return zlib.crc32(word[-3:]) % ENDINGS
+    return int(_endings(np.frombuffer(word, np.uint8), np.zeros(1, np.int64), np.array([len(word)]))[0])
+
+
+def _endings(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Class by ending of the words ``data[starts:ends]``."""
+    mixed = np.zeros(len(ends), np.uint64)
+    for k in range(1, 4):
+        inside = ends - k >= starts
+        byte = data[np.where(inside, ends - k, 0)] if len(data) else np.zeros(len(ends), np.uint8)
+        mixed = (mixed << np.uint64(8)) | np.where(inside, byte, 0).astype(np.uint64)
+    mixed = (mixed + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    return ((mixed >> np.uint64(32)) % np.uint64(ENDINGS)).astype(np.int64)
 
 
 def count_words(documents: DataFrame) -> DataFrame:
@@ -58,8 +73,10 @@ def count_words(documents: DataFrame) -> DataFrame:
                 words = Texts.of(piece.column("text")).lower().words(SPACED)
                 distinct = [*words.distinct, END]
                 n = np.append(np.bincount(words.codes, minlength=len(distinct) - 1), len(piece))
+                endings = np.full(len(distinct), ending(END))
+                endings[words.codes] = _endings(words.data, words.starts, words.ends)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(distinct, pa.binary()), pa.array([ending(w) for w in distinct], pa.int32()), pa.array(n.astype(np.int64))],
+                    [pa.array(distinct, pa.binary()), pa.array(endings.astype(np.int32)), pa.array(n.astype(np.int64))],
                     names=["word", "ending", "n"],
                 )
 
@@ -67,107 +84,200 @@ def count_words(documents: DataFrame) -> DataFrame:
     return found.groupBy("word", "ending").agg(F.sum("n").alias("n"))
 
 
+@dataclass(frozen=True)
 class Classes:
-    """Classes of words: ``own`` maps the most frequent ones to theirs."""
+    """Classes of words: ``own``, the end first, have one each."""
 
-    def __init__(self, own: list[bytes]):
-        self.own = {w: i for i, w in enumerate(own)}
+    own: list[bytes]
+
+    def number(self, words: Words) -> np.ndarray:
+        """Per different word its own class, or -1."""
+        known = pa.array(self.own, pa.large_binary())
+        found = pc.index_in(words.distinct_array.cast(pa.large_binary()), value_set=known)
+        return pc.fill_null(found, -1).to_numpy(zero_copy_only=False).astype(np.int64)
 
     def of(self, words: Words) -> np.ndarray:
         """Classes of all words and ends, text after text, each text after two starts."""
-        own = self.own
-        of_distinct = np.fromiter((own[w] if w in own else OWN + ending(w) for w in words.distinct), np.int64, len(words.distinct_array))
-        return sequence(words, of_distinct, own.get(END, OWN + ending(END)), _START)
+        n = len(words.at) - 1
+        at = words.at + 3 * np.arange(n + 1)
+        out = np.full(at[-1], _START, np.int64)
+        out[at[1:] - 1] = 0
+        if len(words.starts):
+            own = self.number(words)[words.codes]
+            classes = np.where(own < 0, OWN + _endings(words.data, words.starts, words.ends), own)
+            out[np.arange(len(own)) + 3 * words.text_of_word() + 2] = classes
+        return out
+
+
+def triples(classes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per token its class, the one before and the one before that."""
+    place = np.flatnonzero(classes != _START)
+    return classes[place], classes[place - 1], classes[place - 2]
 
 
-def triples(classes: np.ndarray) -> np.ndarray:
-    """One number per token: its class and the two before it."""
-    place = np.flatnonzero(classes != _START)
-    return (classes[place - 2] * (CLASSES + 1) + classes[place - 1]) * CLASSES + classes[place]
+class Net:
+    """What is trained: embeddings of contexts and of targets, a map for either place before, biases."""
 
+    SHAPES = {
+        "context": (CLASSES + 1, WIDTH),
+        "near": (WIDTH, WIDTH),
+        "far": (WIDTH, WIDTH),
+        "target": (CLASSES, WIDTH),
+        "bias": (CLASSES,),
+    }
 
-def count_triples(documents: DataFrame, classes: Classes) -> DataFrame:
-    """triple and n over all ``documents``; each task keeps one table of fixed size."""
-    shared = documents.sparkSession.sparkContext.broadcast(classes)
+    def __init__(self, rate: np.ndarray):
+        rng = np.random.default_rng(11)
+        self.rate = rate
+        self.p = {
+            "context": rng.normal(0, 0.1, self.SHAPES["context"]),
+            "near": np.eye(WIDTH) + rng.normal(0, 0.01, (WIDTH, WIDTH)),
+            "far": 0.5 * np.eye(WIDTH) + rng.normal(0, 0.01, (WIDTH, WIDTH)),
+            "target": rng.normal(0, 0.1, self.SHAPES["target"]),
+            "bias": np.log(rate),
+        }
+        self.p = {k: v.astype(np.float32) for k, v in self.p.items()}
+        self.squares = {k: np.full(v.shape, 1e-6, np.float32) for k, v in self.p.items()}
+
+    def step(self, word: np.ndarray, near: np.ndarray, far: np.ndarray, noise: np.ndarray) -> None:
+        """One step of noise-contrastive estimation, with the same noise for all tokens of the step."""
+        p, log_rate = self.p, np.log(NOISE * self.rate).astype(np.float32)
+        a, b, t = p["context"][near], p["context"][far], p["target"][word]
+        predicted = a @ p["near"] + b @ p["far"]
+        true = np.einsum("ij,ij->i", predicted, t) + p["bias"][word] - log_rate[word]
+        false = predicted @ p["target"][noise].T + (p["bias"] - log_rate)[noise]
+        d_true = (_sigmoid(true) - 1) / len(word)
+        d_false = _sigmoid(false) / len(word)
+        d_predicted = d_true[:, None] * t + d_false @ p["target"][noise]
+        rows = np.concatenate([d_true[:, None] * predicted, d_false.T @ predicted])
+        bias = np.bincount(word, d_true, CLASSES) + np.bincount(noise, d_false.sum(axis=0), CLASSES)
+        contexts = np.concatenate([d_predicted @ p["near"].T, d_predicted @ p["far"].T])
+        self._move("target", *_summed(np.concatenate([word, noise]), rows))
+        self._move("context", *_summed(np.concatenate([near, far]), contexts))
+        for name, g in (("bias", bias), ("near", a.T @ d_predicted), ("far", b.T @ d_predicted)):
+            self._move(name, slice(None), g)
+
+    def _move(self, name: str, rows, g: np.ndarray) -> None:
+        self.squares[name][rows] += g * g
+        self.p[name][rows] -= RATE * g / np.sqrt(self.squares[name][rows])
+
+    def learn(self, word: np.ndarray, near: np.ndarray, far: np.ndarray, rng: np.random.Generator) -> None:
+        """One pass over the tokens, in an order of its own."""
+        order = rng.permutation(len(word))
+        noise = np.searchsorted(np.cumsum(self.rate), rng.random((-(-len(word) // BATCH), NOISE)) * (1 - 1e-12))
+        for i, drawn in zip(range(0, len(word), BATCH), noise, strict=True):
+            some = order[i : i + BATCH]
+            self.step(word[some], near[some], far[some], np.minimum(drawn, CLASSES - 1))
+
+    def flat(self) -> np.ndarray:
+        return np.concatenate([self.p[name].ravel() for name in self.SHAPES])
+
+    def set_flat(self, flat: np.ndarray) -> None:
+        at = 0
+        for name, shape in self.SHAPES.items():
+            size = int(np.prod(shape))
+            self.p[name] = flat[at : at + size].reshape(shape).astype(np.float32)
+            at += size
+
+    def tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """log10 tables by (word before, word), (word before that, word) and (both): what is to be
+        added, added and subtracted. One product over all pairs of contexts normalises."""
+        p = {k: v.astype(np.float64) for k, v in self.p.items()}
+        near = p["context"] @ p["near"] @ p["target"].T + p["bias"]
+        far = p["context"] @ p["far"] @ p["target"].T
+        near -= near.max(axis=1, keepdims=True)
+        far -= far.max(axis=1, keepdims=True)
+        total = np.log10(np.exp(near) @ np.exp(far).T)
+        return (near / np.log(10)).astype(np.float32), (far / np.log(10)).astype(np.float32), total.astype(np.float32)
+
+
+def _summed(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Different rows, and the sum of the values of each."""
+    order = np.argsort(rows, kind="stable")
+    begin = np.flatnonzero(np.diff(rows[order], prepend=-1))
+    return rows[order[begin]], np.add.reduceat(values[order], begin, axis=0)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((CLASSES + 1) ** 2 * CLASSES, np.int64)
-        for batch in batches:
-            for piece in pieces(batch):
-                words = Texts.of(piece.column("text")).lower().words(SPACED)
-                total += np.bincount(triples(shared.value.of(words)), minlength=len(total))
-        found = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])], names=["triple", "n"])
 
-    found = map_batches(documents.select("text"), run, "triple bigint, n bigint")
-    return found.groupBy("triple").agg(F.sum("n").alias("n"))
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def train(table: np.ndarray, counts: np.ndarray, steps: int = STEPS) -> np.ndarray:
-    """log10 P(class | two classes before) for all contexts, from the triples and their counts.
+def _classes_of(batches: Iterator[pa.RecordBatch], classes: Classes) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    for batch in batches:
+        for piece in pieces(batch):
+            yield triples(classes.of(Texts.of(piece.column("text")).lower().words(SPACED)))
 
-    The predicted embedding of a class is a linear map of the context's
-    embeddings. Noise-contrastive estimation tells the classes that occur from
-    classes drawn at their overall rate; a matrix product over all contexts and
-    a softmax then normalise.
-    """
-    rng = np.random.default_rng(11)
-    word, rest = table % CLASSES, table // CLASSES
-    far, near = rest // (CLASSES + 1), rest % (CLASSES + 1)
-    rate = np.bincount(word, counts, CLASSES) + 0.5
-    rate /= rate.sum()
-    p = {
-        "context": rng.normal(0, 0.1, (CLASSES + 1, WIDTH)),
-        "near": np.eye(WIDTH) + rng.normal(0, 0.01, (WIDTH, WIDTH)),
-        "far": 0.5 * np.eye(WIDTH) + rng.normal(0, 0.01, (WIDTH, WIDTH)),
-        "target": rng.normal(0, 0.1, (CLASSES, WIDTH)),
-        "bias": np.log(rate),
-    }
-    squares = {k: np.full(v.shape, 1e-6) for k, v in p.items()}
-    upto = np.cumsum(counts) / counts.sum() if len(counts) else np.zeros(0)
-    for step in range(steps if len(counts) else 0):
-        i = np.minimum(np.searchsorted(upto, rng.random(BATCH)), len(upto) - 1)
-        noise = rng.choice(CLASSES, NOISE, p=rate)
-        a, b, w = p["context"][near[i]], p["context"][far[i]], word[i]
-        predicted = a @ p["near"] + b @ p["far"]
-        true = (predicted * p["target"][w]).sum(axis=1) + p["bias"][w] - np.log(NOISE * rate[w])
-        false = predicted @ p["target"][noise].T + p["bias"][noise] - np.log(NOISE * rate[noise])
-        d_true = (_sigmoid(true) - 1) / BATCH
-        d_false = _sigmoid(false) / BATCH
-        d_predicted = d_true[:, None] * p["target"][w] + d_false @ p["target"][noise]
-        g = {k: np.zeros_like(v) for k, v in p.items()}
-        np.add.at(g["target"], w, d_true[:, None] * predicted)
-        np.add.at(g["target"], noise, d_false.T @ predicted)
-        g["bias"] += np.bincount(w, d_true, CLASSES) + np.bincount(noise, d_false.sum(axis=0), CLASSES)
-        g["near"], g["far"] = a.T @ d_predicted, b.T @ d_predicted
-        np.add.at(g["context"], near[i], d_predicted @ p["near"].T)
-        np.add.at(g["context"], far[i], d_predicted @ p["far"].T)
-        for k, v in p.items():
-            squares[k] += g[k] ** 2
-            v -= 0.1 * g[k] / np.sqrt(squares[k])
-    from_far, from_near = p["context"] @ p["far"], p["context"] @ p["near"]
-    predicted = (from_far[:, None, :] + from_near[None, :, :]).reshape(-1, WIDTH)
-    logits = predicted @ p["target"].T + p["bias"]
-    top = logits.max(axis=1, keepdims=True)
-    return (logits - top - np.log(np.exp(logits - top).sum(axis=1, keepdims=True))) / np.log(10)
 
+def train(documents: DataFrame, classes: Classes, rate: np.ndarray, n_tokens: int) -> Net:
+    """A net trained on all tokens of ``documents``."""
+    net = Net(rate)
+    every = max(1, -(-n_tokens // START_TOKENS))
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+    def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for found in _classes_of(batches, classes):
+            mixed = np.arange(len(found[0]), dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+            chosen = (mixed >> np.uint64(40)) % np.uint64(every) == 0
+            yield pa.RecordBatch.from_arrays([pa.array(x[chosen].astype(np.int32)) for x in found], names=["word", "near", "far"])
+
+    # Bounded: one token in ``every``.
+    some = map_batches(documents.select("text"), sample, "word int, near int, far int").toArrow()
+    tokens = np.stack([some.column(c).to_numpy().astype(np.int64) for c in ("word", "near", "far")])
+    tokens = tokens[:, np.lexsort(tokens)]
+    rng = np.random.default_rng(17)
+    for _ in range(-(-START_STEPS * BATCH // max(1, tokens.shape[1])) if tokens.shape[1] else 0):
+        net.learn(*tokens[:, rng.permutation(tokens.shape[1])[: START_STEPS * BATCH]], rng)
+
+    shared = documents.sparkSession.sparkContext.broadcast(net)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mine = Net(rate)
+        start = shared.value.flat()
+        mine.set_flat(start.copy())
+        mine.squares = {k: v.copy() for k, v in shared.value.squares.items()}
+        rng, n = np.random.default_rng(19), 0
+        for found in _classes_of(batches, classes):
+            mine.learn(*found, rng)
+            n += len(found[0])
+        change = (mine.flat() - start) * np.float32(n)
+        blocks = [change[i : i + _BLOCK].tobytes() for i in range(0, len(change), _BLOCK)] if n else []
+        places = pa.array(range(len(blocks)), pa.int32())
+        yield pa.RecordBatch.from_arrays([places, pa.array([n] * len(blocks), pa.int64()), pa.array(blocks, pa.binary())], names=["block", "n", "change"])
+
+    def mean(table: pa.Table) -> pa.Table:
+        change = sum(np.frombuffer(b, np.float32).astype(np.float64) for b in table.column("change").to_pylist())
+        n = pc.sum(table.column("n")).as_py()
+        return pa.table({"block": table.column("block")[:1], "change": pa.array([(change / n).astype(np.float32).tobytes()], pa.binary())})
+
+    found = map_batches(documents.select("text"), run, "block int, n bigint, change binary")
+    # Bounded: the numbers of one model.
+    found = found.groupBy("block").applyInArrow(mean, "block int, change binary").toArrow()
+    shared.destroy()
+    if len(found):
+        flat = net.flat()
+        for block, change in zip(found.column("block").to_pylist(), found.column("change").to_pylist(), strict=True):
+            flat[block * _BLOCK : (block + 1) * _BLOCK] += np.frombuffer(change, np.float32)
+        net.set_flat(flat)
+    return net
 
 
 @dataclass(frozen=True)
 class LanguageModel:
-    """``table``: log10 P(class | context); ``shares``: log10 of what a class divides its counts by."""
+    """``near``, ``far``, ``total``: see ``Net.tables``; ``shares``: log10 of what a class divides its counts by."""
 
     classes: Classes
-    table: np.ndarray
+    near: np.ndarray
+    far: np.ndarray
+    total: np.ndarray
     shares: np.ndarray
     head: dict[bytes, int]
     ends: int
     n_tokens: int
     n_words: int
-    tree: WordTree
+
+    def log10(self, classes: np.ndarray) -> np.ndarray:
+        """Per token log10 P(its class | the two before)."""
+        word, near, far = triples(classes)
+        return self.near[near, word].astype(np.float64) + self.far[far, word] - self.total[near, far]
 
 
 def fit(documents: DataFrame, may_learn: Column, folder: str) -> tuple[LanguageModel, DataFrame]:
@@ -178,22 +288,21 @@ def fit(documents: DataFrame, may_learn: Column, folder: str) -> tuple[LanguageM
     n_tokens, n_words = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     # Bounded: HEAD_WORDS rows of at most HEAD_BYTES and a count.
     head = _most_frequent_words(counts, HEAD_WORDS)
-    vocabulary = head if HEAD_WORDS == VOCABULARY else _most_frequent_words(counts, VOCABULARY)
     ends = counts.where(F.octet_length("word") == 0).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    # Of equal counts the smaller word first, as above.
-    own = sorted(head, key=lambda w: (-head[w], w))[:OWN]
+    size = F.octet_length("word")
+    top = counts.where((size > 0) & (size <= HEAD_BYTES)).orderBy(F.desc("n"), "word").limit(OWN - 1)
+    own_counts = {END: ends} | {bytes(r["word"]): r["n"] for r in top.collect()}
+    own, head = list(own_counts), head | own_counts
     classes = Classes(own)
-    shared = counts.where(~F.col("word").isin([bytearray(w) for w in own])) if own else counts
+    shared = counts.where(~F.col("word").isin([bytearray(w) for w in own]))
     of_class = shared.groupBy("ending").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("words")).collect()
-    shares = np.zeros(CLASSES)
+    shares, rate = np.zeros(CLASSES), np.full(CLASSES, 0.5)
+    rate[: len(own)] += list(own_counts.values())
     for r in of_class:
         shares[OWN + r["ending"]] = np.log10(r["n"] + r["words"] + 1)
-    # Bounded: one row per possible triple.
-    cells = count_triples(known, classes).toArrow().sort_by("triple")
-    table = train(cells.column("triple").to_numpy(), cells.column("n").to_numpy().astype(np.float64))
-    tree = WordTree.of(vocabulary, {w: classes.own.get(w, OWN + ending(w)) for w in vocabulary}, ENDINGS)
-    tree = tree.trained(known, ending, END)
-    return LanguageModel(classes, table.astype(np.float32), shares, head, ends, n_tokens, n_words, tree), counts
+        rate[OWN + r["ending"]] += r["n"]
+    net = train(known, classes, rate / rate.sum(), n_tokens)
+    return LanguageModel(classes, *net.tables(), shares, head, ends, n_tokens, n_words), counts
 
 
 def _most_frequent_words(counts: DataFrame, limit: int) -> dict[bytes, int]:
@@ -218,56 +327,41 @@ def score(documents: DataFrame, may_learn: Column) -> DataFrame:
         m: LanguageModel = shared.value
         words = Texts.of(batch.column("text")).lower().words(SPACED)
         distinct, n = words.distinct, len(batch)
-        in_tree = np.fromiter((w in m.tree.number for w in distinct), bool, len(distinct))
         c = np.fromiter((m.head.get(w, -1) for w in distinct), np.int64, len(distinct))
         log_c = np.log10(np.maximum(c, 0) + 1.0)
-        of_class = np.where(in_tree, 0.0, log_c)
-        by_token = triples(m.classes.of(words))
-        value = m.table[by_token // CLASSES, by_token % CLASSES].astype(np.float64) - m.shares[by_token % CLASSES]
-        # Words of the tree share what all of them have in their class.
-        tokens_of_tree = m.tree.tokens(words, ending, END)
-        token = tokens_of_tree[tokens_of_tree != len(m.tree.number) + ENDINGS]
-        own = token < len(m.tree.number)
-        shared_class = by_token % CLASSES >= OWN
-        value += m.tree.log10(tokens_of_tree)
-        value[own & shared_class] += np.log10(m.tree.mass[token[own & shared_class]])
-        end_c = m.ends
+        of_class = np.where(m.classes.number(words) >= 0, 0.0, log_c)
+        classes = m.classes.of(words)
+        value = m.log10(classes) - m.shares[classes[classes != _START]]
         logs = np.stack([log_c, of_class, (c > 0).astype(np.float64)], axis=1)
         per_text = sums(logs[words.codes], words.at) if len(distinct) else np.zeros((n, 3))
         tokens = words.counts + 1
-        base = per_text[:, 0] + np.log10(end_c + 1.0) - tokens * np.log10(m.n_tokens + m.n_words + 1.0)
-        own_end = END in m.tree.number
-        mine = sums(value, words.at + np.arange(n + 1)) + per_text[:, 1] + (0.0 if own_end else np.log10(end_c + 1.0))
+        base = per_text[:, 0] + np.log10(m.ends + 1.0) - tokens * np.log10(m.n_tokens + m.n_words + 1.0)
+        mine = sums(value, words.at + np.arange(n + 1)) + per_text[:, 1]
         # Words beyond the head, each once per text.
         rare = np.flatnonzero((c < 0)[words.codes]) if len(distinct) else np.zeros(0, np.int64)
         pair, many = np.unique(words.text_of_word()[rare] * max(1, len(distinct)) + words.codes[rare], return_counts=True)
         owner, code = pair // max(1, len(distinct)), pair % max(1, len(distinct))
         at = np.searchsorted(owner, np.arange(n + 1))
-        found = [words.distinct_array.cast(pa.binary()).take(pa.array(code)), pa.array(many.astype(np.int64)), pa.array(in_tree[code])]
-        rows = pa.StructArray.from_arrays(found, ["word", "times", "in_tree"])
+        found = [words.distinct_array.cast(pa.binary()).take(pa.array(code)), pa.array(many.astype(np.int64))]
+        rows = pa.StructArray.from_arrays(found, ["word", "times"])
         return [
             pa.array(tokens),
-            pa.array((per_text[:, 2] + (end_c > 0)).astype(np.int64)),
+            pa.array((per_text[:, 2] + (m.ends > 0)).astype(np.int64)),
             pa.array(base),
             pa.array(mine),
             pa.ListArray.from_arrays(pa.array(at, pa.int32()), rows),
         ]
 
-    schema = "n_tokens bigint, n_known bigint, base double, mine double, rare array<struct<word: binary, times: bigint, in_tree: boolean>>"
+    schema = "n_tokens bigint, n_known bigint, base double, mine double, rare array<struct<word: binary, times: bigint>>"
     found = map_texts(documents, work, schema).withColumn("row", F.monotonically_increasing_id())
     # Written, so that the row numbers stay what they are.
     found = written(spark, found, f"{folder}/scored")
-    rare = found.select("row", F.explode("rare").alias("r")).select("row", "r.word", "r.times", "r.in_tree")
-    log_n = F.col("times") * F.log10(F.col("n") + 1.0)
+    rare = found.select("row", F.explode("rare").alias("r")).select("row", "r.word", "r.times")
     # Words that are in no training text add nothing.
     added = (
         rare.join(counts.select("word", "n"), "word")
         .groupBy("row")
-        .agg(
-            F.sum(log_n).alias("logs"),
-            F.sum(F.when(~F.col("in_tree"), log_n)).alias("logs_beside_tree"),
-            F.sum("times").alias("more_known"),
-        )
+        .agg(F.sum(F.col("times") * F.log10(F.col("n") + 1.0)).alias("logs"), F.sum("times").alias("more_known"))
     )
     return found.drop("rare").join(added, "row", "left").select(
         "doc_id",
@@ -275,5 +369,5 @@ def score(documents: DataFrame, may_learn: Column) -> DataFrame:
         (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
         F.lit(model.n_tokens).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("logs", F.lit(0.0))).alias("base_score"),
-        (F.col("mine") + F.coalesce("logs_beside_tree", F.lit(0.0))).alias("score"),
+        (F.col("mine") + F.coalesce("logs", F.lit(0.0))).alias("score"),
     )

@@ -4,7 +4,6 @@ import itertools
 import math
 import random
 from collections import Counter
-from dataclasses import replace
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +13,6 @@ from pyspark.sql import functions as F
 
 from orderloom.llm import language_id, neural_lm, quality_crf
 from orderloom.llm.batches import Texts
-from orderloom.llm.word_tree import WordTree
 
 EN, ES = ("the", "ing", "er", "on", "st"), ("ción", "la", "os", "que", "ñ")
 
@@ -138,7 +136,12 @@ def check_language_model(rows, learn, found):
     assert all(r[5] < 0 for r in found)
 
 
-def test_language_model_counts_and_base(odd, odd_rows, monkeypatch):
+@pytest.fixture()
+def short_start(monkeypatch):
+    monkeypatch.setattr(neural_lm, "START_STEPS", 20)
+
+
+def test_language_model_counts_and_base(odd, odd_rows, monkeypatch, short_start):
     found = neural_lm.score(odd, F.coalesce(F.col("doc_id") % 3 != 0, F.lit(True))).collect()
     check_language_model(odd_rows, lambda i: i is None or i % 3 != 0, found)
     # With a small head most words are joined.
@@ -149,7 +152,7 @@ def test_language_model_counts_and_base(odd, odd_rows, monkeypatch):
     assert a == pytest.approx(b)
 
 
-def test_language_model_without_training_texts(odd, odd_rows, empty):
+def test_language_model_without_training_texts(odd, odd_rows, empty, short_start):
     check_language_model(odd_rows, lambda i: False, neural_lm.score(odd, F.lit(False)).collect())
     assert neural_lm.score(empty, F.lit(True)).count() == 0
 
@@ -168,7 +171,23 @@ def test_language_model_is_normalised_and_better_than_the_base(spark, tmp_path):
         rows.append((i, " ".join(text), "", "", 0))
     documents = spark.createDataFrame(rows, SCHEMA)
     model, counts = neural_lm.fit(documents, F.col("doc_id") < 300, str(tmp_path))
-    np.testing.assert_allclose((10.0**model.table).sum(axis=1), 1, atol=1e-4)
+    # Whatever the two words before, the classes sum up to one.
+    for near, far in ((0, 1), (5, neural_lm.CLASSES), (neural_lm.CLASSES, neural_lm.CLASSES), (1030, 7)):
+        total = (10.0 ** (model.near[near].astype(float) + model.far[far] - model.total[near, far])).sum()
+        assert total == pytest.approx(1, abs=1e-4)
+    # A text's score is the sum over its tokens, one by one.
+    one = neural_lm.score(documents, F.col("doc_id") < 300).where("doc_id = 301").first()
+    n_of = {bytes(r["word"]): (r["n"], r["ending"]) for r in counts.collect()}
+    before, want = [neural_lm.CLASSES] * 2, 0.0
+    for word in [*rows[301][1].encode().split(), b""]:
+        own = model.classes.own.index(word) if word in model.classes.own else None
+        kind = neural_lm.OWN + neural_lm.ending(word) if own is None else own
+        want += float(model.near[before[1], kind]) + float(model.far[before[0], kind]) - float(model.total[before[1], before[0]])
+        if own is None:
+            assert word not in n_of or n_of[word][1] == neural_lm.ending(word)
+            want += math.log10(n_of.get(word, (0, 0))[0] + 1) - model.shares[kind]
+        before = [before[1], kind]
+    assert one["score"] == pytest.approx(want, abs=1e-3)
     within = Counter()
     for r in counts.collect():
         if bytes(r["word"]) not in model.classes.own:
@@ -197,18 +216,3 @@ def test_language_model_knows_the_order_of_words_beyond_the_classes(spark, tmp_p
     assert all(found[i]["base_score"] == pytest.approx(found[10_000 + i]["base_score"]) for i in range(1000, 1500))
     # In the order of the training texts a text is likelier than backwards, with the same words.
     assert sum(found[i]["score"] > found[10_000 + i]["score"] + 1 for i in range(1000, 1500)) >= 490
-
-
-def test_word_tree_is_normalised_and_starts_from_counts():
-    counts = {f"w{i}".encode(): 1 + i * i % 17 for i in range(50)}
-    class_of = {w: i % 3 for i, w in enumerate(counts)}
-    tree = WordTree.of(counts, class_of, 4)
-    n = len(counts)
-    start = n + 4
-    for rows in (tree.rows, np.random.default_rng(1).normal(0, 1, tree.rows.shape).astype(np.float32)):
-        other = replace(tree, rows=rows)
-        p = {w: 10 ** other.log10(np.array([start, start, 5, 9, i]))[-1] for w, i in tree.number.items()}
-        for kind in range(3):
-            assert sum(p[w] for w in counts if class_of[w] == kind) == pytest.approx(1, rel=1e-4)
-        if rows is tree.rows:
-            assert all(p[w] == pytest.approx((counts[w] + 1) / tree.mass[i], rel=1e-4) for w, i in tree.number.items())
