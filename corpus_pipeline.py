@@ -27,9 +27,14 @@ from orderloom.scratch import new_scratch, written
 
 _OWN = ("doc_id", "text", "source")
 
+#: Rows that go to Python at once. Whole texts of a batch are in the memory of the JVM and
+#: of a worker at the same time; 10,000 rows, as is usual for numbers, are tens of megabytes.
+_BATCH_ROWS = ("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+
 
 def _apart(docs: DataFrame, work: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Apply ``work`` while other columns have names that no operator uses."""
+    docs.sparkSession.conf.set(*_BATCH_ROWS)
     names = docs.columns
     safe = [c if c in _OWN else f"_column_{i}" for i, c in enumerate(names)]
     return work(docs.toDF(*safe)).select(*safe).toDF(*names)
@@ -37,6 +42,7 @@ def _apart(docs: DataFrame, work: Callable[[DataFrame], DataFrame]) -> DataFrame
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
+    spark.conf.set(*_BATCH_ROWS)
     model = quality_crf.fit(docs, table(spark, sf_dir, "labels"), ~held_out(4))
     return _apart(docs, lambda d: quality_crf.rate(d, model, d.columns).where("predicted = 1"))
 
@@ -64,6 +70,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, start, n_tokens and ids_crc32 of every document, as the files hold them."""
+    spark.conf.set(*_BATCH_ROWS)
     return token_table(docs, public_tokenizers.path(TOKENIZER), END_ID)
 
 
