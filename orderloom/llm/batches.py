@@ -7,6 +7,7 @@ inside a character, so runs of bytes are runs of characters.
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator, Sequence
@@ -159,7 +160,26 @@ def pieces(batch: pa.RecordBatch, most: int = BATCH_BYTES) -> Iterator[pa.Record
 def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
     """``df.mapInArrow``, on executors that need not have this package installed."""
     send_package(df.sparkSession)
-    return df.mapInArrow(run, schema)
+
+    def run_and_release(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release_memory()
+
+    return df.mapInArrow(run_and_release, schema)
+
+
+def release_memory() -> None:
+    """Give freed memory back: Spark uses a Python worker for one task after another."""
+    from orderloom.llm import words_bpe
+
+    words_bpe.forget()
+    pa.default_memory_pool().release_unused()
+    # The C library keeps what was freed, too; others than glibc have no such call.
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 _SENT: set[str] = set()

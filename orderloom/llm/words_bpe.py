@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 
 from orderloom.llm.batches import SPACED, Texts
 
-#: Stems whose ids a Python worker keeps at least, of which it forgets the longest unused; words encoded at once.
+#: Stems whose ids a task keeps at least, of which it forgets the longest unused; words encoded at once.
 KEPT_STEMS, _AT_ONCE = 200_000, 20_000
 #: Words of Latin letters (composed, with one lower-case letter each) and ASCII signs after them.
 _SIMPLE = "^(?P<stem>[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017e]+)(?P<signs>[!-&(-/:-@\\[-`{-~]*)$"
@@ -50,7 +50,7 @@ class WordEncoder:
         return out
 
     def _stems(self, stems: Sequence[str]) -> list[bytes]:
-        """Ids of lower-cased letters, remembered between batches."""
+        """Ids of lower-cased letters, remembered between the batches of a task."""
         kept, older = self.kept, self.older
         if len(kept) > KEPT_STEMS:
             self.kept, self.older = kept, older = {}, kept
@@ -112,6 +112,12 @@ def encode(texts: Texts, path: str) -> tuple[np.ndarray, np.ndarray]:
     return flat[origin + np.arange(total[-1])], total[2 * words.at]
 
 
+def forget() -> None:
+    """Leave out the remembered stems, at the end of a task; tokenizers stay loaded."""
+    for encoder in _WORKER.values():
+        encoder.kept, encoder.older = {}, {}
+
+
 def lengths(texts: Texts, path: str) -> np.ndarray:
     ids, at = encode(texts, path)
     return np.diff(at)
