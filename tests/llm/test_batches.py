@@ -13,7 +13,8 @@ def _words(kind, texts, lower):
     found = Texts.of(pa.array(texts, pa.string()))
     found = (found.lower() if lower else found).words(kind)
     flat = [found.data[a:b].tobytes().decode() for a, b in zip(found.starts, found.ends, strict=True)]
-    assert [found.distinct[c].decode() for c in found.codes] == flat
+    distinct = found.distinct
+    assert [distinct[c].decode() for c in found.codes] == flat
     return [flat[a:b] for a, b in zip(found.at[:-1], found.at[1:], strict=True)]
 
 
