@@ -2,9 +2,10 @@
 
 A pattern is a window of words of a benchmark item. The search looks at blocks
 of two words: a table says how far the next possible end of a pattern is from
-each block, and most positions are skipped. Where the distance is zero, the hash
-of the last words selects the patterns to compare, and a comparison of all words
-confirms. Many texts are searched side by side, one cursor per stretch of text.
+each block, and most positions are skipped. Where the distance is zero, the last
+words select a bucket of patterns and a hash of the words before them a place in
+it, so that a bucket of a common pair of words costs no more than another; a
+comparison of all words confirms. Many texts are searched side by side, one cursor per stretch of text.
 """
 
 from __future__ import annotations
@@ -25,7 +26,8 @@ from orderloom.scratch import new_scratch, written
 #: Words of a window.
 WINDOW = 10
 #: Bytes of benchmark text that are searched for in one pass; larger benchmarks take several.
-PASS_BYTES = 32 << 20
+#: The tables of a pass take up to about 25 times as many bytes, on the driver and in every worker.
+PASS_BYTES = 8 << 20
 #: Words that one cursor searches.
 _STRETCH = 2048
 _SPANS, _ITEMS = "_found_spans", "_found_items"
@@ -43,34 +45,38 @@ class _Table:
     shift_keys: np.ndarray
     shifts: np.ndarray
     bucket_keys: np.ndarray
-    bucket_at: np.ndarray
+    places: np.ndarray  # bucket and prefix hash of each pattern, ascending
 
     @classmethod
-    def of(cls, length: int, windows: dict[tuple[int, ...], list[int]], base: int) -> _Table:
+    def of(cls, windows: np.ndarray, items: np.ndarray, base: int) -> _Table:
+        """Of the rows of ``windows``, which belong to ``items`` and may repeat."""
+        length = windows.shape[1]
         block = min(2, length)
-        ordered = np.array(list(windows), np.int64).reshape(-1, length)
-        suffix = _block(ordered, length - 1, block, base)
-        order = np.argsort(suffix, kind="stable")
-        ordered = ordered[order]
-        of = list(windows.values())
-        items = [sorted(set(of[i])) for i in order]
+        bucket_keys, bucket = np.unique(_block(windows, length - 1, block, base), return_inverse=True)
+        places = _place(bucket, _prefix(windows.T[: length - block], len(windows)))
+        order = np.lexsort((items, places))
+        windows, items, places = windows[order], items[order], places[order]
+        # Equal windows are one pattern; two that only share their place are compared here.
+        new = np.ones(len(windows), bool)
+        new[1:] = (places[1:] != places[:-1]) | (windows[1:] != windows[:-1]).any(axis=1)
+        first = np.flatnonzero(new)
+        ordered = windows[first]
         # Distance from each block's last place in any pattern to the pattern's end.
         ends = range(block - 1, length)
         keys = np.concatenate([_block(ordered, e, block, base) for e in ends])
-        distance = np.concatenate([np.full(len(ordered), length - 1 - e) for e in ends])
+        distance = np.concatenate([np.full(len(ordered), length - 1 - e, np.int16) for e in ends])
         by = np.lexsort((distance, keys))
-        shift_keys, first = np.unique(keys[by], return_index=True)
-        bucket_keys, bucket_first = np.unique(suffix[order], return_index=True)
+        shift_keys, least = np.unique(keys[by], return_index=True)
         return cls(
             length,
             ordered,
-            np.array([x for row in items for x in row], np.int64),
-            np.concatenate([[0], np.cumsum([len(row) for row in items])]),
+            items,
+            np.append(first, len(items)),
             block,
             shift_keys,
-            distance[by][first],
+            distance[by][least],
             bucket_keys,
-            np.append(bucket_first, len(ordered)),
+            places[first],
         )
 
     def search(self, words: np.ndarray, at: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray]:
@@ -100,13 +106,15 @@ class _Table:
         return np.concatenate(found), np.concatenate(which)
 
     def _confirm(self, words: np.ndarray, ending: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        bucket = np.searchsorted(self.bucket_keys, key)
-        size = self.bucket_at[bucket + 1] - self.bucket_at[bucket]
-        firsts, patterns = [], []
-        # The k-th pattern of every bucket at once.
-        for k in range(int(size.max())):
-            has = size > k
-            pattern, first = self.bucket_at[bucket[has]] + k, ending[has] - self.length + 1
+        """Compare with the patterns of the suffix's bucket that have the prefix hash: seldom more than one."""
+        bucket, begin = np.searchsorted(self.bucket_keys, key), ending - self.length + 1
+        prefix = _prefix([words[begin + j] for j in range(self.length - self.block)], len(ending))
+        place = _place(bucket, prefix)
+        low, high = np.searchsorted(self.places, place), np.searchsorted(self.places, place, side="right")
+        firsts, patterns = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for k in range(int((high - low).max())):
+            has = high - low > k
+            pattern, first = low[has] + k, begin[has]
             for j in range(self.length):
                 same = words[first + j] == self.patterns[pattern, j]
                 pattern, first = pattern[same], first[same]
@@ -116,7 +124,21 @@ class _Table:
 
 
 def _block(patterns: np.ndarray, end: int, block: int, base: int) -> np.ndarray:
-    return patterns[:, end] if block == 1 else patterns[:, end - 1] * base + patterns[:, end]
+    last = patterns[:, end].astype(np.int64)
+    return last if block == 1 else patterns[:, end - 1].astype(np.int64) * base + last
+
+
+def _prefix(columns: Sequence[np.ndarray], n: int) -> np.ndarray:
+    """32-bit hash of the words before the last block, given as columns."""
+    h = np.zeros(n, np.uint64)
+    for column in columns:
+        h = (h ^ column.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(32)
+    return h & np.uint64(0xFFFFFFFF)
+
+
+def _place(bucket: np.ndarray, prefix: np.ndarray) -> np.ndarray:
+    return (bucket.astype(np.uint64) << np.uint64(32)) | prefix
 
 
 class Patterns:
@@ -124,19 +146,20 @@ class Patterns:
 
     def __init__(self, items: Sequence[tuple[str, str]], window: int = WINDOW):
         self.names = [name for name, _ in items]
-        self.vocabulary: dict[bytes, int] = {}
-        windows: dict[int, dict[tuple[int, ...], list[int]]] = {}
         texts = Texts.of(pa.array([text for _, text in items], pa.string())).lower()
         words = texts.words(ALPHANUMERIC)
+        self.vocabulary: dict[bytes, int] = {}
         numbers = [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words.distinct]
-        flat = np.array(numbers, np.int64)[words.codes] if numbers else np.zeros(0, np.int64)
-        for i in range(len(items)):
-            row = flat[words.at[i] : words.at[i + 1]].tolist()
-            length = min(window, len(row))
-            for j in range(len(row) - length + 1 if row else 0):
-                windows.setdefault(length, {}).setdefault(tuple(row[j : j + length]), []).append(i)
+        flat = np.array(numbers, np.int32)[words.codes] if numbers else np.zeros(0, np.int32)
         self.base = len(self.vocabulary) + 1
-        self.tables = [_Table.of(length, found, self.base) for length, found in windows.items()]
+        n = np.diff(words.at)
+        self.tables = []
+        for length in np.unique(np.minimum(n[n > 0], window)).tolist():
+            whole = np.flatnonzero(n == length if length < window else n >= window)
+            many = n[whole] - length + 1
+            start = np.repeat(words.at[whole], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+            windows = np.stack([flat[start + j] for j in range(length)], axis=1)
+            self.tables.append(_Table.of(windows, np.repeat(whole, many), self.base))
 
     def hits(self, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For every word whether it is hit; text and item of every pair that occurs."""

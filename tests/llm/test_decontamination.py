@@ -2,11 +2,15 @@ from __future__ import annotations
 
 import hashlib
 import random
+import time
 
+import numpy as np
+import pyarrow as pa
 from llm_helpers import ALNUM, LOWER, SCHEMA, prose
 
 from orderloom.llm import decontamination
-from orderloom.llm.decontamination import contamination, digest
+from orderloom.llm.batches import ALPHANUMERIC, Texts
+from orderloom.llm.decontamination import Patterns, contamination, digest
 
 
 def words(text):
@@ -78,3 +82,47 @@ def test_odd_rows_and_empty_tables(spark, odd, odd_rows, empty):
     nothing = spark.createDataFrame([], "item_id bigint, text string")
     assert found(odd, nothing) == expected(odd_rows, [])
     assert found(empty, benchmark) == []
+
+
+def test_a_common_pair_costs_no_more_than_others():
+    rng = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    n = 4000
+
+    def texts(common):
+        pair = ["of", "the"]
+        items = []
+        for i in range(n):
+            row = rng.choices(vocabulary, k=12)
+            for j in (2, 8):
+                row[j : j + 2] = pair if common else rng.choices(vocabulary, k=2)
+            items.append((str(i), " ".join(row)))
+        document = [w for _ in range(10_000) for w in [*rng.choices(vocabulary, k=8), *(pair if common else rng.choices(vocabulary, k=2))]]
+        return items, " ".join([*document, items[7][1], "x", items[9][1]])
+
+    seconds = []
+    for common in (False, True):
+        items, document = texts(common)
+        patterns = Patterns(items)
+        words = Texts.of(pa.array([document])).words(ALPHANUMERIC)
+        took = []
+        for _ in range(3):
+            start = time.perf_counter()
+            hit, _, item = patterns.hits(words)
+            took.append(time.perf_counter() - start)
+        assert hit.sum() == 24
+        assert sorted(item.tolist()) == [7, 9]
+        seconds.append(min(took))
+    # Positions with the pair are looked at, others skipped: a small factor, not the size of a bucket.
+    assert seconds[1] < 10 * seconds[0] + 0.2
+
+
+def test_windows_with_one_place_are_told_apart(monkeypatch):
+    monkeypatch.setattr(decontamination, "_prefix", lambda columns, n: np.zeros(n, np.uint64))
+    tail = "k l"
+    items = [(str(i), f"a{i % 3} b{i} {tail}") for i in range(6)] + [("6", f"a0 b0 {tail}")]
+    patterns = Patterns(items)
+    words = Texts.of(pa.array(["a1 b4 k l", "a1 b5 k l", "a0 b0 k l"])).words(ALPHANUMERIC)
+    hit, text, item = patterns.hits(words)
+    assert hit.tolist() == [True] * 4 + [False] * 4 + [True] * 4
+    assert list(zip(text.tolist(), item.tolist())) == [(0, 4), (2, 0), (2, 6)]
