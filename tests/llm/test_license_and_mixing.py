@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 from collections import defaultdict
 
 import pytest
@@ -150,3 +151,44 @@ def test_large_source_is_sorted_in_ranges(spark, monkeypatch):
     clean = mix(spark.createDataFrame(rows, SCHEMA), budget=0.3).groupBy(F.col("doc_id") % 2).agg(F.sum("taken")).collect()
     by = {r[0]: r[1] for r in clean}
     assert by[1] > 1.5 * by[0]
+
+
+def test_low_and_uneven_weights(spark, monkeypatch):
+    """Weights from a column: the cut equals that of one whole sort, whatever range is sorted at once."""
+    from orderloom.llm import mixing
+    from orderloom.llm.spread import unit
+
+    given = [0.2, 0.2, 0.01, 1.0, None, float("nan"), -3.0, 0.2]
+    rows = [(i, "word " * (i % 5), "", "big" if i % 7 else None, i, given[i % 8]) for i in range(3000)]
+    rows += [(9, "twice over", "", "big", 0, 0.2)] * 400 + [(None, "no id", "", "big", 0, 0.2)] * 300
+    documents = spark.createDataFrame(rows, f"{SCHEMA}, `weigh it` double")
+    draws = {r["doc_id"]: r["u"] for r in documents.select("doc_id", unit(F.col("doc_id")).alias("u")).distinct().collect()}
+
+    def weight(w):
+        return w if w is not None and w >= mixing.LEAST_WEIGHT else mixing.LEAST_WEIGHT
+
+    def taken():
+        found = mix(documents, ["doc_id", "source", "text", "weigh it"], budget=0.4, quality="weigh it")
+        return sorted(((r["source"] or "", r["doc_id"] or -1, r["text"], r["copies"], r["target"]) for r in found.collect()), key=str)
+
+    whole = taken()
+    targets = {s: t for s, _, _, _, t in whole}
+    want = []
+    for source in ("big", ""):
+        mine = sorted(
+            (-math.log(draws[r[0]]) / weight(r[5]), -1 if r[0] is None else r[0], r[1]) for r in rows if (r[3] or "") == source
+        )
+        groups = defaultdict(list)
+        for key, doc_id, text in mine:
+            groups[key, doc_id].append(text)
+        upto = 0
+        for (_, doc_id), found in sorted(groups.items()):
+            size = sum(len(t.split()) for t in found)
+            copies = int(upto + size / 2 <= targets[source])
+            want += [(source, doc_id, t, copies, targets[source]) for t in found]
+            upto += size
+    assert whole == sorted(((s, d or -1, t, k, x) for s, d, t, k, x in want), key=str)
+    for most, digit in ((100, 12), (1, 4)):
+        monkeypatch.setattr(mixing, "RANGE_ROWS", most)
+        monkeypatch.setattr(mixing, "_DIGIT", digit)
+        assert taken() == whole
