@@ -13,16 +13,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderloom.llm.batches import SPACED, Texts, Words, map_texts, sums
-from orderloom.llm.spread import unit
 
 #: Hash rows, width of an embedding, lengths of subwords.
 ROWS, WIDTH, LENGTHS = 1 << 14, 16, (2, 3, 4)
-#: Labelled texts that training may read in all, shared evenly by the languages, of which there may be so many.
-SAMPLE, LANGUAGES = 6000, 500
+#: Labelled texts that training may read in all, shared evenly by the languages; every language has one at least.
+SAMPLE = 6000
 #: Share of right answers that accepted predictions reach on the part kept apart.
 PRECISION = 0.98
 UNDETERMINED = "und"
@@ -75,10 +74,11 @@ def has_letter(texts: Texts) -> np.ndarray:
 
 @dataclass(frozen=True)
 class LanguageModel:
-    """``table`` has the logits of each hash row: a text's are their mean plus ``bias``."""
+    """``table`` has the embeddings of each hash row: a text's logits are their mean times ``weights`` plus ``bias``."""
 
     languages: list[str]
     table: np.ndarray
+    weights: np.ndarray
     bias: np.ndarray
     temperature: float = 1.0
     threshold: float = 0.0
@@ -93,10 +93,15 @@ class LanguageModel:
         of_word, n = sums(self.table[rows], at), np.diff(at).astype(np.float64)
         total = sums(of_word[words.codes], words.at)
         count = sums(n[words.codes], words.at) if len(n) else np.zeros(len(texts))
-        p = softmax((total / np.maximum(count, 1)[:, None] + self.bias) / self.temperature)
-        best = p.argmax(axis=1)
+        means = total / np.maximum(count, 1)[:, None]
+        best, score = np.zeros(len(texts), np.int64), np.zeros(len(texts))
+        # As many texts at once as have a few million logits, whatever the number of languages.
+        step = max(1, (1 << 22) // len(self.languages))
+        for i in range(0, len(texts), step):
+            p = softmax((means[i : i + step] @ self.weights + self.bias) / self.temperature)
+            best[i : i + step], score[i : i + step] = p.argmax(axis=1), p.max(axis=1)
         names = [self.languages[b] if k else UNDETERMINED for b, k in zip(best, known, strict=True)]
-        return names, np.where(known, p[np.arange(len(best)), best], 0.0)
+        return names, np.where(known, score, 0.0)
 
 
 def softmax(logits: np.ndarray) -> np.ndarray:
@@ -136,10 +141,10 @@ def train(features: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, lan
             for value, square, g in zip((embeddings, weights, bias), squares, gradients, strict=True):
                 square += g * g
                 value -= 0.3 * (1 - epoch / epochs) * g / np.sqrt(square)
-    table = (embeddings @ weights).astype(np.float64)
+    table, weights, bias = (x.astype(np.float64) for x in (embeddings, weights, bias))
     if not len(apart):
-        return LanguageModel(languages, table, bias.astype(np.float64))
-    logits = np.concatenate([means(apart[i : i + batch]) @ table + bias for i in range(0, len(apart), batch)])
+        return LanguageModel(languages, table, weights, bias)
+    logits = np.concatenate([means(apart[i : i + batch]) @ table @ weights + bias for i in range(0, len(apart), batch)])
     truth = labels[apart]
     temperatures = np.geomspace(0.05, 20, 60)
     loss = [-np.log(softmax(logits / t)[np.arange(len(truth)), truth] + 1e-12).mean() for t in temperatures]
@@ -150,18 +155,28 @@ def train(features: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, lan
     precision = np.cumsum(right[by_score]) / np.arange(1, len(right) + 1)
     enough = np.flatnonzero(precision >= PRECISION)
     threshold = float(score[by_score][enough[-1]]) if len(enough) else 1.0
-    return LanguageModel(languages, table, bias.astype(np.float64), temperature, threshold)
+    return LanguageModel(languages, table, weights, bias, temperature, threshold)
 
 
 def fit(documents: DataFrame, may_learn: Column, label: str = "lang") -> LanguageModel:
-    """Train on at most about SAMPLE labelled texts for which ``may_learn`` holds, chosen by doc_id."""
-    usable = documents.where(may_learn & F.col(label).isNotNull()).select("doc_id", F.col(label).alias("_label"), "text")
-    counts = usable.groupBy("_label").count().orderBy(F.desc("count"), "_label").limit(LANGUAGES).collect()
-    if not counts:
-        return LanguageModel([], np.zeros((ROWS, 0)), np.zeros(0))
-    languages = sorted(r["_label"] for r in counts)
-    share = F.create_map(*[F.lit(x) for r in counts for x in (r["_label"], SAMPLE / len(counts) / r["count"])])
-    chosen = usable.where(unit(F.concat_ws(" ", F.lit("language"), F.col("doc_id"))) < share[F.col("_label")])
+    """Train on labelled texts for which ``may_learn`` holds, the first of each language by a hash of doc_id and text.
+
+    A language has an even share of SAMPLE, one text at least, so that all
+    languages can be predicted and SAMPLE or as many texts as there are languages
+    are read. Rows of one language, doc_id and text count once, however many
+    there are.
+    """
+    usable = documents.where(may_learn & F.col(label).isNotNull()).select(
+        F.col(label).alias("_label"), F.xxhash64(F.lit("language"), "doc_id", "text").alias("_draw"), "text"
+    )
+    n = usable.select("_label").distinct().count()
+    if not n:
+        return LanguageModel([], np.zeros((ROWS, 0)), np.zeros((0, 0)), np.zeros(0))
+    by_draw = Window.partitionBy("_label").orderBy("_draw")
+    first = usable.groupBy("_label", "_draw").agg(F.count(F.lit(1))).select("_label", "_draw", F.row_number().over(by_draw).alias("nth"))
+    first = first.where(F.col("nth") <= max(1, SAMPLE // n)).select("_label", "_draw")
+    # Bounded: a number and a label for each text of the sample.
+    chosen = usable.join(F.broadcast(first), ["_label", "_draw"]).groupBy("_label", "_draw").agg(F.max("text").alias("text"))
 
     def features(batch: pa.RecordBatch) -> list[pa.Array]:
         words = Texts.of(batch.column("text")).lower().words(SPACED)
@@ -176,9 +191,10 @@ def fit(documents: DataFrame, may_learn: Column, label: str = "lang") -> Languag
             out.append({"rows": found.astype(np.int32), "counts": count[found].astype(np.float32)})
         return [pa.array(out, pa.struct([("rows", pa.list_(pa.int32())), ("counts", pa.list_(pa.float32()))]))]
 
-    # Bounded: SAMPLE texts of at most ROWS numbers each.
-    found = map_texts(chosen, features, "f struct<rows: array<int>, counts: array<float>>", ["doc_id", "_label"]).toArrow()
-    found = found.sort_by([("doc_id", "ascending"), ("_label", "ascending")])
+    # Bounded: the texts of the sample, of at most ROWS numbers each.
+    found = map_texts(chosen, features, "f struct<rows: array<int>, counts: array<float>>", ["_label", "_draw"]).toArrow()
+    found = found.sort_by([("_draw", "ascending"), ("_label", "ascending")])
+    languages = sorted(set(found.column("_label").to_pylist()))
     number = {name: i for i, name in enumerate(languages)}
     labels = np.array([number[x] for x in found.column("_label").to_pylist()], np.int64)
     both = found.column("f").combine_chunks()

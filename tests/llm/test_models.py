@@ -216,3 +216,40 @@ def test_language_model_knows_the_order_of_words_beyond_the_classes(spark, tmp_p
     assert all(found[i]["base_score"] == pytest.approx(found[10_000 + i]["base_score"]) for i in range(1000, 1500))
     # In the order of the training texts a text is likelier than backwards, with the same words.
     assert sum(found[i]["score"] > found[10_000 + i]["score"] + 1 for i in range(1000, 1500)) >= 490
+
+
+def test_all_languages_are_learned_and_rows_of_one_id_are_bounded(spark, monkeypatch):
+    """600 labels, most of them with one text; a third of all rows are copies without a doc_id."""
+    seen = []
+    train = language_id.train
+    monkeypatch.setattr(language_id, "train", lambda texts, *rest: (seen.append(len(texts)), train(texts, *rest, epochs=1))[1])
+    monkeypatch.setattr(language_id, "SAMPLE", 1200)
+    rows = [(i, f"word{i % 600} of language number {i % 600}", f"l{i % 600}", "s", 1) for i in range(700)]
+    rows += [(1000 + i, f"often {i}", "l0", "s", 1) for i in range(1500)]
+    rows += [(None, "a copy", "l0", "s", 1)] * 1100
+    documents = spark.createDataFrame(rows, SCHEMA)
+    model = language_id.fit(documents, F.lit(True))
+    assert model.languages == sorted({r[2] for r in rows})
+    # Two texts of a language at most.
+    assert seen == [2 * 100 + 500]
+    again = language_id.fit(documents.repartition(7), F.lit(True))
+    assert np.array_equal(again.weights, model.weights)
+    found = language_id.identify(documents, model).collect()
+    assert len(found) == len(rows)
+    assert all(0 <= r["score"] <= 1 for r in found)
+
+
+def test_quality_reads_one_text_of_an_id_and_long_documents(spark, monkeypatch):
+    seen = []
+    train = quality_crf.train
+    monkeypatch.setattr(quality_crf, "train", lambda x, size, at, *rest: (seen.append(np.diff(at)), train(x, size, at, *rest))[1])
+    long = "\n".join(f"line {i} of a long text" for i in range(2000))
+    rows = [(1, "one\ntwo\nthree", "en", "s", 1)] * 500 + [(1, None, "en", "s", 1)] * 500
+    rows += [(2, long, "en", "s", 1), (3, "#!#!", "en", "s", 1), (None, "no id", "en", "s", 1)]
+    labels = spark.createDataFrame([(1, 1), (2, 1), (3, 0), (3, 0)], "doc_id bigint, quality int")
+    quality_crf.fit(spark.createDataFrame(rows, SCHEMA), labels, F.lit(True))
+    assert sorted(seen[0].tolist())[-1] == quality_crf.SAMPLE_LINES
+    assert len(seen[0]) == 3
+    chosen = quality_crf.sample_lines(2000)
+    assert (chosen[0], chosen[-1], len(set(chosen.tolist()))) == (0, 1999, 500)
+    assert quality_crf.sample_lines(500).tolist() == list(range(500))
