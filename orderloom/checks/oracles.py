@@ -472,6 +472,10 @@ _BODIES = {
         SELECT CASE status WHEN 'P' THEN concat('order ', order_id)
                            ELSE concat('{{"order_id":"no ', order_id, '"}}') END AS payload
         FROM ({_SENT}) WHERE status <> 'O'""",
+    "stream_batch_counts": f"""
+        SELECT 'rows' AS counted, count(*) AS n FROM ({_SENT})
+        UNION ALL SELECT 'accepted', count(*) FROM ({_SENT}) WHERE status = 'O'
+        UNION ALL SELECT 'rejected', count(*) FROM ({_SENT}) WHERE status <> 'O'""",
     "stream_orders_silver": _REFINED,
     "publish_stream_table": _REFINED,
     "latest_orders_preview": f"{_REFINED} ORDER BY order_id DESC LIMIT 20",

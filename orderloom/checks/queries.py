@@ -43,6 +43,7 @@ from orderloom.streaming.ingest import (
     start_ingest,
 )
 from orderloom.streaming.publish import latest_orders, publish_orders
+from orderloom.streaming.progress import batches
 from orderloom.streaming.refine import refined_orders, start_refine
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -565,6 +566,25 @@ def stream_rejects(spark, sf_dir):
     return rejected_events(spark, lake.stream("bronze"), KEY_TYPE).select("payload")
 
 
+@query
+def stream_batch_counts(spark, sf_dir):
+    """What an interval run says of its batches, until it has been idle."""
+    lake = _lake(spark, "batch-counts")
+    replace_parquet(_faulty_events(spark, sf_dir), lake.layer("arrivals"))
+    running = start_ingest(
+        file_events(spark, lake.layer("arrivals"), {"maxFilesPerTrigger": "4"}),
+        lake.stream("bronze"),
+        lake.checkpoint("ingest"),
+        interval="1 second",
+        key_type=KEY_TYPE,
+    )
+    totals = dict.fromkeys(("rows", "accepted", "rejected"), 0)
+    for batch in batches(running, idle_seconds=3):
+        totals = {name: n + batch.counts[name] for name, n in totals.items()}
+    catalog.drop_database(spark, lake.database)
+    return spark.createDataFrame(list(totals.items()), "counted string, n bigint")
+
+
 def _refined(spark: SparkSession, sf_dir: str, purpose: str) -> Lakehouse:
     """Every order arrives twice; the refinement runs, is restarted, and runs again."""
     events = _order_events(spark, sf_dir)

@@ -17,6 +17,7 @@ import logging
 from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
 from orderloom.plans.runs import (
     Lakehouse,
@@ -30,6 +31,7 @@ from orderloom.plans.runs import (
 from orderloom.sources.events import file_events, kafka_events
 from orderloom.sources.relational import RangeSplit, TableReader, jdbc_reader
 from orderloom.streaming.ingest import start_ingest
+from orderloom.streaming.progress import batches
 from orderloom.streaming.publish import latest_orders
 from orderloom.streaming.refine import start_refine
 
@@ -61,6 +63,9 @@ def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument(
         "--interval", help="keep ingest or refine running, e.g. '5 seconds'; else drain and stop"
     )
+    parser.add_argument(
+        "--stop-after-idle", type=float, metavar="SECONDS", help="end an interval run without new data"
+    )
     parser.add_argument("--max-files", help="files per micro-batch of the refinement")
     args = parser.parse_args(argv)
     if args.job in ("bronze", "full-load") and not args.jdbc_url:
@@ -88,15 +93,16 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     elif args.job == "full-load":
         run_full_load(spark, _source(spark, args), lake)
     elif args.job == "ingest":
-        start_ingest(
+        query = start_ingest(
             _events(spark, args),
             lake.stream("bronze"),
             lake.checkpoint("ingest"),
             args.interval,
             lake.key_type,
-        ).awaitTermination()
+        )
+        _follow(query, args)
     elif args.job == "refine":
-        start_refine(
+        query = start_refine(
             spark,
             lake.stream("bronze"),
             lake.stream("silver"),
@@ -104,7 +110,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
             args.interval,
             lake.key_type,
             limits,
-        ).awaitTermination()
+        )
+        _follow(query, args)
     elif args.job == "publish":
         publish_stream(spark, lake)
     else:
@@ -115,6 +122,11 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         spark.sql(f"SHOW TABLES IN {lake.database}").show(truncate=False)
 
 
+def _follow(query: StreamingQuery, args: argparse.Namespace) -> None:
+    for batch in batches(query, args.stop_after_idle):
+        log.info("%s: %s", args.job, batch)
+
+
 def _options(args: argparse.Namespace) -> dict[str, str]:
     if not args.options_file:
         return {}

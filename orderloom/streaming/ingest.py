@@ -18,6 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from orderloom import functions as fn
 from orderloom.schemas import event_schema
+from orderloom.streaming.progress import counted
 
 c = F.col
 
@@ -79,9 +80,11 @@ def start_ingest(
     """Start the ingest: all available events and stop, or every ``interval``.
 
     ``files_per_batch`` bounds the files that a micro-batch adds per partition:
-    with a short interval, set it to what an interval's events fill.
+    with a short interval, set it to what an interval's events fill. Accepted and
+    rejected events are counted per batch, see ``progress.batches``.
     """
     rows = classify_orders(decode_payload(events, key_type))
+    rows = counted(rows, "ingestion_timestamp", accepted=c(_ACCEPTED), rejected=~c(_ACCEPTED))
     if files_per_batch:
         rows = rows.coalesce(files_per_batch)
     writer = (

@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from orderloom.functions import upper_trimmed
 from orderloom.sources.events import NO_FILE_TOO_OLD
 from orderloom.streaming.ingest import landing_schema
+from orderloom.streaming.progress import counted
 
 Batches = Iterator[pa.RecordBatch]
 
@@ -111,10 +112,10 @@ def start_refine(
     ``state_partitions``, which is also the number of tasks and files of every
     micro-batch: choose it by what a batch and the ids of all time need, not by
     the width of batch shuffles. By default it is that width, at most
-    MAX_STATE_PARTITIONS.
+    MAX_STATE_PARTITIONS. Orders are counted per batch, see ``progress.batches``.
     """
     landed = landed_stream(spark, landing, key_type, batch_limits)
-    stream = refine_orders(landed, thin_repeats)
+    stream = counted(refine_orders(landed, thin_repeats), "ingestion_timestamp")
     width = int(spark.conf.get(_WIDTH))
     settings = STATE_SETTINGS | {_WIDTH: str(state_partitions or min(width, MAX_STATE_PARTITIONS))}
     writer = (

@@ -9,13 +9,14 @@ from pathlib import Path
 
 import pyarrow as pa
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from orderloom.plans.runs import Lakehouse, run_incremental
 from orderloom.sinks.events import to_events
 from orderloom.sinks.tables import publish_managed, table_location
 from orderloom.sources.events import PAYLOAD_SCHEMA, file_events
-from orderloom.streaming import ingest, publish, refine
+from orderloom.streaming import ingest, progress, publish, refine
 
 c = F.col
 
@@ -331,3 +332,53 @@ def test_ingest_with_an_interval_keeps_running(feed):
     finally:
         query.stop()
     assert ids(feed.accepted()) == [1]
+
+
+def test_an_idle_interval_run_ends_and_tells_its_counts(feed):
+    """Counts come with the batches: no job runs after the last of them."""
+    feed.arrive(message(1), message(2), "no json")
+    query = ingest.start_ingest(
+        file_events(feed.spark, feed.arrivals),
+        feed.lake.stream("bronze"),
+        feed.lake.checkpoint("ingest"),
+        interval="1 second",
+    )
+    found = []
+    for batch in progress.batches(query, idle_seconds=4):
+        found.append(batch)
+        if len(found) == 1:
+            feed.arrive(message(2), message(3))
+    assert not query.isActive
+    assert [b.counts for b in found] == [
+        {"rows": 3, "accepted": 2, "rejected": 1},
+        {"rows": 2, "accepted": 2, "rejected": 0},
+    ]
+    assert [b.batch_id for b in found] == [0, 1]
+    assert all(0 <= b.lag < 120 for b in found)
+    query = refine.start_refine(
+        feed.spark, feed.lake.stream("bronze"), feed.lake.stream("silver"), feed.lake.checkpoint("refine")
+    )
+    assert sum(b.counts["rows"] for b in progress.batches(query)) == 3
+    # The same checkpoint again: nothing is left to read.
+    query = refine.start_refine(
+        feed.spark, feed.lake.stream("bronze"), feed.lake.stream("silver"), feed.lake.checkpoint("refine")
+    )
+    assert list(progress.batches(query)) == []
+
+
+def test_an_interval_run_without_data_ends_and_failures_are_raised(feed):
+    feed.arrive(message(1))
+    feed.ingest()
+    query = ingest.start_ingest(
+        file_events(feed.spark, feed.arrivals),
+        feed.lake.stream("bronze"),
+        feed.lake.checkpoint("ingest"),
+        interval="1 second",
+    )
+    assert list(progress.batches(query, idle_seconds=2)) == []
+    assert not query.isActive
+    events = file_events(feed.spark, feed.arrivals)
+    broken = events.withColumn("value", F.raise_error(F.lit("broken")).cast("binary"))
+    query = ingest.start_ingest(broken, feed.lake.stream("other"), feed.lake.checkpoint("other"), interval="1 second")
+    with pytest.raises(StreamingQueryException):
+        list(progress.batches(query, idle_seconds=30))
