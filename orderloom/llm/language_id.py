@@ -74,7 +74,11 @@ def has_letter(texts: Texts) -> np.ndarray:
 
 @dataclass(frozen=True)
 class LanguageModel:
-    """``table`` has the embeddings of each hash row: a text's logits are their mean times ``weights`` plus ``bias``."""
+    """``table`` has a vector for each hash row: a text's logits are their mean times ``weights`` plus ``bias``.
+
+    The vectors are embeddings, or logits where languages are fewer than an
+    embedding is wide: subwords of a slice of text then take less memory.
+    """
 
     languages: list[str]
     table: np.ndarray
@@ -142,6 +146,8 @@ def train(features: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, lan
                 square += g * g
                 value -= 0.3 * (1 - epoch / epochs) * g / np.sqrt(square)
     table, weights, bias = (x.astype(np.float64) for x in (embeddings, weights, bias))
+    if k <= WIDTH:
+        table, weights = table @ weights, np.eye(k)
     if not len(apart):
         return LanguageModel(languages, table, weights, bias)
     logits = np.concatenate([means(apart[i : i + batch]) @ table @ weights + bias for i in range(0, len(apart), batch)])
