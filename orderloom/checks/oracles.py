@@ -477,6 +477,7 @@ _BODIES = {
         UNION ALL SELECT 'accepted', count(*) FROM ({_SENT}) WHERE status = 'O'
         UNION ALL SELECT 'rejected', count(*) FROM ({_SENT}) WHERE status <> 'O'""",
     "stream_orders_silver": _REFINED,
+    "stream_orders_segments": _REFINED,
     "publish_stream_table": _REFINED,
     "latest_orders_preview": f"{_REFINED} ORDER BY order_id DESC LIMIT 20",
     "incremental_run": _union(

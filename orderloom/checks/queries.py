@@ -45,6 +45,7 @@ from orderloom.streaming.ingest import (
 from orderloom.streaming.publish import latest_orders, publish_orders
 from orderloom.streaming.progress import batches
 from orderloom.streaming.refine import refined_orders, start_refine
+from orderloom.streaming.segments import SegmentTable, refine_new
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -608,6 +609,18 @@ def stream_orders_silver(spark, sf_dir):
     return silver.drop("ingestion_timestamp", "silver_load_timestamp")
 
 
+@query
+def stream_orders_segments(spark, sf_dir):
+    """Every order arrives twice; lots of files become segments, which are folded in pairs."""
+    events = _order_events(spark, sf_dir)
+    lake = _ingested(spark, events.unionAll(events), "segments")
+    table = SegmentTable(f"{lake.database}.orders", lake.layer("segments"), KEY_TYPE, fan=2)
+    for _ in range(2):
+        refine_new(spark, lake.stream("bronze"), table, max_files=4)
+    found = spark.table(table.name).drop("ingestion_timestamp", "silver_load_timestamp")
+    return _finished(spark, lake, found)
+
+
 @query
 def publish_stream_table(spark, sf_dir):
     lake = _refined(spark, sf_dir, "stream-table")
