@@ -446,6 +446,12 @@ _BODIES = {
             for name, sql in _reports("p_base", "p_orders").items()
         )
     ),
+    "colocated_reports": _union(
+        *(
+            _fingerprint(name, f"({sql})", _REPORT_COLUMNS[name].split())
+            for name, sql in _CLEANED_REPORTS.items()
+        )
+    ),
     "full_load_run": _union(
         *(_count(f"bronze/{t}", f"raw_{t}") for t in _TABLES),
         *(_count(f"silver/{t}", f"s_{t}") for t in _TABLES),

@@ -77,7 +77,11 @@ class KeyProfile:
 
 @dataclass(frozen=True)
 class SalesStar:
-    """The six curated tables that reports are made from."""
+    """The six curated tables that reports are made from.
+
+    What a caller knows of their keys already (``known_dimensions``, ``order_loads``,
+    ``line_loads``) is not looked up again.
+    """
 
     order_details: DataFrame
     orders: DataFrame
@@ -86,6 +90,9 @@ class SalesStar:
     employees: DataFrame
     shippers: DataFrame
     policy: SkewPolicy = field(default_factory=SkewPolicy)
+    known_dimensions: dict[str, KeyProfile] | None = None
+    order_loads: KeyLoads | None = None
+    line_loads: KeyLoads | None = None
 
     @classmethod
     def of(cls, tables: dict[str, DataFrame], policy: SkewPolicy | None = None) -> SalesStar:
@@ -98,6 +105,8 @@ class SalesStar:
 
         The heavy ones among them are looked up only where there are repeats.
         """
+        if self.known_dimensions is not None:
+            return self.known_dimensions
         repeats = [
             _repeated_keys(getattr(self, name), key).select(
                 F.lit(name).alias("name"),
@@ -123,11 +132,15 @@ class SalesStar:
     @cached_property
     def loads_in_orders(self) -> KeyLoads:
         """Order ids that many order headers share."""
+        if self.order_loads is not None:
+            return self.order_loads
         return key_loads(self.orders, "order_id", self.policy)
 
     @cached_property
     def loads_in_lines(self) -> KeyLoads:
         """Order ids with many lines."""
+        if self.line_loads is not None:
+            return self.line_loads
         return key_loads(self.order_details, "order_id", self.policy)
 
     def _heavy(self, table: str, key: str) -> list:
