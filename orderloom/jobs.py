@@ -27,6 +27,7 @@ from orderloom.plans.runs import (
     publish_stream,
     run_full_load,
     run_incremental,
+    run_incremental_segments,
 )
 from orderloom.sources.events import file_events, kafka_events
 from orderloom.sources.relational import RangeSplit, TableReader, jdbc_reader
@@ -34,6 +35,7 @@ from orderloom.streaming.ingest import start_ingest
 from orderloom.streaming.progress import batches
 from orderloom.streaming.publish import latest_orders
 from orderloom.streaming.refine import start_refine
+from orderloom.streaming.segments import refine_new
 
 log = logging.getLogger(__name__)
 
@@ -66,8 +68,18 @@ def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument(
         "--stop-after-idle", type=float, metavar="SECONDS", help="end an interval run without new data"
     )
-    parser.add_argument("--max-files", help="files per micro-batch of the refinement")
+    parser.add_argument("--max-files", help="files per micro-batch (or segment) of the refinement")
+    parser.add_argument(
+        "--buckets", type=int, help="deal lines and orders into buckets of their order id before gold"
+    )
+    parser.add_argument(
+        "--segments",
+        action="store_true",
+        help="refine or incremental: without state, into segments that are folded (drains and stops)",
+    )
     args = parser.parse_args(argv)
+    if args.segments and (args.job not in ("refine", "incremental") or args.interval):
+        parser.error("--segments is for refine and incremental, without --interval")
     if args.job in ("bronze", "full-load") and not args.jdbc_url:
         parser.error(f"{args.job} needs --jdbc-url")
     if args.job in ("ingest", "incremental") and not (args.kafka_servers or args.events_folder):
@@ -89,9 +101,9 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     elif args.job == "silver":
         log.info("rows: %s", build_silver(spark, lake))
     elif args.job == "gold":
-        log.info("rows: %s", build_gold(spark, lake))
+        log.info("rows: %s", build_gold(spark, lake, buckets=args.buckets))
     elif args.job == "full-load":
-        run_full_load(spark, _source(spark, args), lake)
+        run_full_load(spark, _source(spark, args), lake, buckets=args.buckets)
     elif args.job == "ingest":
         query = start_ingest(
             _events(spark, args),
@@ -101,6 +113,12 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
             lake.key_type,
         )
         _follow(query, args)
+    elif args.segments:
+        lot = {"max_files": int(args.max_files)} if args.max_files else {}
+        if args.job == "refine":
+            log.info("new: %d", refine_new(spark, lake.stream("bronze"), lake.segments, **lot))
+        else:
+            run_incremental_segments(spark, _events(spark, args), lake, **lot)
     elif args.job == "refine":
         query = start_refine(
             spark,
@@ -116,7 +134,9 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         publish_stream(spark, lake)
     else:
         run_incremental(spark, _events(spark, args), lake, limits)
-    if args.job in ("publish", "incremental"):
+    if args.segments:
+        latest_orders(spark, lake.segments.name).show(truncate=False)
+    elif args.job in ("publish", "incremental"):
         latest_orders(spark, lake.stream_table).show(truncate=False)
     elif args.job in ("silver", "gold", "full-load"):
         spark.sql(f"SHOW TABLES IN {lake.database}").show(truncate=False)

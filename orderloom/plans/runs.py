@@ -17,6 +17,7 @@ from orderloom import catalog
 from orderloom.operators.audit import require_rows
 from orderloom.operators.skew import SkewPolicy
 from orderloom.operators.star import SalesStar
+from orderloom.plans.colocated import colocated_totals, deal_by_order
 from orderloom.plans.gold import REPORTS, Totals
 from orderloom.plans.silver import SILVER_PLANS
 from orderloom.schemas import TABLES
@@ -29,6 +30,7 @@ from orderloom.sources.relational import TableReader
 from orderloom.streaming.ingest import start_ingest
 from orderloom.streaming.publish import publish_orders
 from orderloom.streaming.refine import start_refine
+from orderloom.streaming.segments import SegmentTable, refine_new
 
 log = logging.getLogger(__name__)
 
@@ -54,6 +56,13 @@ class Lakehouse:
     def stream_table(self) -> str:
         return f"{self.database}.orders_stream"
 
+    @property
+    def segments(self) -> SegmentTable:
+        """Refined orders as segments; readers use the view that it names."""
+        return SegmentTable(
+            f"{self.database}.orders_refined", f"{self.layer('silver')}/orders_segments", self.key_type
+        )
+
 
 def load_bronze(
     read: TableReader, lake: Lakehouse, tables: Iterable[str] = TABLES
@@ -73,38 +82,52 @@ def build_silver(spark: SparkSession, lake: Lakehouse) -> dict[str, int]:
 
 
 def build_gold(
-    spark: SparkSession, lake: Lakehouse, policy: SkewPolicy | None = None
+    spark: SparkSession,
+    lake: Lakehouse,
+    policy: SkewPolicy | None = None,
+    buckets: int | None = None,
 ) -> dict[str, int]:
     """All reports as tables.
 
     The two pre-aggregations are written once to the shared scratch folder:
     order lines are read twice in all, not once per report, and a lost
-    executor does not lose them.
+    executor does not lose them. With ``buckets``, lines and headers are first
+    dealt into as many buckets of their order id, in tables of the database that
+    later work by order reads without a shuffle.
     """
-    totals = write_totals(spark, SalesStar.of(read_catalog(spark, lake.database), policy))
+    silver = read_catalog(spark, lake.database)
+    if buckets:
+        deal_by_order(spark, silver, lake.database, buckets, policy)
+        plan = colocated_totals(spark, lake.database, silver, policy)
+    else:
+        plan = Totals(SalesStar.of(silver, policy))
+    totals = write_totals(spark, plan)
     reports = {name: report(totals, ordered=False) for name, report in REPORTS.items()}
     return publish_all(reports, lake.database, lake.layer("gold"))
 
 
-def write_totals(spark: SparkSession, star: SalesStar) -> Totals:
-    plan = Totals(star)
+def write_totals(spark: SparkSession, plan: Totals) -> Totals:
     folder = new_scratch(spark, "sales-totals")
     totals = {"by_order": plan.by_order, "by_product": plan.by_product}
     files = in_parallel(
         spark, {name: partial(written, spark, df, f"{folder}/{name}") for name, df in totals.items()}
     )
-    return Totals(star, files["by_order"], files["by_product"])
+    return Totals(plan.star, files["by_order"], files["by_product"])
 
 
 def run_full_load(
-    spark: SparkSession, read: TableReader, lake: Lakehouse, policy: SkewPolicy | None = None
+    spark: SparkSession,
+    read: TableReader,
+    lake: Lakehouse,
+    policy: SkewPolicy | None = None,
+    buckets: int | None = None,
 ) -> dict[str, int]:
     """Source → bronze → silver → gold; row counts by ``layer/table``."""
     counts: dict[str, int] = {}
     steps = {
         "bronze": lambda: load_bronze(read, lake),
         "silver": lambda: build_silver(spark, lake),
-        "gold": lambda: build_gold(spark, lake, policy),
+        "gold": lambda: build_gold(spark, lake, policy, buckets),
     }
     for layer, step in steps.items():
         written_rows = {f"{layer}/{name}": n for name, n in step().items()}
@@ -140,6 +163,24 @@ def run_incremental(
     return publish_stream(spark, lake)
 
 
+def run_incremental_segments(
+    spark: SparkSession, events: DataFrame, lake: Lakehouse, max_files: int = 10_000
+) -> int:
+    """Ingest what has arrived and refine it into segments; orders in their view.
+
+    The view is what readers use: there is no copy to publish, and no state. Not to
+    be mixed with ``run_incremental`` on one lakehouse: each keeps its own orders.
+    """
+    start_ingest(
+        events, lake.stream("bronze"), lake.checkpoint("ingest"), key_type=lake.key_type
+    ).awaitTermination()
+    added = refine_new(spark, lake.stream("bronze"), lake.segments, max_files)
+    n_rows = spark.table(lake.segments.name).count()
+    require_rows({lake.segments.name: n_rows})
+    log.info("%s: %d rows, %d of them new", lake.segments.name, n_rows, added)
+    return n_rows
+
+
 def publish_stream(spark: SparkSession, lake: Lakehouse) -> int:
     """Refined orders as a table; returns its row count."""
     catalog.ensure_database(spark, lake.database)

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from orderloom.catalog import ensure_database
 from orderloom.functions import upper_trimmed
 from orderloom.operators.audit import counted
 from orderloom.streaming.ingest import accepted_orders, landing_schema
@@ -37,13 +38,13 @@ c = F.col
 
 _ACCEPTED_FOLDER = "/accepted=true/"
 _NAMED = re.compile(r"'(\d+-[0-9a-f]{32})'")
-# Measured in memory: an id of a broadcast hash table, with what surrounds it.
+# Assumed, on the safe side: an id in a broadcast hash table, with what surrounds it.
 _BYTES_PER_ID = 64
 
 
 @dataclass(frozen=True)
 class SegmentTable:
-    """A view ``name``, the table of its segments, and the folder that holds both.
+    """A view ``name`` (``database.view``), the table of its segments, and the folder that holds both.
 
     ``fan``: segments of a tier that are folded into one. ``broadcast_bytes``: the ids
     of a run are sent to all tasks up to this size, and shuffled beyond it.
@@ -72,7 +73,8 @@ class SegmentTable:
 
 
 def ensure_segments(spark: SparkSession, table: SegmentTable) -> None:
-    """Table and view, if they are not there yet."""
+    """Database, table and view, if they are not there yet."""
+    ensure_database(spark, table.name.rsplit(".", 1)[0])
     columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in table.schema)
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table.parts} ({columns}, segment STRING) USING parquet "
@@ -141,7 +143,8 @@ def known_ids(spark: SparkSession, table: SegmentTable, ids: DataFrame) -> DataF
     Only the id column is read, and only row groups in the span of ``ids``: folded
     segments are sorted, so of rising ids nearly all history is left out. The
     history is not shuffled unless ``ids`` are too many to be sent to all tasks;
-    Spark then thins it out with a bloom filter of ``ids`` where that pays.
+    whether it is then thinned out by a bloom filter of ``ids`` first is left to
+    Spark's own settings.
     """
     span = ids.agg(F.count(F.lit(1)).alias("n"), F.min(KEY).alias("lo"), F.max(KEY).alias("hi")).first()
     if not span["n"]:

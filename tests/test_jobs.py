@@ -15,10 +15,11 @@ from orderloom.sources.sample_tables import raw_tables
 
 
 def test_arguments_are_checked(capsys):
-    for missing in (["full-load"], ["ingest"], ["nothing"]):
+    for missing in (["full-load"], ["ingest"], ["nothing"], ["publish", "--segments"]):
         with pytest.raises(SystemExit):
             jobs.arguments([*missing, "--root", "r", "--database", "d"])
-    assert "--jdbc-url" in capsys.readouterr().err
+    told = capsys.readouterr().err
+    assert "--jdbc-url" in told and "--segments is for" in told
 
 
 def test_split():
@@ -45,7 +46,12 @@ def test_silver_and_gold(spark, sf_dir, job):
     job("gold")
     tables = catalog.list_tables(spark, job.lake.database)
     assert len(tables) == 14
-    assert spark.table(f"{job.lake.database}.report_kpi_summary").count() == 1
+    kpi = spark.table(f"{job.lake.database}.report_kpi_summary").collect()
+    assert len(kpi) == 1
+    job("gold", "--buckets", "4")
+    assert spark.table(f"{job.lake.database}.report_kpi_summary").collect() == kpi
+    dealt = spark.table(f"{job.lake.database}.orders_by_order").count()
+    assert dealt == spark.table(f"{job.lake.database}.silver_orders").count()
 
 
 def test_stream_jobs_one_by_one_and_together(spark, sf_dir, job, tmp_path):
@@ -61,3 +67,14 @@ def test_stream_jobs_one_by_one_and_together(spark, sf_dir, job, tmp_path):
     assert spark.table(job.lake.stream_table).count() == n_events
     job("incremental", *source)
     assert spark.table(job.lake.stream_table).count() == n_events
+
+
+def test_segments_together_and_refined_alone(spark, sf_dir, job, tmp_path):
+    arrivals = str(tmp_path / "arrivals")
+    n_events = replace_parquet(_order_events(spark, sf_dir), arrivals)
+    source = ["--events-folder", arrivals]
+    for _ in range(2):
+        job("incremental", "--segments", "--max-files", "4", *source)
+        assert spark.table(job.lake.segments.name).count() == n_events
+    job("refine", "--segments")
+    assert spark.table(job.lake.segments.name).count() == n_events
