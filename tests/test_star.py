@@ -193,6 +193,33 @@ def test_rows_of_the_base_are_counted_without_it(tables, policy):
     assert base_sales_count(empty).first()["n_rows"] == 0
 
 
+@pytest.mark.parametrize("policy", POLICIES)
+def test_base_per_order_equals_its_grouping(tables, policy):
+    star = SalesStar.of(tables, POLICIES[policy])
+    grouped = base_sales(star).groupBy("order_id").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("net_sales").alias("net_sales")
+    )
+    found = base_sales(star, per_order=True)
+    assert found.dtypes == grouped.dtypes
+    assert rows_of(found) == rows_of(grouped)
+
+
+def test_base_per_order_makes_no_pairs(spark, tables):
+    """A hundred thousand lines and as many headers under one id would make 10^10 rows."""
+    n = 100_000
+    lines = spark.range(n).selectExpr(
+        "0 order_id", "1 product_id", "2.00BD unit_price", "1 quantity", "0.00BD discount"
+    )
+    headers = spark.range(n).selectExpr(
+        "0 order_id", "cast(id as string) customer_id", "1 employee_id", "1 shipper_id",
+        "date'2024-01-01' order_date", "'PENDING' delivery_status", "1.00BD freight",
+    )
+    unique = {name: tables[name].dropDuplicates([key]) for name, key in DIMENSIONS.items()}
+    star = SalesStar.of({"order_details": lines, "orders": headers} | unique)
+    found = base_sales(star, per_order=True).first()
+    assert tuple(found) == (0, n * n, Decimal(2 * n * n))
+
+
 def test_fixture_is_as_dirty_as_it_claims(tables):
     star = SalesStar.of(tables, POLICIES["heavy"])
     assert all(star.dimensions[name].repeated for name in DIMENSIONS)
