@@ -10,6 +10,7 @@ import pytest
 import __spark_entry__ as driver
 from orderloom.checks.oracles import ORACLES
 from orderloom.checks.queries import QUERIES
+from orderloom.sources.sample_tables import raw_tables
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings "
@@ -79,3 +80,12 @@ def test_query_matches_sql(spark, sql, sf_dir, name):
 
 def test_entry(spark):
     assert driver.entry(spark).count() == 10
+
+
+def test_the_bronze_load_returns_every_row_it_wrote(spark, sf_dir):
+    raw = raw_tables(spark, sf_dir)
+    found = QUERIES["full_load_bronze"](spark, sf_dir)
+    counts = {r["table_name"]: r["count"] for r in found.groupBy("table_name").count().collect()}
+    assert counts == {t: df.count() for t, df in raw.items()}
+    lines = found.where("table_name = 'order_details'").select(raw["order_details"].columns)
+    assert lines.exceptAll(raw["order_details"]).isEmpty()
