@@ -8,8 +8,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+from orderloom.checks import queries
 from orderloom.checks.oracles import ORACLES
 from orderloom.checks.queries import QUERIES
+from orderloom.plans.runs import write_totals
 from orderloom.sources.sample_tables import raw_tables
 
 TABLES = (
@@ -89,3 +91,16 @@ def test_the_bronze_load_returns_every_row_it_wrote(spark, sf_dir):
     assert counts == {t: df.count() for t, df in raw.items()}
     lines = found.where("table_name = 'order_details'").select(raw["order_details"].columns)
     assert lines.exceptAll(raw["order_details"]).isEmpty()
+
+
+def test_reports_on_cleaned_tables_clean_lines_once(spark, sf_dir, monkeypatch):
+    """What a report counts, profiles and reads are files, not the cleaning plan over and over."""
+    def plan(df):
+        return df._jdf.queryExecution().optimizedPlan().toString()
+
+    for name in ("silver_report_kpi_summary", "silver_report_top_products", "silver_report_top_customers"):
+        assert "RLIKE" not in plan(QUERIES[name](spark, sf_dir))
+    seen = []
+    monkeypatch.setattr(queries, "write_totals", lambda s, plan: seen.append(plan) or write_totals(s, plan))
+    QUERIES["colocated_reports"](spark, sf_dir)
+    assert len(seen) == 1
