@@ -64,6 +64,13 @@ def _endings(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarr
     return ((mixed >> np.uint64(32)) % np.uint64(ENDINGS)).astype(np.int64)
 
 
+def _endings_of_distinct(words: Words) -> np.ndarray:
+    """Class by ending per different word, taken where it occurs last."""
+    some = np.zeros(len(words.distinct_array), np.int64)
+    some[words.codes] = np.arange(len(words.codes))
+    return _endings(words.data, words.starts[some], words.ends[some])
+
+
 def count_words(documents: DataFrame) -> DataFrame:
     """word, ending and n over all ``documents``, each with one end."""
 
@@ -73,8 +80,7 @@ def count_words(documents: DataFrame) -> DataFrame:
                 words = Texts.of(piece.column("text")).lower().words(SPACED)
                 distinct = [*words.distinct, END]
                 n = np.append(np.bincount(words.codes, minlength=len(distinct) - 1), len(piece))
-                endings = np.full(len(distinct), ending(END))
-                endings[words.codes] = _endings(words.data, words.starts, words.ends)
+                endings = np.append(_endings_of_distinct(words), ending(END)) if len(words.codes) else np.array([ending(END)])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(distinct, pa.binary()), pa.array(endings.astype(np.int32)), pa.array(n.astype(np.int64))],
                     names=["word", "ending", "n"],
@@ -103,9 +109,9 @@ class Classes:
         out = np.full(at[-1], _START, np.int64)
         out[at[1:] - 1] = 0
         if len(words.starts):
-            own = self.number(words)[words.codes]
-            classes = np.where(own < 0, OWN + _endings(words.data, words.starts, words.ends), own)
-            out[np.arange(len(own)) + 3 * words.text_of_word() + 2] = classes
+            own = self.number(words)
+            classes = np.where(own < 0, OWN + _endings_of_distinct(words), own)[words.codes]
+            out[np.arange(len(classes)) + 3 * words.text_of_word() + 2] = classes
         return out
 
 
@@ -145,9 +151,11 @@ class Net:
         a, b, t = p["context"][near], p["context"][far], p["target"][word]
         predicted = a @ p["near"] + b @ p["far"]
         true = np.einsum("ij,ij->i", predicted, t) + p["bias"][word] - log_rate[word]
-        false = predicted @ p["target"][noise].T + (p["bias"] - log_rate)[noise]
+        false = predicted @ p["target"][noise].T
+        false += (p["bias"] - log_rate)[noise]
         d_true = (_sigmoid(true) - 1) / len(word)
-        d_false = _sigmoid(false) / len(word)
+        d_false = _sigmoid(false)
+        d_false /= len(word)
         d_predicted = d_true[:, None] * t + d_false @ p["target"][noise]
         rows = np.concatenate([d_true[:, None] * predicted, d_false.T @ predicted])
         bias = np.bincount(word, d_true, CLASSES) + np.bincount(noise, d_false.sum(axis=0), CLASSES)
@@ -193,13 +201,18 @@ class Net:
 
 def _summed(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Different rows, and the sum of the values of each."""
-    order = np.argsort(rows, kind="stable")
+    # Classes fit 16 bits, which are sorted by radix.
+    order = np.argsort(rows.astype(np.int16), kind="stable")
     begin = np.flatnonzero(np.diff(rows[order], prepend=-1))
     return rows[order[begin]], np.add.reduceat(values[order], begin, axis=0)
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+    out = np.clip(x, -30, 30)
+    np.negative(out, out=out)
+    np.exp(out, out=out)
+    out += 1
+    return np.reciprocal(out, out=out)
 
 
 def _classes_of(batches: Iterator[pa.RecordBatch], classes: Classes) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:

@@ -253,3 +253,14 @@ def test_quality_reads_one_text_of_an_id_and_long_documents(spark, monkeypatch):
     chosen = quality_crf.sample_lines(2000)
     assert (chosen[0], chosen[-1], len(set(chosen.tolist()))) == (0, 1999, 500)
     assert quality_crf.sample_lines(500).tolist() == list(range(500))
+
+
+def test_endings_are_taken_once_per_different_word():
+    """A word's class does not depend on where, or how often, it occurs."""
+    texts = Texts.of(pa.array(["ab abc ab", None, "xabc abc ab q"], pa.large_string())).lower()
+    words = texts.words(SPACED)
+    found = neural_lm._endings_of_distinct(words)
+    assert list(found) == [neural_lm.ending(w) for w in words.distinct]
+    rows = np.array([5, 2, 5, 2047, 2], np.int64)
+    where, total = neural_lm._summed(rows, np.arange(10, dtype=np.float32).reshape(5, 2))
+    assert list(where) == [2, 5, 2047] and total.tolist() == [[10, 12], [4, 6], [6, 7]]
