@@ -32,10 +32,14 @@ from orderloom.llm.spread import KeyFilter, attach, most_frequent
 from orderloom.scratch import new_scratch, written
 
 SHINGLE, PERCENT = 5, 75
-#: Shingles that are ranked by frequency: the most frequent ones. Others count as single or shared.
+#: Shingles that are ranked by frequency: the most frequent ones. Of others, filters tell the power of two.
 FREQUENT = 1 << 17
 #: Shingles are counted by so many bits of their hash, in stretches of so many at once.
-COUNT_BITS, _STRETCH = 36, 1 << 20
+COUNT_BITS, _STRETCH = 36, 1 << 21
+#: The first bits of a hash say which part of the counts it belongs to.
+_PART_BITS = 12
+#: Bits of a filter of shingles that occur four times or more often.
+_LEVEL_BITS = 29
 #: Bytes of text that are hashed at once: a word needs about a hundred bytes while it is.
 SLICE_BYTES = 3 << 20
 
@@ -45,7 +49,8 @@ class Limits:
     """A region of at most ``hashes`` and ``classes`` is joined in one task.
 
     A larger one has about ``pivots`` pivots in its first round and twice as many
-    in each of ``rounds``; pivots of ``pivot_bytes`` are broadcast at once.
+    in each of ``rounds``; pivots of ``pivot_bytes`` are broadcast at once. The
+    regions of at most ``known`` classes are known to all tasks that hash their sets.
     """
 
     hashes: int = 1 << 20
@@ -53,6 +58,7 @@ class Limits:
     pivots: int = 16
     rounds: int = 6
     pivot_bytes: int = 32 << 20
+    known: int = 1 << 22
 
 
 _MAY_GO = "_may_go"
@@ -127,42 +133,115 @@ def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Order:
-    """A common order of all shingles: single ones, shared ones, frequent ones by frequency; then by hash.
+    """A common order of all shingles: by the power of two in their frequency, then by hash.
 
-    Both tables have a bounded size. They are exact enough to keep most of what
+    Filter k holds what occurs 2 ** (k + 1) times or more often; all tables have
+    a bounded size. They are exact enough to keep most of what
     documents share by chance out of their first shingles; the result is the
     same for any order.
     """
 
-    shared: KeyFilter
+    filters: tuple[KeyFilter, ...]
     frequent: np.ndarray
     rank: np.ndarray
 
     def level(self, value: np.ndarray) -> np.ndarray:
         key = value & ((1 << COUNT_BITS) - 1)
-        level = self.shared.may_hold(key).astype(np.int64)
+        level = np.zeros(len(key), np.int64)
+        left = np.arange(len(key))
+        for held in self.filters:
+            left = left[held.may_hold(key[left])]
+            level[left] += 1
         if len(self.frequent):
             place = np.minimum(np.searchsorted(self.frequent, key), len(self.frequent) - 1)
             level = np.where(self.frequent[place] == key, self.rank[place], level)
         return level
 
 
+def varints(values: np.ndarray) -> np.ndarray:
+    """Numbers as bytes of seven bits each, the lowest first; the last byte of a number is below 128."""
+    values = values.astype(np.uint64)
+    size, most = np.ones(len(values), np.int64), int(values.max(initial=0))
+    for bits in range(7, most.bit_length(), 7):
+        size += values >= np.uint64(1 << bits)
+    first = np.cumsum(size) - size
+    out = np.empty(int(size.sum()), np.uint8)
+    for j in range(int(size.max(initial=0))):
+        some = size > j
+        more = (size[some] > j + 1).astype(np.uint8) << 7
+        out[first[some] + j] = (values[some] >> np.uint64(7 * j)).astype(np.uint8) & 127 | more
+    return out
+
+
+def from_varints(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers in ``data`` and the place behind each."""
+    ends = np.flatnonzero(data < 128) + 1
+    size = np.diff(ends, prepend=0)
+    first, values = ends - size, np.zeros(len(ends), np.int64)
+    for j in range(int(size.max(initial=0))):
+        some = size > j
+        values[some] |= (data[first[some] + j] & 127).astype(np.int64) << (7 * j)
+    return values, ends
+
+
+def _binaries(data: np.ndarray, at: np.ndarray) -> pa.Array:
+    return pa.Array.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(data)])
+
+
+def _bytes(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    column = column.cast(pa.large_binary()).combine_chunks()
+    column = pa.concat_arrays(column.chunks) if isinstance(column, pa.ChunkedArray) else column
+    _, offsets, data = column.buffers()
+    at = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(data, np.uint8)[at[0] : at[-1]], at - at[0]
+
+
+def packed_counts(key: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    """Different keys in order and their counts, a row for each part: steps from key to key take two or three bytes."""
+    part = key >> (COUNT_BITS - _PART_BITS)
+    starts = np.flatnonzero(np.append(True, part[1:] != part[:-1]))[: len(key)]
+    step = np.diff(key, prepend=0)
+    step[starts] = key[starts] - (part[starts] << (COUNT_BITS - _PART_BITS))
+    columns = []
+    for numbers in (step, n):
+        data = varints(numbers)
+        ends = np.append(0, np.flatnonzero(data < 128) + 1)
+        columns.append(_binaries(data, ends[np.append(starts, len(key))]))
+    return pa.RecordBatch.from_arrays([pa.array(part[starts], pa.int64()), *columns], names=["part", "steps", "counts"])
+
+
+def summed_counts(part: int, rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of one part that all its rows together count more than once, in order, and how often."""
+    data, at = _bytes(rows.column("steps"))
+    step, ends = from_varints(data)
+    first = np.searchsorted(ends, at[:-1], side="right")
+    upto = np.cumsum(step)
+    before = upto[first] - step[first]
+    key = upto - np.repeat(before, np.diff(np.append(first, len(step))))
+    n = from_varints(_bytes(rows.column("counts"))[0])[0]
+    order = np.argsort(key, kind="stable")
+    key, n = key[order], n[order]
+    starts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+    n = np.add.reduceat(n, starts)
+    several = n > 1
+    return key[starts][several] + (part << (COUNT_BITS - _PART_BITS)), n[several]
+
+
 def shingle_order(documents: DataFrame, width: int, path: str) -> Order:
     """Count all shingles of all texts; texts that a task meets again right away count once."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, seen = [], 0, set()
 
         def counted() -> pa.RecordBatch:
-            key, n = np.unique(np.concatenate(held) & ((1 << COUNT_BITS) - 1), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(key), pa.array(n)], names=["key", "n"])
+            return packed_counts(*np.unique(np.concatenate(held) & ((1 << COUNT_BITS) - 1), return_counts=True))
 
         for batch in batches:
             for piece in pieces(batch, SLICE_BYTES):
                 value, at = hashed_sets(Texts.of(piece.column("text")), width)
                 for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
                     kind = xxhash.xxh3_64_intdigest(value[a:b])
-                    if kind not in seen:
+                    if b > a and kind not in seen:
                         seen.add(kind)
                         held.append(value[a:b])
                         size += b - a
@@ -172,17 +251,48 @@ def shingle_order(documents: DataFrame, width: int, path: str) -> Order:
         if held:
             yield counted()
 
-    # Nearly all keys are different: they are dealt out as they are, and only then put together.
-    counts = map_batches(documents.select("text"), run, "key bigint, n bigint").repartition("key")
-    counts = counts.groupBy("key").agg(F.sum("n").alias("n"))
-    shared = written(documents.sparkSession, counts.where("n > 1"), path)
-    frequent = most_frequent(shared, FREQUENT).toArrow().sort_by("key")
-    rank = np.log2(frequent.column("n").to_numpy()).astype(np.int64) + 1
-    return Order(KeyFilter.of(shared, "key", shared.count()), frequent.column("key").to_numpy(), rank)
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
+        now: int | None = None
 
+        def summed() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in summed_counts(now, pa.concat_tables(held))], names=["key", "n"])
 
-def first_shingles(documents: DataFrame, order: Order, percent: int, width: int) -> DataFrame:
-    """doc_id, n_shingles, class and ``first``: the first shingles of the set, without those that are single.
+        for batch in batches:
+            part = batch.column("part").to_numpy()
+            bounds = np.append(np.flatnonzero(np.append(True, part[1:] != part[:-1])), len(part)) if len(part) else []
+            for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+                if held and part[a] != now:
+                    yield summed()
+                    held = []
+                now = int(part[a])
+                held.append(pa.Table.from_batches([batch.slice(a, b - a)]))
+        if held:
+            yield summed()
+
+    packed = map_batches(documents.select("text"), count, "part bigint, steps binary, counts binary")
+    dealt = packed.repartition("part").sortWithinPartitions("part")
+    shared = written(documents.sparkSession, map_batches(dealt, add_up, "key bigint, n bigint"), path)
+    frequent = most_frequent(shared, FREQUENT).toArrow().sort_by("key")
+    # The place of the highest bit of n: the power of two in it.
+    power = F.length(F.bin("n")) - 1
+    of_power = {r["power"]: r["n"] for r in shared.groupBy(power.alias("power")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    filters: list[KeyFilter] = []
+    for k in range(1, max(of_power, default=1) + 1):
+        n = sum(m for p, m in of_power.items() if p >= k)
+        # What is left is among the most frequent.
+        if filters and n <= FREQUENT:
+            break
+        keys = shared.where(F.col("n") >= 1 << k)
+        filters.append(KeyFilter.of(keys, "key", n, _LEVEL_BITS if filters else KeyFilter.MOST_BITS))
+    rank = np.log2(frequent.column("n").to_numpy()).astype(np.int64)
+    return Order(tuple(filters), frequent.column("key").to_numpy(), rank)
+
+
+def first_shingles(
+    documents: DataFrame, order: Order, percent: int, width: int, keep: Sequence[str] = ("doc_id",)
+) -> DataFrame:
+    """Columns ``keep``, n_shingles, class and ``first``: the first shingles of the set, without those that are single.
 
     Sets that reach the threshold share at least percent / 100 of either, so the
     smallest shingle that they share is no later than this in both.
@@ -203,7 +313,7 @@ def first_shingles(documents: DataFrame, order: Order, percent: int, width: int)
         first = pa.ListArray.from_arrays(pa.array(first_at, pa.int32()), pa.array(value[chosen]))
         return [pa.array(n), _classes(value, at), first]
 
-    return map_texts(documents, work, "n_shingles bigint, class bigint, first array<bigint>", most=SLICE_BYTES)
+    return map_texts(documents, work, "n_shingles bigint, class bigint, first array<bigint>", keep, most=SLICE_BYTES)
 
 
 class Region:
@@ -293,7 +403,7 @@ def join_regions(regions: DataFrame, percent: int) -> DataFrame:
     """Links (a, b: classes) of all regions, each joined in one task.
 
     ``regions``: region, class, grp (classes with one grp are connected already)
-    and shingles; a region is small enough for a task.
+    and shingles; a region is small enough for a task. Repeated rows do no harm.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -317,6 +427,11 @@ def join_regions(regions: DataFrame, percent: int) -> DataFrame:
 
 
 def _links(table: pa.Table, percent: int) -> pa.RecordBatch:
+    region, kind = (table.column(c).to_numpy() for c in ("region", "class"))
+    # A set may have come from several documents.
+    new = np.append(True, (region[1:] != region[:-1]) | (kind[1:] != kind[:-1]))
+    if not new.all():
+        table = table.filter(pa.array(new))
     region, kind, group = (table.column(c).to_numpy() for c in ("region", "class", "grp"))
     value, at = _lists(table.column("shingles"))
     bounds = np.append(np.flatnonzero(np.append(True, region[1:] != region[:-1])), len(region))
@@ -333,8 +448,9 @@ def _links(table: pa.Table, percent: int) -> pa.RecordBatch:
 
 
 def _sizes(regions: DataFrame) -> DataFrame:
+    n = F.col("n_shingles") if "n_shingles" in regions.columns else F.size("shingles")
     return regions.groupBy("region").agg(
-        F.sum(F.size("shingles")).alias("hashes"),
+        F.sum(n).alias("hashes"),
         F.count(F.lit(1)).alias("classes"),
         F.min("grp").alias("low"),
         F.max("grp").alias("high"),
@@ -342,7 +458,10 @@ def _sizes(regions: DataFrame) -> DataFrame:
 
 
 def _by_size(regions: DataFrame, limits: Limits, path: str) -> tuple[DataFrame, DataFrame, bool]:
-    """Regions that fit a task, those that do not, and whether there are any of these; settled ones are left out."""
+    """Regions that fit a task, those that do not, and whether there are any of these; settled ones are left out.
+
+    ``regions``: region, class, grp, and either shingles or their number, n_shingles.
+    """
     spark = regions.sparkSession
     sizes = written(spark, _sizes(regions), path)
     is_large = (F.col("hashes") > limits.hashes) | (F.col("classes") > limits.classes)
@@ -476,22 +595,31 @@ def similar_groups(
     limits = limits or Limits()
     spark = documents.sparkSession
     scratch = new_scratch(spark, "jaccard")
-    order = shingle_order(documents, width, f"{scratch}/counts")
-    rows = written(spark, first_shingles(documents, order, percent, width), f"{scratch}/rows")
+    # Of equal texts one is hashed and counted; copies would make shingles common that no other set has.
+    digest = (F.xxhash64("text").alias("x"), F.xxhash64(F.lit(1), "text").alias("y"))
+    digests = written(spark, documents.select("doc_id", *digest), f"{scratch}/digests")
+    ids = digests.groupBy("x", "y").agg(F.min("doc_id").alias("id")).select("id").where("id is not null").distinct()
+    once = documents.select("doc_id", "text", *digest).where(_may_be_in(ids, "id")(F.col("doc_id"))).select("text", "x", "y")
+    order = shingle_order(once, width, f"{scratch}/counts")
+    sets = written(spark, first_shingles(once, order, percent, width, ("x", "y")), f"{scratch}/sets")
+    rows = written(spark, _with_classes(digests, sets), f"{scratch}/rows")
     # A shingle that is among the first of two different sets: they may be similar.
-    first = rows.select("class", F.explode("first").alias("shingle"))
+    first = sets.select("class", F.explode("first").alias("shingle"))
     shared = first.groupBy("shingle").agg(F.min("class").alias("pivot"), F.max("class").alias("last"))
     shared = written(spark, shared.where("pivot < last").select("shingle", "pivot"), f"{scratch}/shared")
     members = written(spark, first.distinct().join(shared, "shingle"), f"{scratch}/members")
     blocks = connected_components(members.select(F.col("class").alias("a"), F.col("pivot").alias("b")))
-    blocks = written(spark, blocks.select(F.col("node").alias("class"), F.col("component").alias("region")), f"{scratch}/blocks")
-    regions = _with_sets(documents, rows, blocks, width)
-    regions = regions.select("region", "class", F.col("class").alias("grp"), "shingles")
-    regions = written(spark, regions, f"{scratch}/regions")
-    small, large, some = _by_size(regions, limits, f"{scratch}/sizes")
+    sizes = sets.where("class is not null").groupBy("class").agg(F.first("n_shingles").alias("n_shingles"))
+    blocks = blocks.select(F.col("node").alias("class"), F.col("component").alias("region")).join(sizes, "class")
+    blocks = blocks.select("region", "class", F.col("class").alias("grp"), "n_shingles")
+    blocks = written(spark, blocks, f"{scratch}/blocks")
+    small, large, some = _by_size(blocks, limits, f"{scratch}/sizes")
+    # Sets are moved once, to the task that joins them.
+    small = _with_sets(documents, rows, written(spark, small, f"{scratch}/small"), width, limits)
     links = [written(spark, join_regions(small, percent), f"{scratch}/links")]
     if some:
         # Too much hangs together by chains: back to the shingles, once for each set of classes that share one.
+        large = written(spark, large, f"{scratch}/large")
         inside = members.join(large.select("class").distinct(), "class", "left_semi").select("shingle", "class")
         alike = inside.groupBy("shingle").agg(
             F.count(F.lit(1)).alias("n"),
@@ -500,6 +628,7 @@ def similar_groups(
         )
         one = alike.groupBy("n", "x", "y").agg(F.min("shingle").alias("shingle"))
         wide = inside.join(one.select("shingle"), "shingle", "left_semi").withColumnRenamed("shingle", "region")
+        large = _with_sets(documents, rows, large, width, limits).dropDuplicates(["class"])
         wide = wide.join(large.select("class", "grp", "shingles"), "class").select("region", "class", "grp", "shingles")
         wide = written(spark, wide, f"{scratch}/wide")
         small, large, some = _by_size(wide, limits, f"{scratch}/wide-sizes")
@@ -559,15 +688,43 @@ def one_of_each(documents: DataFrame, percent: int = PERCENT, width: int = SHING
     return stays.unionByName(once.select(*documents.columns))
 
 
-def _with_sets(documents: DataFrame, rows: DataFrame, blocks: DataFrame, width: int) -> DataFrame:
-    """class, its columns of ``blocks`` and its shingles, from one document of each class.
+def _with_classes(digests: DataFrame, sets: DataFrame) -> DataFrame:
+    """doc_id, n_shingles and class of every row of ``digests``."""
+    of_text = sets.groupBy("x", "y").agg(F.first("n_shingles").alias("n_shingles"), F.first("class").alias("class"))
+    often = digests.groupBy("x", "y").agg(F.count(F.lit(1)).alias("n"))
+    of_text = of_text.join(often, ["x", "y"])
+    return attach(digests, of_text, ["x", "y"], "n", digests.count()).select("doc_id", "n_shingles", "class")
+
 
-    Only texts of those documents are hashed again.
+def _with_sets(documents: DataFrame, rows: DataFrame, blocks: DataFrame, width: int, limits: Limits) -> DataFrame:
+    """region, class, grp and shingles of each class of ``blocks`` (a row each), at least once.
+
+    Only texts of one document of each class are hashed again. Of few classes, the
+    regions are known where texts are hashed, and sets are not moved to find them.
     """
     ids = rows.join(blocks, "class", "left_semi").groupBy("class").agg(F.min("doc_id").alias("id")).where("id is not null")
     texts = documents.select("doc_id", "text").where(_may_be_in(ids, "id")(F.col("doc_id")))
-    sets = shingle_sets(texts, width).where("class is not null").select("class", "shingles")
-    return sets.join(blocks.select("class"), "class", "left_semi").dropDuplicates(["class"]).join(blocks, "class")
+    if blocks.count() > limits.known:
+        sets = shingle_sets(texts, width).where("class is not null").select("class", "shingles")
+        sets = sets.join(blocks.select("class"), "class", "left_semi").dropDuplicates(["class"])
+        return sets.join(blocks.select("region", "class", "grp"), "class").select("region", "class", "grp", "shingles")
+    found = blocks.select("class", "region", "grp").toArrow().sort_by("class")
+    known = documents.sparkSession.sparkContext.broadcast([found.column(c).to_numpy() for c in ("class", "region", "grp")])
+
+    def work(batch: pa.RecordBatch) -> list[pa.Array]:
+        value, at = hashed_sets(Texts.of(batch.column("text")), width)
+        classes, region, grp = known.value
+        kind = _classes(value, at)
+        wanted = pc.fill_null(kind, 0).to_numpy()
+        place = np.minimum(np.searchsorted(classes, wanted), max(0, len(classes) - 1))
+        absent = classes[place] != wanted if len(classes) else np.ones(len(wanted), bool)
+        absent |= kind.is_null().to_numpy(zero_copy_only=False)
+        lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(value))
+        of_place = [pa.array(c[place], pa.int64(), mask=absent) if len(c) else pa.nulls(len(wanted), pa.int64()) for c in (region, grp)]
+        return [of_place[0], kind, of_place[1], lists]
+
+    sets = map_texts(texts, work, "region bigint, class bigint, grp bigint, shingles array<bigint>", most=SLICE_BYTES)
+    return sets.where("region is not null").drop("doc_id")
 
 
 def _may_be_in(ids: DataFrame, column: str):

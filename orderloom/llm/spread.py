@@ -55,10 +55,10 @@ class KeyFilter:
         self.mask = len(words) * 64 - 1
 
     @classmethod
-    def of(cls, keys: DataFrame, key: str, n: int | None = None) -> KeyFilter:
+    def of(cls, keys: DataFrame, key: str, n: int | None = None, most_bits: int = MOST_BITS) -> KeyFilter:
         """Of column ``key``; ``n``: its number of rows, if that is known."""
         n = keys.count() if n is None else n
-        bits = min(cls.MOST_BITS, max(cls.LEAST_BITS, (12 * n).bit_length()))
+        bits = min(most_bits, max(cls.LEAST_BITS, (12 * n).bit_length()))
         place = F.expr(f"{key} & {(1 << bits) - 1}")
         found = (
             keys.select(place.alias("place"))

@@ -4,12 +4,26 @@ import itertools
 import random
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from llm_helpers import LOWER, SCHEMA, SPACED, prose
 from pyspark.sql import functions as F
 
+from orderloom.llm import jaccard_join
 from orderloom.llm.components import connected_components
-from orderloom.llm.jaccard_join import Limits, Region, _may_be_in, one_of_each, similar_groups
+from orderloom.llm.jaccard_join import (
+    Limits,
+    Region,
+    _may_be_in,
+    from_varints,
+    one_of_each,
+    packed_counts,
+    similar_groups,
+    summed_counts,
+    varints,
+)
+from orderloom.scratch import written
 
 #: Every region with more than a few documents is too large for a task.
 TINY = Limits(hashes=600, classes=4, pivots=2, rounds=2, pivot_bytes=4000)
@@ -141,3 +155,72 @@ def test_connected_components(spark):
     result = connected_components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()
     assert {r["node"]: r["component"] for r in result} == {k: min(v) for k, v in group.items() if len(v) > 1}
     assert connected_components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def test_counts_are_packed_and_summed():
+    rng = np.random.default_rng(5)
+    numbers = np.concatenate([[0, 127, 128, 16383, 16384, 2**36 - 1], rng.integers(0, 2**36, 100)])
+    assert np.array_equal(from_varints(varints(numbers))[0], numbers)
+    lots = [np.unique(rng.integers(0, 2**36, 3000)) for _ in range(3)]
+    lots += [np.unique(np.concatenate([lots[0][::7], lots[1][::5], [0, 2**36 - 1]])) for _ in range(2)]
+    counts = [rng.integers(1, 400, len(k)) for k in lots]
+    rows = pa.Table.from_batches([packed_counts(k, n) for k, n in zip(lots, counts, strict=True)])
+    want = {}
+    for k, n in zip(lots, counts, strict=True):
+        for key, m in zip(k.tolist(), n.tolist(), strict=True):
+            want[key] = want.get(key, 0) + m
+    found = {}
+    for part in set(rows.column("part").to_pylist()):
+        key, n = summed_counts(part, rows.filter(pc.equal(rows.column("part"), part)))
+        found |= dict(zip(key.tolist(), n.tolist(), strict=True))
+    assert found == {k: n for k, n in want.items() if n > 1}
+
+
+@pytest.fixture
+def tables(monkeypatch):
+    """Rows of the tables that the join writes, by the last part of their path."""
+    sizes = {}
+
+    def and_counted(spark, df, path):
+        df = written(spark, df, path)
+        sizes[path.rpartition("/")[2]] = df.count()
+        return df
+
+    monkeypatch.setattr(jaccard_join, "written", and_counted)
+    return sizes
+
+
+def test_copies_do_not_make_shingles_common(spark, tables):
+    """Documents that have some words in common meet no more often when there are copies of all."""
+    rng = random.Random(11)
+    passage = prose(rng, 12)
+    rows = [(i, prose(rng, 40) + passage + prose(rng, 40), "", "", 0) for i in range(60)]
+    copies = [(100 * k + r[0], *r[1:]) for k in range(4) for r in rows]
+    documents = spark.createDataFrame(copies, SCHEMA).repartition(8, "doc_id")
+    assert found(documents) == expected(copies)
+    assert tables["counts"] < 100 and tables["members"] == 0 and tables["blocks"] == 0
+
+
+def test_near_copies_do_not_make_shingles_common(spark, tables):
+    """Documents that have some words in common meet no more often when there are near copies of all."""
+    rng = random.Random(12)
+    passage = prose(rng, 12)
+    rows = []
+    for i in range(30):
+        text = prose(rng, 60) + passage + prose(rng, 60)
+        rows += [(10 * i + k, text + f" ending{i} of{k} this{i}x{k}", "", "", 0) for k in range(4)]
+    documents = spark.createDataFrame(rows, SCHEMA).repartition(8, "doc_id")
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(jaccard_join, "FREQUENT", 4)
+        assert found(documents, limits=Limits(classes=16)) == expected(rows)
+    assert tables["blocks"] == 120 and "wide" not in tables
+
+
+def test_sets_that_are_moved_to_their_regions(spark):
+    rows = chains(3, 12, 8)
+    rows += [(1000 + r[0], r[1].upper(), "", "", 0) for r in rows[::3]] + [(None, *rows[0][1:]), (rows[1][0], *rows[2][1:])]
+    documents = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    assert found(documents) == expected(rows)
+    assert found(documents, limits=Limits(known=0)) == expected(rows)
+    tiny = {k: getattr(TINY, k) for k in ("hashes", "classes", "pivots", "rounds", "pivot_bytes")}
+    assert found(documents, limits=Limits(**tiny, known=0)) == expected(rows)
