@@ -209,11 +209,13 @@ def map_texts(
     keep: Sequence[str] = ("doc_id",),
     read: Sequence[str] = (),
     most: int = BATCH_BYTES,
+    where: Callable[[pa.RecordBatch], pa.Array] | None = None,
 ) -> DataFrame:
     """Columns ``keep`` of ``documents`` and those of ``schema``, one row per row.
 
     ``work`` gets batches with ``text`` and the columns ``keep`` and ``read``, at
     most ``most`` bytes of text at once, and returns the arrays of ``schema``.
+    ``where`` tells the rows that are wanted, if not all are.
     Other columns of ``documents`` are not read, whatever they are called.
     """
     keep = list(keep)
@@ -224,6 +226,7 @@ def map_texts(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            batch = batch if where is None else batch.filter(where(batch))
             for piece in pieces(batch, most):
                 kept = [piece.column(c) for c in keep]
                 arrays = [

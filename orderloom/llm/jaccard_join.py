@@ -16,7 +16,7 @@ sets are one class throughout.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -100,7 +100,12 @@ def hashed_sets(texts: Texts, width: int = SHINGLE) -> tuple[np.ndarray, np.ndar
     return value, np.searchsorted(owner, np.arange(len(n) + 1))
 
 
-def shingle_sets(documents: DataFrame, width: int = SHINGLE, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
+def shingle_sets(
+    documents: DataFrame,
+    width: int = SHINGLE,
+    keep: Sequence[str] = ("doc_id",),
+    where: Callable[[pa.RecordBatch], pa.Array] | None = None,
+) -> DataFrame:
     """Columns ``keep``, n_shingles, class (hash of the set, null if empty) and shingles (sorted hashes)."""
 
     def work(batch: pa.RecordBatch) -> list[pa.Array]:
@@ -108,7 +113,22 @@ def shingle_sets(documents: DataFrame, width: int = SHINGLE, keep: Sequence[str]
         lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(value))
         return [pa.array(np.diff(at)), _classes(value, at), lists]
 
-    return map_texts(documents, work, "n_shingles bigint, class bigint, shingles array<bigint>", keep, most=SLICE_BYTES)
+    schema = "n_shingles bigint, class bigint, shingles array<bigint>"
+    return map_texts(documents, work, schema, keep, most=SLICE_BYTES, where=where)
+
+
+def set_classes(
+    documents: DataFrame,
+    width: int = SHINGLE,
+    keep: Sequence[str] = ("doc_id",),
+    where: Callable[[pa.RecordBatch], pa.Array] | None = None,
+) -> DataFrame:
+    """Columns ``keep`` and class, as ``shingle_sets`` has them, of the rows that ``where`` wants."""
+
+    def work(batch: pa.RecordBatch) -> list[pa.Array]:
+        return [_classes(*hashed_sets(Texts.of(batch.column("text")), width))]
+
+    return map_texts(documents, work, "class bigint", keep, most=SLICE_BYTES, where=where)
 
 
 def _classes(value: np.ndarray, at: np.ndarray) -> pa.Array:
@@ -227,8 +247,8 @@ def summed_counts(part: int, rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return key[starts][several] + (part << (COUNT_BITS - _PART_BITS)), n[several]
 
 
-def shingle_order(documents: DataFrame, width: int, path: str) -> Order:
-    """Count all shingles of all texts; texts that a task meets again right away count once."""
+def shingle_order(documents: DataFrame, width: int, path: str, where: Callable[[pa.RecordBatch], pa.Array]) -> Order:
+    """Count all shingles of the texts that ``where`` wants; texts that a task meets again right away count once."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, seen = [], 0, set()
@@ -237,7 +257,7 @@ def shingle_order(documents: DataFrame, width: int, path: str) -> Order:
             return packed_counts(*np.unique(np.concatenate(held) & ((1 << COUNT_BITS) - 1), return_counts=True))
 
         for batch in batches:
-            for piece in pieces(batch, SLICE_BYTES):
+            for piece in pieces(batch.filter(where(batch)), SLICE_BYTES):
                 value, at = hashed_sets(Texts.of(piece.column("text")), width)
                 for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
                     kind = xxhash.xxh3_64_intdigest(value[a:b])
@@ -270,7 +290,7 @@ def shingle_order(documents: DataFrame, width: int, path: str) -> Order:
         if held:
             yield summed()
 
-    packed = map_batches(documents.select("text"), count, "part bigint, steps binary, counts binary")
+    packed = map_batches(documents.select("doc_id", "text"), count, "part bigint, steps binary, counts binary")
     dealt = packed.repartition("part").sortWithinPartitions("part")
     shared = written(documents.sparkSession, map_batches(dealt, add_up, "key bigint, n bigint"), path)
     frequent = most_frequent(shared, FREQUENT).toArrow().sort_by("key")
@@ -290,7 +310,12 @@ def shingle_order(documents: DataFrame, width: int, path: str) -> Order:
 
 
 def first_shingles(
-    documents: DataFrame, order: Order, percent: int, width: int, keep: Sequence[str] = ("doc_id",)
+    documents: DataFrame,
+    order: Order,
+    percent: int,
+    width: int,
+    keep: Sequence[str],
+    where: Callable[[pa.RecordBatch], pa.Array],
 ) -> DataFrame:
     """Columns ``keep``, n_shingles, class and ``first``: the first shingles of the set, without those that are single.
 
@@ -313,7 +338,8 @@ def first_shingles(
         first = pa.ListArray.from_arrays(pa.array(first_at, pa.int32()), pa.array(value[chosen]))
         return [pa.array(n), _classes(value, at), first]
 
-    return map_texts(documents, work, "n_shingles bigint, class bigint, first array<bigint>", keep, most=SLICE_BYTES)
+    schema = "n_shingles bigint, class bigint, first array<bigint>"
+    return map_texts(documents, work, schema, keep, ("doc_id",), SLICE_BYTES, where)
 
 
 class Region:
@@ -599,9 +625,10 @@ def similar_groups(
     digest = (F.xxhash64("text").alias("x"), F.xxhash64(F.lit(1), "text").alias("y"))
     digests = written(spark, documents.select("doc_id", *digest), f"{scratch}/digests")
     ids = digests.groupBy("x", "y").agg(F.min("doc_id").alias("id")).select("id").where("id is not null").distinct()
-    once = documents.select("doc_id", "text", *digest).where(_may_be_in(ids, "id")(F.col("doc_id"))).select("text", "x", "y")
-    order = shingle_order(once, width, f"{scratch}/counts")
-    sets = written(spark, first_shingles(once, order, percent, width, ("x", "y")), f"{scratch}/sets")
+    once = _wanted(ids, "id")
+    order = shingle_order(documents, width, f"{scratch}/counts", once)
+    digested = documents.select("doc_id", "text", *digest)
+    sets = written(spark, first_shingles(digested, order, percent, width, ("x", "y"), once), f"{scratch}/sets")
     rows = written(spark, _with_classes(digests, sets), f"{scratch}/rows")
     # A shingle that is among the first of two different sets: they may be similar.
     first = sets.select("class", F.explode("first").alias("shingle"))
@@ -662,22 +689,26 @@ def one_of_each(documents: DataFrame, percent: int = PERCENT, width: int = SHING
 
     The document with the smallest doc_id stays, one row of it; documents without
     shingles all stay. Texts stay where they are unless their doc_id may be one
-    that goes, or occurs more than once: only those rows are shuffled.
+    that goes, or occurs more than once. Of those rows, the ones whose doc_id may
+    also be one that stays are shuffled, so copies are not.
     """
     spark = documents.sparkSession
     found = similar_groups(documents, percent, width, limits).select("doc_id", "component_id", "class", "group")
     found = written(spark, found, new_scratch(spark, "groups"))
-    goes = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id")
+    same_id = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    goes = found.where(~same_id).select("doc_id")
     often = found.where("class is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
     looked_at = goes.unionByName(often).where("doc_id is not null")
-    tagged = documents.withColumn(_MAY_GO, _may_be_in(looked_at, "doc_id")(F.col("doc_id")))
-    stays = tagged.where(~F.col(_MAY_GO)).drop(_MAY_GO)
-    asked = tagged.where(_MAY_GO).drop(_MAY_GO)
+    stays = documents.where(~_may_be_in(looked_at, "doc_id")(F.col("doc_id")))
+    ids = found.where(same_id).select("doc_id").where("doc_id is not null")
     # Columns of the documents may be called like those of the sets.
     own = [c if c == "text" else f"_own_{i}" for i, c in enumerate(documents.columns)]
-    classed = shingle_sets(asked.toDF(*own), width, own).select(*own, "class").toDF(*documents.columns, _MAY_GO)
+    of_id = own[documents.columns.index("doc_id")]
+    may_go, may_stay = _wanted(looked_at, "doc_id", of_id), _wanted(ids, "doc_id", of_id)
+    asked = set_classes(documents.toDF(*own), width, own, lambda batch: pc.and_(may_go(batch), may_stay(batch)))
+    classed = asked.toDF(*documents.columns, _MAY_GO)
     first = (
-        found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+        found.where(same_id)
         .select(F.col("doc_id").alias("_id"), F.col("class").alias("_class"), F.col("group").alias("_group"))
         .distinct()
     )
@@ -703,9 +734,9 @@ def _with_sets(documents: DataFrame, rows: DataFrame, blocks: DataFrame, width:
     regions are known where texts are hashed, and sets are not moved to find them.
     """
     ids = rows.join(blocks, "class", "left_semi").groupBy("class").agg(F.min("doc_id").alias("id")).where("id is not null")
-    texts = documents.select("doc_id", "text").where(_may_be_in(ids, "id")(F.col("doc_id")))
+    texts, once = documents.select("doc_id", "text"), _wanted(ids, "id")
     if blocks.count() > limits.known:
-        sets = shingle_sets(texts, width).where("class is not null").select("class", "shingles")
+        sets = shingle_sets(texts, width, where=once).where("class is not null").select("class", "shingles")
         sets = sets.join(blocks.select("class"), "class", "left_semi").dropDuplicates(["class"])
         return sets.join(blocks.select("region", "class", "grp"), "class").select("region", "class", "grp", "shingles")
     found = blocks.select("class", "region", "grp").toArrow().sort_by("class")
@@ -723,10 +754,26 @@ def _with_sets(documents: DataFrame, rows: DataFrame, blocks: DataFrame, width:
         of_place = [pa.array(c[place], pa.int64(), mask=absent) if len(c) else pa.nulls(len(wanted), pa.int64()) for c in (region, grp)]
         return [of_place[0], kind, of_place[1], lists]
 
-    sets = map_texts(texts, work, "region bigint, class bigint, grp bigint, shingles array<bigint>", most=SLICE_BYTES)
+    schema = "region bigint, class bigint, grp bigint, shingles array<bigint>"
+    sets = map_texts(texts, work, schema, most=SLICE_BYTES, where=once)
     return sets.where("region is not null").drop("doc_id")
 
 
+def _wanted(ids: DataFrame, column: str, name: str = "doc_id") -> Callable[[pa.RecordBatch], pa.Array]:
+    """Which rows of a batch have an id of the table, null, or one of a few others in column ``name``.
+
+    Asked where texts are worked on anyway, this takes no further Python worker.
+    """
+    shared = ids.sparkSession.sparkContext.broadcast(KeyFilter.of(ids, column))
+    return lambda batch: _held(shared.value, batch.column(name))
+
+
+def _held(ids: KeyFilter, keys: pa.Array) -> pa.Array:
+    # Ids stay what they are: no detour by way of floating point.
+    known = pc.fill_null(keys.cast(pa.int64()), 0).to_numpy(zero_copy_only=False)
+    return pc.or_(pa.array(ids.may_hold(known), pa.bool_()), keys.is_null())
+
+
 def _may_be_in(ids: DataFrame, column: str):
     """A function of a column that is true for all ids of the table, for null, and for a few others."""
     spark = ids.sparkSession
@@ -735,8 +782,6 @@ def _may_be_in(ids: DataFrame, column: str):
 
     @F.arrow_udf("boolean")
     def may_be_in(keys: pa.Array) -> pa.Array:
-        # Ids stay what they are: no detour by way of floating point.
-        known = pc.fill_null(keys.cast(pa.int64()), 0).to_numpy(zero_copy_only=False)
-        return pc.or_(pa.array(shared.value.may_hold(known), pa.bool_()), keys.is_null())
+        return _held(shared.value, keys)
 
     return may_be_in

@@ -19,6 +19,7 @@ from orderloom.llm.jaccard_join import (
     from_varints,
     one_of_each,
     packed_counts,
+    set_classes,
     similar_groups,
     summed_counts,
     varints,
@@ -224,3 +225,19 @@ def test_sets_that_are_moved_to_their_regions(spark):
     assert found(documents, limits=Limits(known=0)) == expected(rows)
     tiny = {k: getattr(TINY, k) for k in ("hashes", "classes", "pivots", "rounds", "pivot_bytes")}
     assert found(documents, limits=Limits(**tiny, known=0)) == expected(rows)
+
+
+def test_copies_are_not_shuffled_to_choose_one(spark, monkeypatch):
+    rng = random.Random(13)
+    rows = [(i, prose(rng, 30), "", "", 0) for i in range(100)]
+    copies = [(1000 * k + r[0], *r[1:]) for k in range(4) for r in rows] + [(3, *rows[3][1:]), (None, *rows[4][1:])]
+    asked = []
+
+    def and_counted(documents, *more):
+        asked.append(documents.count())
+        return set_classes(documents, *more)
+
+    monkeypatch.setattr(jaccard_join, "set_classes", and_counted)
+    kept = one_of_each(spark.createDataFrame(copies, SCHEMA).repartition(4, "doc_id"))
+    assert sorted(r["doc_id"] for r in kept.collect()) == list(range(100))
+    assert asked[0] < 40
