@@ -234,8 +234,9 @@ def test_copies_are_not_shuffled_to_choose_one(spark, monkeypatch):
     asked = []
 
     def and_counted(documents, *more):
-        asked.append(documents.count())
-        return set_classes(documents, *more)
+        classes = set_classes(documents, *more)
+        asked.append(classes.count())
+        return classes
 
     monkeypatch.setattr(jaccard_join, "set_classes", and_counted)
     kept = one_of_each(spark.createDataFrame(copies, SCHEMA).repartition(4, "doc_id"))
